@@ -1,0 +1,87 @@
+"""Bronze -> silver -> gold as one lazy Catalyst plan.
+
+``identity_pipeline`` composes the layer operators; nothing is executed until
+the caller acts on a result. ``run_identity_job`` is the batch job form: it
+materializes silver once in the shared folder (so the count and the join read
+one copy instead of recomputing the bronze side twice, and lineage is cut) and
+writes each gold table.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+
+from goldenrec import settings
+from goldenrec.operators import cleaning, golden, identity, quality
+from goldenrec.operators.golden import DEFAULT_ORDER, OrderKey
+
+
+@dataclass(frozen=True)
+class PipelineParams:
+    blank_as_null: bool = False
+    priority: tuple[str, ...] = ("email", "phone")
+    fallback: tuple[str, ...] = ("name", "age")
+    how: str = "inner"
+    partition_by: tuple[str, ...] = ("name",)
+    order: tuple[OrderKey, ...] = DEFAULT_ORDER
+    survivorship: str = "row"  # "row" or "attribute"
+    high_above: int = settings.HIGH_ABOVE
+    moderate_at: int = settings.MODERATE_AT
+    source_systems: tuple[tuple[str, str], ...] = settings.SOURCE_SYSTEMS
+    bronze_rules: Mapping[str, str] = field(default_factory=lambda: dict(settings.BRONZE_QUALITY_RULES))
+    rule_mode: str = "warn"  # "warn" keeps failing rows, "drop" removes them
+
+
+@dataclass
+class GoldResult:
+    silver: DataFrame
+    identified: DataFrame
+    counts: DataFrame
+    scored: DataFrame
+    golden: DataFrame
+
+
+def silver_identified(bronze: DataFrame, params: PipelineParams = PipelineParams()) -> DataFrame:
+    """C15 + K1/K2, stateless (works on a stream too)."""
+    if params.rule_mode == "drop":
+        bronze = quality.keep_valid(quality.typed_for_rules(bronze), params.bronze_rules)
+    silver = cleaning.silver_clean(bronze, mapping=params.source_systems)
+    return identity.with_identifier(silver, params.blank_as_null, params.priority, params.fallback)
+
+
+def gold_from_identified(identified: DataFrame, params: PipelineParams = PipelineParams()) -> GoldResult:
+    counts = golden.duplicate_count(identified)
+    scored = golden.score(identified, how=params.how, high_above=params.high_above, moderate_at=params.moderate_at)
+    if params.survivorship == "attribute":
+        best = golden.survivorship(scored, params.partition_by, params.order)
+    else:
+        best = golden.golden_records(scored, params.partition_by, params.order)
+    silver = identified.drop("unique_identifier")
+    return GoldResult(silver, identified, counts, scored, best)
+
+
+def identity_pipeline(bronze: DataFrame, params: PipelineParams = PipelineParams()) -> GoldResult:
+    return gold_from_identified(silver_identified(bronze, params), params)
+
+
+def run_identity_job(spark: SparkSession, bronze: DataFrame, out_dir: str,
+                     params: PipelineParams = PipelineParams(),
+                     tables: Sequence[str] = ("gold_duplicate_count", "gold_confidence_scored", "gold_final")) -> dict[str, str]:
+    """Batch job: write silver once, then the gold tables, as parquet.
+
+    Returns table name -> path. Every write is an overwrite of a whole table,
+    so a rerun after a lost executor or a failed job produces the same files.
+    """
+    names = settings.TABLE_NAMES
+    paths = {k: f"{out_dir.rstrip('/')}/{names[k]}" for k in ("silver_identified",) + tuple(tables)}
+    silver_identified(bronze, params).write.mode("overwrite").parquet(paths["silver_identified"])
+    identified = spark.read.parquet(paths["silver_identified"])
+    result = gold_from_identified(identified, params)
+    frames = {"gold_duplicate_count": result.counts, "gold_confidence_scored": result.scored,
+              "gold_final": result.golden}
+    for t in tables:
+        frames[t].write.mode("overwrite").parquet(paths[t])
+    return paths
