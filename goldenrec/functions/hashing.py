@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from goldenrec import settings
 
-NULL_MARKER = "\u0000NULL\u0000"
+NULL_MARKER = "\\N"
 
 
 def data_columns(df: DataFrame) -> list[str]:

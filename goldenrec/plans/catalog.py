@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from goldenrec.operators import golden
 from goldenrec.plans import identity_pipeline as ip
@@ -79,8 +80,8 @@ PIPELINE_CTES = (CTE_PERSONS, CTE_SILVER, CTE_IDENTIFIED, CTE_COUNTS, CTE_SCORED
 def _golden_sql(partition: str) -> str:
     return with_ctes(*PIPELINE_CTES, body=f"""
 select {SCORED_COLS}, confidence_rank, row_num from (
-  select *, row_number() over (partition by {partition}
-                               order by confidence_rank desc, age desc nulls last, person_id asc) as row_num
+  select *, cast(row_number() over (partition by {partition}
+                               order by confidence_rank desc, age desc nulls last, person_id asc) as integer) as row_num
   from ranked) where row_num = 1""")
 
 
@@ -130,3 +131,59 @@ def q_golden_by_name(spark, sf_dir):
 @register("golden_by_identifier", _golden_sql("unique_identifier"))
 def q_golden_by_identifier(spark, sf_dir):
     return _result(spark, sf_dir, partition_by=("unique_identifier",)).golden
+
+
+@register("golden_survivorship", with_ctes(*PIPELINE_CTES, body="""
+select unique_identifier, """ + ",\n  ".join(
+    f"first({c} order by confidence_rank desc, age desc nulls last, person_id asc) filter (where {c} is not null) as {c}"
+    for c in ("person_id", "name", "email", "phone", "age", "source_system", "confidence", "confidence_rank")) + """
+from ranked group by unique_identifier"""))
+def q_golden_survivorship(spark, sf_dir):
+    return _result(spark, sf_dir, partition_by=("unique_identifier",), survivorship="attribute").golden
+
+
+@register("golden_by_completeness", with_ctes(*PIPELINE_CTES, body=f"""
+select {SCORED_COLS}, confidence_rank, completeness, row_num from (
+  select *, cast(row_number() over (partition by unique_identifier
+      order by confidence_rank desc, completeness desc, age desc nulls last, person_id asc) as integer) as row_num
+  from (select *, cast(name is not null as integer) + cast(email is not null as integer)
+                  + cast(phone is not null as integer) + cast(age is not null as integer) as completeness
+        from ranked)) where row_num = 1"""))
+def q_golden_by_completeness(spark, sf_dir):
+    return golden.golden_by_completeness(golden.with_rank(_result(spark, sf_dir).scored))
+
+
+@register("dedup_ratio", with_ctes(*PIPELINE_CTES, body="""
+select original_count, golden_count,
+       case when original_count > 0 then round((original_count - golden_count) / original_count * 100.0, 2)
+            else 0.0 end as removed_pct
+from (select count(*) as original_count,
+             count(distinct unique_identifier) + max(case when unique_identifier is null then 1 else 0 end) as golden_count
+      from scored)"""))
+def q_dedup_ratio(spark, sf_dir):
+    return golden.dedup_ratio(_result(spark, sf_dir).scored)
+
+
+@register("duplicate_rows", with_ctes(*PIPELINE_CTES, body="""
+select count(*) filter (where repetition > 1) as duplicate_rows, count(*) as total_rows from scored"""))
+def q_duplicate_rows(spark, sf_dir):
+    identified = _result(spark, sf_dir).identified
+    return golden.duplicate_rows(golden.score(identified, keep_repetition=True))
+
+
+@register("identifier_coverage", with_ctes(CTE_PERSONS, CTE_SILVER, CTE_IDENTIFIED, body="""
+select count(unique_identifier) as with_identifier, count(*) as total_rows from identified"""))
+def q_identifier_coverage(spark, sf_dir):
+    return golden.identifier_coverage(_result(spark, sf_dir).identified)
+
+
+@register("left_scored_keeps_null_key", with_ctes(CTE_PERSONS, CTE_SILVER, """identified as (
+  select *, email as unique_identifier from silver)""", CTE_COUNTS, body=f"""
+select i.person_id, i.name, i.email, i.phone, i.age, i.source_system, i.unique_identifier,
+       case when c.repetition > 2 then 'High' when c.repetition = 2 then 'Moderate' else 'Low' end as confidence,
+       c.repetition
+from identified i left join counts c on i.unique_identifier = c.unique_identifier"""))
+def q_left_scored_keeps_null_key(spark, sf_dir):
+    silver = _result(spark, sf_dir).silver
+    identified = silver.withColumn("unique_identifier", F.col("email"))
+    return golden.score(identified, how="left", keep_repetition=True)

@@ -44,6 +44,7 @@ def build_session(master: str | None = None, cores: int = 8, app: str = "goldenr
         {
             "spark.sql.shuffle.partitions": str(cores),
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "16g",
             "spark.sql.execution.arrow.pyspark.enabled": "true",
         }
