@@ -1,48 +1,18 @@
-"""Query catalogue: every registered query as (spark, sf_dir) -> DataFrame,
-and its DuckDB oracle SQL over the same parquet tables.
-
-Queries read the driver tables (or data Spark derives from them) whole; no
-query filters ids, samples or caps rows.
-"""
+"""Identity-pipeline queries (bronze -> silver -> gold over the person feed)
+and their DuckDB oracles. Queries read the driver tables whole; no query
+filters ids, samples or caps rows."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldenrec.operators import golden
 from goldenrec.plans import identity_pipeline as ip
 from goldenrec.plans.persons import PERSONS_SQL, persons
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql.strip()
-        return fn
-    return deco
-
-
-def with_ctes(*ctes: str, body: str) -> str:
-    return "with " + ",\n".join(ctes) + "\n" + body
-
+from goldenrec.plans.registry import initcap_sql, register, with_ctes
 
 # --- shared oracle fragments (DuckDB) ----------------------------------------
 
-def initcap_sql(x: str) -> str:
-    """Spark initcap in DuckDB: lower everything, upper the first letter of
-    each space-separated word."""
-    return f"array_to_string(list_transform(string_split(lower({x}), ' '), lambda w: upper(w[1]) || w[2:]), ' ')"
-
-
 SOURCE_SYSTEM_SQL = """case when contains(source_file_path, 'SAP') then 'SAP'
        when contains(source_file_path, 'salesforce') then 'Salesforce'
        when contains(source_file_path, 'healthcare') then 'Healthcare'
@@ -87,7 +57,7 @@ select {SCORED_COLS}, confidence_rank, row_num from (
 
 # --- identity pipeline ------------------------------------------------------
 
-def _result(spark: SparkSession, sf_dir: str, **kw) -> ip.GoldResult:
+def _result(spark, sf_dir: str, **kw) -> ip.GoldResult:
     return ip.identity_pipeline(persons(spark, sf_dir), ip.PipelineParams(**kw))
 
 
