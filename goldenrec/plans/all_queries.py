@@ -1,4 +1,5 @@
 """Import every query module so the registry is complete."""
 
-from goldenrec.plans import catalog, catalog_cleaning, catalog_profile, catalog_quality  # noqa: F401
+from goldenrec.plans import (catalog, catalog_cleaning, catalog_profile, catalog_quality,  # noqa: F401
+                             catalog_sources)
 from goldenrec.plans.registry import ORACLE, QUERIES  # noqa: F401
