@@ -189,7 +189,7 @@ def confidence_distribution(scored: DataFrame) -> DataFrame:
 
 def distinct_with_null(col: str) -> Column:
     """A4: distinct values of ``col`` with NULL counted as one value."""
-    return F.count_distinct(F.col(col)) + F.max(F.when(F.col(col).isNull(), 1).otherwise(0))
+    return F.count_distinct(F.col(col)) + F.coalesce(F.max(F.when(F.col(col).isNull(), 1).otherwise(0)), F.lit(0))
 
 
 def dedup_ratio(scored: DataFrame, partition_by: str = KEY) -> DataFrame:

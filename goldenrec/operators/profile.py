@@ -19,6 +19,7 @@ from pyspark.sql.types import (BooleanType, DataType, DateType, DoubleType, Inte
                                StructField, StructType, TimestampType)
 
 from goldenrec import settings
+from goldenrec.operators.golden import distinct_with_null
 
 SPARK_TYPES: dict[str, DataType] = {
     "integer": IntegerType(),
@@ -187,11 +188,6 @@ def suggest_dedup_columns(columns: Sequence[str], limit: int = settings.MAX_DEDU
     return out[:limit]
 
 
-def distinct_with_null(col: str) -> Column:
-    """A4: distinct values with NULL counted as one value."""
-    return F.count_distinct(F.col(col)) + F.max(F.when(F.col(col).isNull(), 1).otherwise(0))
-
-
 def cardinality_report(df: DataFrame, columns: Sequence[str] | None = None, table: str | None = None) -> DataFrame:
     """Per column: category, rows, distinct values (NULL as a value), unique flag.
 

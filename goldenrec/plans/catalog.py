@@ -128,7 +128,7 @@ select original_count, golden_count,
        case when original_count > 0 then round((original_count - golden_count) / original_count * 100.0, 2)
             else 0.0 end as removed_pct
 from (select count(*) as original_count,
-             count(distinct unique_identifier) + max(case when unique_identifier is null then 1 else 0 end) as golden_count
+             count(distinct unique_identifier) + coalesce(max(case when unique_identifier is null then 1 else 0 end), 0) as golden_count
       from scored)"""))
 def q_dedup_ratio(spark, sf_dir):
     return golden.dedup_ratio(_result(spark, sf_dir).scored)
