@@ -1,0 +1,22 @@
+"""Parallelism for CPU-heavy per-row work.
+
+A parquet file with one row group is read by one task. When such an input
+feeds expensive per-row expressions (regex classification, text
+normalization, hashing of long texts), ``spread`` redistributes the rows
+round-robin so every core works. It only triggers when the frame has fewer
+partitions than the cluster's default parallelism, so on a large input (many
+files and splits) it is a no-op and adds no shuffle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming:
+        return df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -20,6 +20,7 @@ from pyspark.sql.types import (BooleanType, DataType, DateType, DoubleType, Inte
 
 from goldenrec import settings
 from goldenrec.operators.golden import distinct_with_null
+from goldenrec.operators.partitioning import spread
 
 SPARK_TYPES: dict[str, DataType] = {
     "integer": IntegerType(),
@@ -33,9 +34,12 @@ SPARK_TYPES: dict[str, DataType] = {
 _TYPE_ORDER = ("integer", "double", "boolean", "date", "timestamp")
 
 
+WHITESPACE = " \t\n\r\f\u000b"
+
+
 def stripped(c: Column) -> Column:
-    """The value as text without surrounding whitespace."""
-    return F.regexp_replace(c.cast("string"), r"^\s+|\s+$", "")
+    """The value as text without surrounding (ASCII) whitespace."""
+    return F.trim(c.cast("string"), F.lit(WHITESPACE))
 
 
 def value_kind(c: Column) -> Column:
@@ -45,6 +49,11 @@ def value_kind(c: Column) -> Column:
     counts as double.
     """
     v = stripped(c)
+    return kind_of_text(v)
+
+
+def kind_of_text(v: Column) -> Column:
+    """``value_kind`` on text that is already stripped."""
     pats = dict(settings.TYPE_PATTERNS)
     return (
         F.when(v.isNull() | (v == ""), F.lit(None).cast("string"))
@@ -63,12 +72,17 @@ def _chunks(cols: Sequence[str], size: int) -> list[list[str]]:
 
 
 def _profile_pass(df: DataFrame, cols: Sequence[str], semantic: bool) -> DataFrame:
-    aggs = [F.count(F.lit(1)).alias("n")]
+    # One projection computes each value's text form and type class once per
+    # row; the aggregate then only counts (no regex is evaluated twice).
+    pre = []
     for i, c in enumerate(cols):
-        col = F.col(c)
-        kind = value_kind(col)
-        v = stripped(col)
-        aggs.append(F.count(col).alias(f"nn{i}"))
+        pre += [F.col(c).isNotNull().alias(f"nn{i}"), stripped(F.col(c)).alias(f"v{i}")]
+    texts = df.select(*pre)
+    typed = texts.select("*", *[kind_of_text(F.col(f"v{i}")).alias(f"k{i}") for i in range(len(cols))])
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for i, _ in enumerate(cols):
+        kind, v = F.col(f"k{i}"), F.col(f"v{i}")
+        aggs.append(F.count_if(F.col(f"nn{i}")).alias(f"nn{i}"))
         aggs.append(F.count(kind).alias(f"valid{i}"))
         for t in _TYPE_ORDER:
             aggs.append(F.count_if(kind == t).alias(f"{t}{i}"))
@@ -77,7 +91,7 @@ def _profile_pass(df: DataFrame, cols: Sequence[str], semantic: bool) -> DataFra
         if semantic:
             for sname, pat in settings.SEMANTIC_PATTERNS:
                 aggs.append(F.count_if(kind.isNotNull() & v.rlike(pat)).alias(f"{sname}{i}"))
-    totals = df.agg(*aggs)
+    totals = typed.agg(*aggs)
 
     def inferred(i: int) -> Column:
         valid = F.col(f"valid{i}")
@@ -120,6 +134,7 @@ def type_profile(df: DataFrame, columns: Sequence[str] | None = None, semantic:
     src = df.select(*cols)
     if sample_fraction is not None:
         src = src.sample(fraction=sample_fraction, seed=seed)
+    src = spread(src)
     parts = []
     for k, chunk in enumerate(_chunks(cols, settings.PROFILE_COLUMNS_PER_PASS)):
         p = _profile_pass(src, chunk, semantic)
@@ -196,7 +211,7 @@ def cardinality_report(df: DataFrame, columns: Sequence[str] | None = None, tabl
     """
     cols = list(columns or df.columns)
     aggs = [F.count(F.lit(1)).alias("n")] + [distinct_with_null(c).alias(f"d{i}") for i, c in enumerate(cols)]
-    totals = df.agg(*aggs)
+    totals = spread(df.select(*cols)).agg(*aggs)
     rows = F.array(*[
         F.struct(
             F.lit(table).cast("string").alias("table_name"),
@@ -212,6 +227,27 @@ def cardinality_report(df: DataFrame, columns: Sequence[str] | None = None, tabl
     return totals.select(F.inline(rows))
 
 
+def category_report(df: DataFrame, table: str | None = None) -> DataFrame:
+    """PR4 with data: category of every column, with the rows and non-NULL
+    values it holds, from one aggregation pass (plain counts, no shuffle of
+    values)."""
+    cols = list(df.columns)
+    totals = spread(df.select(*cols)).agg(F.count(F.lit(1)).alias("n"),
+                                          *[F.count(F.col(c)).alias(f"c{i}") for i, c in enumerate(cols)])
+    rows = F.array(*[
+        F.struct(
+            F.lit(table).cast("string").alias("table_name"),
+            F.lit(i).alias("position"),
+            F.lit(c).alias("column_name"),
+            F.lit(column_category(c)).alias("category"),
+            F.col("n").alias("rows"),
+            F.col(f"c{i}").alias("non_null"),
+        )
+        for i, c in enumerate(cols)
+    ])
+    return totals.select(F.inline(rows))
+
+
 def primary_key_candidates(df: DataFrame, table: str | None = None) -> DataFrame:
     """PR5: identifier columns with uniqueness, and the suggested key.
 

@@ -18,7 +18,7 @@ EVENT_COLS = ("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
 def _v(c: str) -> str:
-    return f"regexp_replace(cast({c} as varchar), '^\\s+|\\s+$', '', 'g')"
+    return f"trim(cast({c} as varchar), ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11))"
 
 
 def _kind_sql(v: str) -> str:
@@ -93,9 +93,9 @@ def q_null_percentage(spark, sf_dir):
 
 
 @register("apply_inferred_schema", with_ctes(CTE_PERSONS, body="""
-select try_cast(regexp_replace(cast(person_id as varchar), '^\\s+|\\s+$', '', 'g') as integer) as person_id,
+select try_cast(cast(person_id as varchar) as integer) as person_id,
        name, email, phone,
-       try_cast(regexp_replace(age, '^\\s+|\\s+$', '', 'g') as integer) as age,
+       try_cast(trim(age, ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)) as integer) as age,
        source_file_path
 from persons"""))
 def q_apply_inferred_schema(spark, sf_dir):
@@ -139,11 +139,20 @@ TABLE_COLUMNS = {
 }
 
 
-@register("column_categories", "\nunion all\n".join(_cardinality_sql(t, TABLE_COLUMNS[t]) for t in PROFILED_TABLES))
+def _category_sql(t: str) -> str:
+    cols = TABLE_COLUMNS[t]
+    aggs = ", ".join(["count(*) as n"] + [f"count({c}) as c{i}" for i, c in enumerate(cols)])
+    return "\nunion all\n".join(
+        f"select '{t}' as table_name, {i} as position, '{c}' as column_name, "
+        f"'{profile.column_category(c)}' as category, n as rows, c{i} as non_null from (select {aggs} from {t})"
+        for i, c in enumerate(cols))
+
+
+@register("column_categories", "\nunion all\n".join(_category_sql(t) for t in PROFILED_TABLES))
 def q_column_categories(spark, sf_dir):
-    """PR4 + A4: category of every column of six tables with its cardinality
-    (distinct values, NULL counted as one) and a uniqueness flag."""
-    parts = [profile.cardinality_report(table(spark, sf_dir, t), table=t) for t in PROFILED_TABLES]
+    """PR4: category of every column of six tables, with its rows and
+    non-NULL values (one counting pass per table)."""
+    parts = [profile.category_report(table(spark, sf_dir, t), table=t) for t in PROFILED_TABLES]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from goldenrec.functions.hashing import with_record_hash
 from goldenrec.operators import metadata, monitor, quality
+from goldenrec.operators.partitioning import spread
 from goldenrec.plans import source_tables as st
 from goldenrec.plans.catalog_profile import TABLE_COLUMNS
 from goldenrec.plans.persons import table
@@ -37,7 +38,7 @@ def q_ingestion_monitor(spark, sf_dir):
     """Per table, records, distinct record hashes, files read and
     the latest ingestion stamp, stacked. (Files = distinct ``_metadata``
     paths; each driver table is one parquet file.)"""
-    frames = {t: with_record_hash(metadata.enrich(table(spark, sf_dir, t), t, ingested_at=INGESTED_AT))
+    frames = {t: with_record_hash(spread(metadata.enrich(table(spark, sf_dir, t), t, ingested_at=INGESTED_AT)))
               for t in MONITORED}
     return monitor.unified_summary(frames)
 

@@ -17,6 +17,10 @@ BASE_CONF: dict[str, str] = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # PySpark records the Python call site of every Column call (several JVM
+    # round trips each); plans built from hundreds of generated expressions
+    # pay seconds of driver time for it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
