@@ -1,5 +1,5 @@
 """Import every query module so the registry is complete."""
 
-from goldenrec.plans import (catalog, catalog_cleaning, catalog_profile, catalog_quality,  # noqa: F401
-                             catalog_sources, catalog_streaming)
+from goldenrec.plans import (catalog, catalog_cleaning, catalog_entities, catalog_profile,  # noqa: F401
+                             catalog_quality, catalog_sources, catalog_streaming)
 from goldenrec.plans.registry import ORACLE, QUERIES  # noqa: F401
