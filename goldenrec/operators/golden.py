@@ -168,6 +168,54 @@ def survivorship(
     return df.groupBy(*partition_by).agg(*aggs)
 
 
+# Order keys that are constant inside one identifier group.
+_GROUP_CONSTANT = ("confidence_rank", "confidence", "repetition")
+
+
+def golden_by_key(
+    identified: DataFrame,
+    key: str = KEY,
+    order: Sequence[OrderKey] = DEFAULT_ORDER,
+    how: str = "inner",
+    survivorship: str = "row",
+    high_above: int = settings.HIGH_ABOVE,
+    moderate_at: int = settings.MODERATE_AT,
+) -> DataFrame:
+    """Golden record per identifier as ONE grouped aggregate.
+
+    Confidence depends only on the group's size, so it is the same for every
+    row of an identifier and cannot change which row wins. The count and the
+    winner (``max_by`` of the row, or of each column, by the preference key)
+    are therefore computed together in one aggregation, partially aggregated
+    map-side: a hot identifier costs one partial row per map task and the
+    plan has a single exchange, with no join. Output matches
+    ``golden_records`` / ``survivorship`` after ``score``.
+
+    Order keys must be numeric, boolean, date or timestamp (others: use
+    ``score`` + ``golden_records``).
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("how must be 'inner' or 'left'")
+    data_cols = [c for c in identified.columns if c != key]
+    pref = preference_key(identified, [o for o in order if o.col not in _GROUP_CONSTANT])
+    if survivorship == "row":
+        aggs = [F.max_by(F.struct(*[F.col(c) for c in data_cols]), pref).alias("_best")]
+    else:
+        aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), pref)).alias(c) for c in data_cols]
+    grouped = identified.groupBy(key).agg(F.count(F.lit(1)).alias("repetition"), *aggs)
+    if how == "inner":
+        grouped = grouped.filter(F.col(key).isNotNull())
+    # a NULL identifier is one "group" here but never matches a count in score()
+    rep = F.when(F.col(key).isNotNull(), F.col("repetition"))
+    label = N.confidence(rep, high_above, moderate_at)
+    values = [F.col(f"_best.{c}").alias(c) for c in data_cols] if survivorship == "row" else [F.col(c) for c in data_cols]
+    out = grouped.select(*values, F.col(key), label.alias("confidence"))
+    out = out.withColumn("confidence_rank", N.confidence_rank("confidence"))
+    if survivorship == "row":
+        out = out.withColumn("row_num", F.lit(1))
+    return out
+
+
 def golden_by_completeness(
     scored: DataFrame,
     attributes: Sequence[str] = ("name", "email", "phone", "age"),

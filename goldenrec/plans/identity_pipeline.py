@@ -52,10 +52,26 @@ def silver_identified(bronze: DataFrame, params: PipelineParams = PipelineParams
     return identity.with_identifier(silver, params.blank_as_null, params.priority, params.fallback)
 
 
+def _by_identifier(identified: DataFrame, params: PipelineParams) -> bool:
+    """Golden per identifier with numeric order keys: one aggregate, no join."""
+    if tuple(params.partition_by) != ("unique_identifier",):
+        return False
+    try:
+        golden.preference_key(identified, [o for o in params.order if o.col in identified.columns])
+    except TypeError:
+        return False
+    return all(o.col in identified.columns or o.col in ("confidence_rank", "confidence", "repetition")
+               for o in params.order)
+
+
 def gold_from_identified(identified: DataFrame, params: PipelineParams = PipelineParams()) -> GoldResult:
     counts = golden.duplicate_count(identified)
     scored = golden.score(identified, how=params.how, high_above=params.high_above, moderate_at=params.moderate_at)
-    if params.survivorship == "attribute":
+    if _by_identifier(identified, params):
+        best = golden.golden_by_key(identified, order=params.order, how=params.how, survivorship=params.survivorship,
+                                    high_above=params.high_above, moderate_at=params.moderate_at)
+        best = best.select(*scored.columns, *[c for c in best.columns if c not in scored.columns])
+    elif params.survivorship == "attribute":
         best = golden.survivorship(scored, params.partition_by, params.order)
     else:
         best = golden.golden_records(scored, params.partition_by, params.order)

@@ -137,7 +137,8 @@ class IncrementalGold:
         scored = scored.withColumn(BUCKET, identity_bucket(buckets=self.buckets))
         (scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BUCKET).parquet(self.scored_path))
-        by_id = golden.golden_records(scored, ("unique_identifier",), self.params.order)
+        by_id = golden.golden_by_key(silver, order=self.params.order, how=self.params.how,
+                                     high_above=self.params.high_above, moderate_at=self.params.moderate_at)
         (by_id.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BUCKET).parquet(self.golden_id_path))
         # 4. golden by name spans buckets: recompute from the scored table
