@@ -216,6 +216,18 @@ def golden_by_key(
     return out
 
 
+def golden_by_completeness_key(
+    identified: DataFrame,
+    attributes: Sequence[str] = ("name", "email", "phone", "age"),
+    how: str = "inner",
+) -> DataFrame:
+    """G8 per identifier as one aggregate (see ``golden_by_key``): most
+    non-NULL attributes, then age, then smallest person_id."""
+    df = identified.withColumn("completeness", N.non_null_count(list(attributes)))
+    order = (OrderKey("completeness"), OrderKey("age"), OrderKey("person_id", descending=False))
+    return golden_by_key(df, order=order, how=how)
+
+
 def golden_by_completeness(
     scored: DataFrame,
     attributes: Sequence[str] = ("name", "email", "phone", "age"),
@@ -253,6 +265,25 @@ def dedup_ratio(scored: DataFrame, partition_by: str = KEY) -> DataFrame:
     return agg.withColumn("removed_pct", removed.otherwise(F.lit(0.0)))
 
 
+def duplicate_rows_from_counts(counts: DataFrame, key: str = KEY) -> DataFrame:
+    """A7 from the per-identifier counts alone (no pass over the records):
+    rows of identifiers seen more than once, and all rows."""
+    c = counts.filter(F.col(key).isNotNull())
+    return c.agg(F.coalesce(F.sum(F.when(F.col("repetition") > 1, F.col("repetition"))), F.lit(0)).alias("duplicate_rows"),
+                 F.coalesce(F.sum("repetition"), F.lit(0)).alias("total_rows"))
+
+
+def dedup_ratio_from_counts(counts: DataFrame, key: str = KEY, how: str = "inner") -> DataFrame:
+    """A6 from the per-identifier counts alone: records in = sum of counts,
+    golden records out = number of identifier groups."""
+    c = counts.filter(F.col(key).isNotNull()) if how == "inner" else counts
+    agg = c.agg(F.coalesce(F.sum("repetition"), F.lit(0)).alias("original_count"),
+                F.count(F.lit(1)).alias("golden_count"))
+    removed = F.when(F.col("original_count") > 0,
+                     F.round((F.col("original_count") - F.col("golden_count")) / F.col("original_count") * 100.0, 2))
+    return agg.withColumn("removed_pct", removed.otherwise(F.lit(0.0)))
+
+
 def duplicate_rows(scored_with_repetition: DataFrame) -> DataFrame:
     """Rows whose identifier occurs more than once."""
     return scored_with_repetition.agg(

@@ -120,7 +120,10 @@ select {SCORED_COLS}, confidence_rank, completeness, row_num from (
                   + cast(phone is not null as integer) + cast(age is not null as integer) as completeness
         from ranked)) where row_num = 1"""))
 def q_golden_by_completeness(spark, sf_dir):
-    return golden.golden_by_completeness(golden.with_rank(_result(spark, sf_dir).scored))
+    """One aggregate per identifier (confidence is constant in a group)."""
+    res = _result(spark, sf_dir)
+    best = golden.golden_by_completeness_key(res.identified)
+    return best.select(*res.scored.columns, "confidence_rank", "completeness", "row_num")
 
 
 @register("dedup_ratio", with_ctes(*PIPELINE_CTES, body="""
@@ -131,14 +134,15 @@ from (select count(*) as original_count,
              count(distinct unique_identifier) + coalesce(max(case when unique_identifier is null then 1 else 0 end), 0) as golden_count
       from scored)"""))
 def q_dedup_ratio(spark, sf_dir):
-    return golden.dedup_ratio(_result(spark, sf_dir).scored)
+    """A6 from the identifier counts (golden = one record per identifier)."""
+    return golden.dedup_ratio_from_counts(_result(spark, sf_dir).counts)
 
 
 @register("duplicate_rows", with_ctes(*PIPELINE_CTES, body="""
 select count(*) filter (where repetition > 1) as duplicate_rows, count(*) as total_rows from scored"""))
 def q_duplicate_rows(spark, sf_dir):
-    identified = _result(spark, sf_dir).identified
-    return golden.duplicate_rows(golden.score(identified, keep_repetition=True))
+    """A7 from the identifier counts (no join back to the records)."""
+    return golden.duplicate_rows_from_counts(_result(spark, sf_dir).counts)
 
 
 @register("identifier_coverage", with_ctes(CTE_PERSONS, CTE_SILVER, CTE_IDENTIFIED, body="""
