@@ -178,3 +178,41 @@ def test_run_identity_job_writes_tables(spark, tmp_dir):
     for p in paths.values():
         assert os.path.isdir(p)
     assert spark.read.parquet(paths["gold_final"]).count() == 18
+
+
+def test_profile_csv_reads_text_then_profiles(spark, sample_sources):
+    from goldenrec.operators import profile
+
+    rows = {r["column_name"]: r["inferred_type"]
+            for r in profile.profile_csv(spark, f"{sample_sources}/customers/sap/customers_a.csv").collect()}
+    assert rows["customer_id"] == "string" and rows["registration_date"] == "date" and rows["email"] == "string"
+    assert profile.infer_schema(spark.read.option("header", "true").option("recursiveFileLookup", "true")
+                                .csv(f"{sample_sources}/products")) \
+        ["price"].dataType.simpleString() == "double"
+
+
+def test_raw_bronze_stream_with_file_columns(spark, tmp_dir):
+    """Recursive CSV stream with header, schema from one batch read,
+    lineage from the hidden _metadata column."""
+    write_text(f"{tmp_dir}/raw/SAP/a.csv", "person_id,name,email,phone,age\n1,ann,a@x.io,+1,30\n")
+    write_text(f"{tmp_dir}/raw/zoho/b.csv", "person_id,name,email,phone,age\n2,bo,,,n/a\n")
+    spec = SourceSpec("bronze", f"{tmp_dir}/raw", file_format="csv", read_options={"multiLine": "false"})
+    stream = metadata.with_file_columns(readers.read_stream(spark, spec, max_files_per_trigger=1))
+    out, ck = f"{tmp_dir}/bronze_out", f"{tmp_dir}/bronze_ck"
+    jobs.run_to_parquet(ip.silver_identified(stream), out, ck)
+    got = {r["person_id"]: (r["source_system"], r["unique_identifier"]) for r in spark.read.parquet(out).collect()}
+    assert got == {1: ("SAP", "a@x.io"), 2: ("Zoho", "Bo")}
+
+
+def test_named_tables_and_all_sources(spark, sample_sources):
+    """Catalog sink and named read; one table per registered source."""
+    from goldenrec.sources.spec import all_specs
+
+    specs = [s for s in all_specs(sample_sources) if s.name in ("customers", "products")]
+    tables = st.process_all_sources(spark, specs, ingested_at=T0)
+    assert set(tables) == {"pre_bronze_customers", "pre_bronze_products"}
+    sinks.save_table(tables["pre_bronze_products"].drop("_source_file"), "pre_bronze_products_t")
+    try:
+        assert spark.read.table("pre_bronze_products_t").count() == 8
+    finally:
+        spark.sql("DROP TABLE IF EXISTS pre_bronze_products_t")
