@@ -161,3 +161,13 @@ def q_left_scored_keeps_null_key(spark, sf_dir):
     silver = _result(spark, sf_dir).silver
     identified = silver.withColumn("unique_identifier", F.col("email"))
     return golden.score(identified, how="left", keep_repetition=True)
+
+
+@register("near_duplicate_names")
+def q_near_duplicate_names(spark, sf_dir):
+    """Clusters of person names within edit distance 1 of each other
+    (single linkage; exact, checked against brute force in the tests; no
+    oracle because SQL would need an all-pairs theta join)."""
+    from goldenrec.operators import neardup
+
+    return neardup.near_duplicate_clusters(_result(spark, sf_dir).silver, "name")
