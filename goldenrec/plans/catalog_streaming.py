@@ -67,7 +67,7 @@ def _incremental(spark, sf_dir) -> jobs.IncrementalGold:
 @register("stream_golden", ORACLE["golden_by_name"])
 def q_stream_golden(spark, sf_dir):
     """ST5: foreachBatch gold; golden record per name after all batches."""
-    return spark.read.parquet(_incremental(spark, sf_dir).golden_name_path)
+    return spark.read.parquet(_incremental(spark, sf_dir).golden_name_path).drop(jobs.NAME_BUCKET)
 
 
 @register("stream_golden_by_identifier", ORACLE["golden_by_identifier"])

@@ -12,8 +12,10 @@
   micro-batch, recomputes only the buckets the batch touched (dynamic
   partition overwrite). A replayed batch rewrites the same partitions with the
   same content, so restarts after a lost executor or driver are harmless.
-  Golden-by-name is not bucket-local (one name spans many identifiers), so it
-  is recomputed from the scored table.
+  Golden-by-name is not bucket-local (one name spans many identifiers): a copy
+  of the scored rows partitioned by name bucket is updated for the name
+  buckets that received re-scored rows, and only those buckets of the
+  golden-by-name table are rewritten.
 """
 
 from __future__ import annotations
@@ -98,11 +100,18 @@ def scored_stream(counts: DataFrame, users: DataFrame, params: ip.PipelineParams
 
 @dataclass
 class IncrementalGold:
-    """foreachBatch handler: bucketed silver / scored / golden tables."""
+    """foreachBatch handler: bucketed silver / scored / golden tables.
+
+    Tables (all parquet under ``root``):
+    silver and scored partitioned by identity bucket; golden-by-identifier by
+    identity bucket; a copy of scored and golden-by-name partitioned by name
+    bucket. Each micro-batch rewrites only the partitions it can change.
+    """
 
     root: str
     params: ip.PipelineParams = ip.PipelineParams()
     buckets: int = 64
+    name_buckets: int = 64
 
     @property
     def silver_path(self) -> str:
@@ -112,6 +121,10 @@ class IncrementalGold:
     def scored_path(self) -> str:
         return os.path.join(self.root, "gold_confidence_scored")
 
+    @property
+    def scored_by_name_path(self) -> str:
+        return os.path.join(self.root, "gold_confidence_scored_by_name")
+
     @property
     def golden_id_path(self) -> str:
         return os.path.join(self.root, "gold_by_identifier")
@@ -120,31 +133,65 @@ class IncrementalGold:
     def golden_name_path(self) -> str:
         return os.path.join(self.root, "gold_final")
 
+    def _name_key(self) -> str:
+        return self.params.partition_by[0]
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         keyed = batch.withColumn(BUCKET, identity_bucket(buckets=self.buckets)).withColumn("_batch", F.lit(batch_id))
         # 1. append the batch to silver; (bucket, _batch) partitions make a replay overwrite itself
-        (keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BUCKET, "_batch").parquet(self.silver_path))
-        # 2. buckets this batch touched: at most `buckets` small ints
+        _overwrite_partitions(keyed, self.silver_path, (BUCKET, "_batch"))
+        # 2. identity buckets this batch touched: at most `buckets` small ints
         touched = [r[0] for r in keyed.select(BUCKET).distinct().collect()]
         if not touched:
             return
-        # 3. recompute those buckets from all of silver (partition-pruned read)
+        # 3. recompute those buckets from all of silver (partition-pruned read):
+        #    identifiers never span buckets, so counts and winners are complete
         silver = spark.read.parquet(self.silver_path).filter(F.col(BUCKET).isin(touched)).drop("_batch")
         scored = golden.score(silver.drop(BUCKET), how=self.params.how, high_above=self.params.high_above,
                               moderate_at=self.params.moderate_at)
         scored = scored.withColumn(BUCKET, identity_bucket(buckets=self.buckets))
-        (scored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BUCKET).parquet(self.scored_path))
+        _overwrite_partitions(scored, self.scored_path, (BUCKET,))
         by_id = golden.golden_by_key(silver, order=self.params.order, how=self.params.how,
                                      high_above=self.params.high_above, moderate_at=self.params.moderate_at)
-        (by_id.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BUCKET).parquet(self.golden_id_path))
-        # 4. golden by name spans buckets: recompute from the scored table
-        all_scored = spark.read.parquet(self.scored_path).drop(BUCKET)
-        golden.golden_records(all_scored, self.params.partition_by, self.params.order) \
-            .write.mode("overwrite").parquet(self.golden_name_path)
+        _overwrite_partitions(by_id, self.golden_id_path, (BUCKET,))
+        # 4. golden by name: a name spans identity buckets. Rewrite only the
+        #    name buckets that received re-scored rows: their other rows come
+        #    from the by-name copy (untouched identity buckets), the rest from
+        #    the scored rows just written.
+        self._update_by_name(spark, touched)
+
+    def _update_by_name(self, spark: SparkSession, touched: list[int]) -> None:
+        nkey = self._name_key()
+        fresh = spark.read.parquet(self.scored_path).filter(F.col(BUCKET).isin(touched))
+        fresh = fresh.withColumn(NAME_BUCKET, F.pmod(F.xxhash64(F.col(nkey)), F.lit(self.name_buckets)).cast("int"))
+        affected = [r[0] for r in fresh.select(NAME_BUCKET).distinct().collect()]
+        merged = fresh
+        if _exists(spark, self.scored_by_name_path):
+            kept = (spark.read.parquet(self.scored_by_name_path)
+                    .filter(F.col(NAME_BUCKET).isin(affected) & ~F.col(BUCKET).isin(touched)))
+            merged = kept.unionByName(fresh)
+        # reliable checkpoint: the rewrite below must not read the files it replaces
+        merged = merged.checkpoint()
+        _overwrite_partitions(merged, self.scored_by_name_path, (NAME_BUCKET,))
+        best = golden.golden_records(merged.drop(BUCKET), self.params.partition_by, self.params.order)
+        _overwrite_partitions(best, self.golden_name_path, (NAME_BUCKET,))
+
+
+NAME_BUCKET = "name_bucket"
+
+
+def _overwrite_partitions(df: DataFrame, path: str, cols: tuple[str, ...]) -> None:
+    """Dynamic partition overwrite: only the partitions present in ``df``."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except Exception:  # noqa: BLE001 - missing path on the first batch
+        return False
 
 
 def run_incremental_gold(identified: DataFrame, handler: IncrementalGold, checkpoint: str) -> StreamingQuery:

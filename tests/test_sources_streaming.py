@@ -133,7 +133,7 @@ def test_batch_equals_stream(spark, tmp_dir, n_files):
     handler = jobs.IncrementalGold(root=f"{tmp_dir}/gold_{n_files}", buckets=8)
     stream = jobs.silver_stream(jobs.bronze_stream(spark, path, schema, max_files_per_trigger=1))
     jobs.run_incremental_gold(stream, handler, f"{tmp_dir}/ckpt_{n_files}")
-    got = sorted(tuple(r) for r in spark.read.parquet(handler.golden_name_path).collect())
+    got = sorted(tuple(r) for r in spark.read.parquet(handler.golden_name_path).drop("name_bucket").collect())
     assert got == expect
     by_id = sorted(tuple(r) for r in ip.identity_pipeline(persons(spark, SF0001), ip.PipelineParams(
         partition_by=("unique_identifier",))).golden.collect())
