@@ -171,3 +171,17 @@ def q_near_duplicate_names(spark, sf_dir):
     from goldenrec.operators import neardup
 
     return neardup.near_duplicate_clusters(_result(spark, sf_dir).silver, "name")
+
+
+@register("golden_by_name_drop_mode", with_ctes(
+    CTE_PERSONS.replace("persons as (", "persons_raw as ("),
+    """persons as (select * from persons_raw where person_id is not null and try_cast(age as integer) > 0)""",
+    *PIPELINE_CTES[1:], body=f"""
+select {SCORED_COLS}, confidence_rank, row_num from (
+  select *, cast(row_number() over (partition by name
+                               order by confidence_rank desc, age desc nulls last, person_id asc) as integer) as row_num
+  from ranked) where row_num = 1"""))
+def q_golden_by_name_drop_mode(spark, sf_dir):
+    """Q3 before the layers: bronze rules (person_id not null, age > 0) drop
+    failing rows, then clean -> identify -> count -> score -> golden by name."""
+    return _result(spark, sf_dir, rule_mode="drop").golden
