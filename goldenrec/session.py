@@ -17,6 +17,10 @@ BASE_CONF: dict[str, str] = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+# Static settings: only effective when the session is built.
+BUILD_CONF: dict[str, str] = {
     # PySpark records the Python call site of every Column call (several JVM
     # round trips each); plans built from hundreds of generated expressions
     # pay seconds of driver time for it.
@@ -44,6 +48,7 @@ def build_session(master: str | None = None, cores: int = 8, app: str = "goldenr
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    conf.update(BUILD_CONF)
     conf.update(
         {
             "spark.sql.shuffle.partitions": str(cores),
