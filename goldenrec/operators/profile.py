@@ -52,16 +52,21 @@ def value_kind(c: Column) -> Column:
     return kind_of_text(v)
 
 
-def kind_of_text(v: Column) -> Column:
-    """``value_kind`` on text that is already stripped."""
+def kind_of_text(v: Column, widen: bool = False) -> Column:
+    """``value_kind`` on text that is already stripped.
+
+    An integer outside the 32-bit range is a double, or with ``widen`` a long
+    (a double only beyond 64 bits)."""
     pats = dict(settings.TYPE_PATTERNS)
+    big = F.lit("double")
+    if widen:
+        big = F.when(v.try_cast("bigint").isNotNull(), F.lit("long")).otherwise(F.lit("double"))
     return (
         F.when(v.isNull() | (v == ""), F.lit(None).cast("string"))
         .when(v.rlike(pats["timestamp"]), F.lit("timestamp"))
         .when(v.rlike(pats["date"]), F.lit("date"))
         .when(v.rlike(pats["boolean"]), F.lit("boolean"))
-        .when(v.rlike(pats["integer"]),
-              F.when(v.try_cast("int").isNotNull(), F.lit("integer")).otherwise(F.lit("double")))
+        .when(v.rlike(pats["integer"]), F.when(v.try_cast("int").isNotNull(), F.lit("integer")).otherwise(big))
         .when(v.rlike(pats["double"]), F.lit("double"))
         .otherwise(F.lit("string"))
     )
@@ -71,20 +76,21 @@ def _chunks(cols: Sequence[str], size: int) -> list[list[str]]:
     return [list(cols[i:i + size]) for i in range(0, len(cols), size)]
 
 
-def _profile_pass(df: DataFrame, cols: Sequence[str], semantic: bool) -> DataFrame:
+def _profile_pass(df: DataFrame, cols: Sequence[str], semantic: bool, widen: bool = False) -> DataFrame:
     # One projection computes each value's text form and type class once per
     # row; the aggregate then only counts (no regex is evaluated twice).
     pre = []
     for i, c in enumerate(cols):
         pre += [F.col(c).isNotNull().alias(f"nn{i}"), stripped(F.col(c)).alias(f"v{i}")]
     texts = df.select(*pre)
-    typed = texts.select("*", *[kind_of_text(F.col(f"v{i}")).alias(f"k{i}") for i in range(len(cols))])
+    typed = texts.select("*", *[kind_of_text(F.col(f"v{i}"), widen).alias(f"k{i}") for i in range(len(cols))])
+    kinds = _TYPE_ORDER + (("long",) if widen else ())
     aggs = [F.count(F.lit(1)).alias("n")]
     for i, _ in enumerate(cols):
         kind, v = F.col(f"k{i}"), F.col(f"v{i}")
         aggs.append(F.count_if(F.col(f"nn{i}")).alias(f"nn{i}"))
         aggs.append(F.count(kind).alias(f"valid{i}"))
-        for t in _TYPE_ORDER:
+        for t in kinds:
             aggs.append(F.count_if(kind == t).alias(f"{t}{i}"))
         aggs.append(F.min(F.when(kind.isNotNull(), v)).alias(f"min{i}"))
         aggs.append(F.max(F.when(kind.isNotNull(), v)).alias(f"max{i}"))
@@ -95,9 +101,22 @@ def _profile_pass(df: DataFrame, cols: Sequence[str], semantic: bool) -> DataFra
 
     def inferred(i: int) -> Column:
         valid = F.col(f"valid{i}")
+
+        def share(*types: str) -> Column:
+            total = F.col(f"{types[0]}{i}")
+            for t in types[1:]:
+                total = total + F.col(f"{t}{i}")
+            return (valid > 0) & (total / valid >= settings.TYPE_THRESHOLD)
+
         expr = F.lit("string")
         for t in reversed(_TYPE_ORDER):
-            expr = F.when((valid > 0) & (F.col(f"{t}{i}") / valid >= settings.TYPE_THRESHOLD), F.lit(t)).otherwise(expr)
+            expr = F.when(share(t), F.lit(t)).otherwise(expr)
+        if widen:
+            # whole numbers (int and long) together, then all numbers together
+            expr = (F.when(share("integer", "long"),
+                           F.when(F.col(f"long{i}") > 0, F.lit("long")).otherwise(F.lit("integer")))
+                    .when(share("integer", "long", "double"), F.lit("double"))
+                    .otherwise(expr))
         return expr
 
     rows = []
@@ -119,13 +138,18 @@ def _profile_pass(df: DataFrame, cols: Sequence[str], semantic: bool) -> DataFra
 
 
 def type_profile(df: DataFrame, columns: Sequence[str] | None = None, semantic: bool = False,
-                 sample_fraction: float | None = None, seed: int = 7) -> DataFrame:
+                 sample_fraction: float | None = None, seed: int = 7, widen: bool = False) -> DataFrame:
     """PR1/PR7/PR8: one row per column.
 
     Columns: position, column_name, inferred_type, null_percentage,
     non_blank, min_value, max_value (two sample values), and with
     ``semantic=True`` email/phone/currency match counts.
 
+    ``widen=True`` relaxes the single-type rule: integers and longs count
+    together (long if any value needs 64 bits), and integers, longs and
+    doubles together make a double column; without it a 60 % int / 40 %
+    double column is a string, as in the surveyed rules.
+
     All rows are profiled by default (a single scan); ``sample_fraction``
     profiles a seeded Bernoulli sample instead, never a ``limit`` (which is
     not reproducible on Spark).
@@ -137,7 +161,7 @@ def type_profile(df: DataFrame, columns: Sequence[str] | None = None, semantic:
     src = spread(src)
     parts = []
     for k, chunk in enumerate(_chunks(cols, settings.PROFILE_COLUMNS_PER_PASS)):
-        p = _profile_pass(src, chunk, semantic)
+        p = _profile_pass(src, chunk, semantic, widen)
         parts.append(p.withColumn("position", F.col("position") + k * settings.PROFILE_COLUMNS_PER_PASS))
     out = parts[0]
     for p in parts[1:]:
@@ -155,9 +179,9 @@ def profile_csv(spark, path: str, delimiter: str = ",", header: bool = True, sem
 
 
 def infer_schema(df: DataFrame, columns: Sequence[str] | None = None,
-                 sample_fraction: float | None = None) -> StructType:
+                 sample_fraction: float | None = None, widen: bool = False) -> StructType:
     """PR1 as a StructType (collects one row per column)."""
-    rows = type_profile(df, columns, sample_fraction=sample_fraction).orderBy("position").collect()
+    rows = type_profile(df, columns, sample_fraction=sample_fraction, widen=widen).orderBy("position").collect()
     return StructType([StructField(r["column_name"], SPARK_TYPES[r["inferred_type"]], True) for r in rows])
 
 
@@ -177,8 +201,8 @@ def cast_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[conv(c).alias(c) for c in df.columns])
 
 
-def apply_inferred_schema(df: DataFrame, sample_fraction: float | None = None) -> DataFrame:
-    return cast_to_schema(df, infer_schema(df, sample_fraction=sample_fraction))
+def apply_inferred_schema(df: DataFrame, sample_fraction: float | None = None, widen: bool = False) -> DataFrame:
+    return cast_to_schema(df, infer_schema(df, sample_fraction=sample_fraction, widen=widen))
 
 
 # --- name-based classification (PR4-PR6) -------------------------------------

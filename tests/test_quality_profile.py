@@ -120,3 +120,27 @@ def test_distinct_counts_null_as_value(spark):
     r = profile.cardinality_report(df).first()
     assert r["distinct_values"] == 2 and not r["is_unique"]
     assert df.agg(F.count_distinct("k")).first()[0] == 1
+
+
+def test_widen_option(spark):
+    def typ(values, widen):
+        df = spark.createDataFrame([(v,) for v in values], "c string")
+        return profile.type_profile(df, widen=widen).first()["inferred_type"]
+
+    mixed = ["12", "22", "32", "1.5", "2.5"]
+    assert typ(mixed, False) == "string" and typ(mixed, True) == "double"
+    big = ["12", "13", "99999999999", "88888888888"]
+    assert typ(big, False) == "string" and typ(big, True) == "long"
+    assert typ(["12", "13"], True) == "integer"
+    assert typ(["99999999999999999999999", "2"], True) == "double"  # beyond 64 bits: a double
+    df = spark.createDataFrame([(v,) for v in big], "c string")
+    assert profile.apply_inferred_schema(df, widen=True).schema["c"].dataType.simpleString() == "bigint"
+
+
+def test_monitor_approx_option(spark):
+    from goldenrec.operators import monitor
+
+    df = spark.createDataFrame([(str(i % 50), "f", 1) for i in range(200)], "_record_hash string, _source_file string, _ingestion_timestamp int")
+    exact = monitor.ingestion_summary(df, "t").first()
+    approx = monitor.ingestion_summary(df, "t", approx=True).first()
+    assert exact["unique_records"] == 50 and abs(approx["unique_records"] - 50) <= 2
