@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from goldenrec.operators.partitioning import spread
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -26,7 +28,9 @@ def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     sort-merge from the measured customer size, so nothing here assumes the
     dimension is small.
     """
-    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    # few-split inputs are spread over the cores before the per-row cleaning
+    # work (a no-op for inputs with enough splits)
+    e = spread(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value"))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     j = e.join(c, e.user_id == c.c_custkey, "inner")
     eid = F.col("event_id")
