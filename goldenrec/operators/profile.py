@@ -265,8 +265,8 @@ def category_report(df: DataFrame, table: str | None = None) -> DataFrame:
     values it holds, from one aggregation pass (plain counts, no shuffle of
     values)."""
     cols = list(df.columns)
-    totals = spread(df.select(*cols)).agg(F.count(F.lit(1)).alias("n"),
-                                          *[F.count(F.col(c)).alias(f"c{i}") for i, c in enumerate(cols)])
+    totals = df.select(*cols).agg(F.count(F.lit(1)).alias("n"),
+                                  *[F.count(F.col(c)).alias(f"c{i}") for i, c in enumerate(cols)])
     rows = F.array(*[
         F.struct(
             F.lit(table).cast("string").alias("table_name"),
