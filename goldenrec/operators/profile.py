@@ -170,12 +170,12 @@ def type_profile(df: DataFrame, columns: Sequence[str] | None = None, semantic:
 
 
 def profile_csv(spark, path: str, delimiter: str = ",", header: bool = True, semantic: bool = False,
-                sample_fraction: float | None = None) -> DataFrame:
+                sample_fraction: float | None = None, widen: bool = False) -> DataFrame:
     """PR3: read a CSV with every column as text (no inference pass), then
     profile it (PR1)."""
     raw = (spark.read.option("header", str(header).lower()).option("sep", delimiter)
            .option("inferSchema", "false").csv(path))
-    return type_profile(raw, semantic=semantic, sample_fraction=sample_fraction)
+    return type_profile(raw, semantic=semantic, sample_fraction=sample_fraction, widen=widen)
 
 
 def infer_schema(df: DataFrame, columns: Sequence[str] | None = None,
