@@ -30,7 +30,8 @@ from goldenrec.streaming import jobs as sj
 
 def _params(a: argparse.Namespace) -> ip.PipelineParams:
     return ip.PipelineParams(blank_as_null=a.blank_as_null, partition_by=(a.partition_by,),
-                             survivorship=a.survivorship, rule_mode=a.rule_mode, how=a.how)
+                             survivorship=a.survivorship, rule_mode=a.rule_mode, how=a.how,
+                             hot_keys=a.hot_keys)
 
 
 def _bronze_spec(a: argparse.Namespace) -> SourceSpec:
@@ -104,6 +105,8 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--survivorship", default="row", choices=("row", "attribute"))
         s.add_argument("--rule-mode", default="warn", choices=("warn", "drop"))
         s.add_argument("--how", default="inner", choices=("inner", "left"))
+        s.add_argument("--hot-keys", type=int, default=None,
+                       help="broadcast-join up to this many hot identifiers (bounded: rows >= N/K)")
         if name == "stream":
             s.add_argument("--checkpoint")
             s.add_argument("--max-files", type=int, default=None)

@@ -70,6 +70,7 @@ def score(
     moderate_at: int = settings.MODERATE_AT,
     columns: Sequence[str] | None = settings.SCORED_COLUMNS,
     keep_repetition: bool = False,
+    hot_keys: int | None = None,
 ) -> DataFrame:
     """J1/J2 + G1: attach repetition to every record and label confidence.
 
@@ -77,11 +78,21 @@ def score(
     row is dropped); ``how="left"`` keeps such rows as Low with NULL
     repetition. Non-repeated identifiers are not joined at all: their
     repetition is 1 by construction.
+
+    ``hot_keys=K`` splits hot identifiers out explicitly instead of relying on
+    AQE's skew-join split: with N records, at most K identifiers can have
+    ``repetition >= N / K``, so that set has a proven size bound and is
+    broadcast; the records of hot identifiers are joined map-side (never
+    shuffled) and all other records take the shuffle join. The split is exact:
+    every record is in exactly one branch. It costs one small job (N).
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     repeated = duplicate_count(identified, key).filter(F.col("repetition") >= 2)
-    joined = identified.join(repeated, on=key, how="left")
+    if hot_keys:
+        joined = _split_hot_join(identified, repeated, key, hot_keys)
+    else:
+        joined = identified.join(repeated, on=key, how="left")
     if how == "inner":
         joined = joined.filter(F.col(key).isNotNull())
     repetition = F.coalesce(F.col("repetition"), F.when(F.col(key).isNotNull(), F.lit(1).cast("long")))
@@ -95,6 +106,16 @@ def score(
     return out
 
 
+def _split_hot_join(identified: DataFrame, repeated: DataFrame, key: str, hot_keys: int) -> DataFrame:
+    total = repeated.agg(F.sum("repetition")).first()[0] or 0
+    threshold = max(2, -(-total // hot_keys))  # ceil(N / K): at most K identifiers reach it
+    hot = repeated.filter(F.col("repetition") >= threshold)
+    cold = repeated.filter(F.col("repetition") < threshold)
+    hot_side = identified.join(F.broadcast(hot), on=key, how="inner")
+    rest = identified.join(F.broadcast(hot.select(key)), on=key, how="left_anti")
+    return hot_side.unionByName(rest.join(cold, on=key, how="left"))
+
+
 def with_rank(scored: DataFrame) -> DataFrame:
     """Numeric confidence rank."""
     return scored.withColumn("confidence_rank", N.confidence_rank("confidence"))

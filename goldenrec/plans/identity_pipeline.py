@@ -33,6 +33,7 @@ class PipelineParams:
     source_systems: tuple[tuple[str, str], ...] = settings.SOURCE_SYSTEMS
     bronze_rules: Mapping[str, str] = field(default_factory=lambda: dict(settings.BRONZE_QUALITY_RULES))
     rule_mode: str = "warn"  # "warn" keeps failing rows, "drop" removes them
+    hot_keys: int | None = None  # split out up to this many hot identifiers in the scoring join
 
 
 @dataclass
@@ -66,7 +67,8 @@ def _by_identifier(identified: DataFrame, params: PipelineParams) -> bool:
 
 def gold_from_identified(identified: DataFrame, params: PipelineParams = PipelineParams()) -> GoldResult:
     counts = golden.duplicate_count(identified)
-    scored = golden.score(identified, how=params.how, high_above=params.high_above, moderate_at=params.moderate_at)
+    scored = golden.score(identified, how=params.how, high_above=params.high_above, moderate_at=params.moderate_at,
+                          hot_keys=params.hot_keys)
     if _by_identifier(identified, params):
         best = golden.golden_by_key(identified, order=params.order, how=params.how, survivorship=params.survivorship,
                                     high_above=params.high_above, moderate_at=params.moderate_at)
