@@ -1,6 +1,7 @@
 """Batch and streaming jobs (``spark-submit`` entry point).
 
-    spark-submit -m goldenrec.jobs identity --bronze s3a://bucket/raw --out s3a://bucket/tables
+    spark-submit --py-files goldenrec.zip goldenrec/jobs.py identity --bronze s3a://bucket/raw --out s3a://bucket/tables
+    python -m goldenrec.jobs identity --bronze /data/raw --out /data/tables
     python -m goldenrec.jobs sources  --base /data/sources --out /data/tables
     python -m goldenrec.jobs stream   --bronze /data/raw --out /data/tables --checkpoint /shared/ckpt
     python -m goldenrec.jobs profile  --path /data/new.csv --out /data/profile
@@ -13,11 +14,15 @@ progress in the checkpoint folder (default: under ``spark.checkpoint.dir``).
 from __future__ import annotations
 
 import argparse
+import sys
 import datetime as dt
 import os
 
 from pyspark.sql import SparkSession
 
+if __package__ in (None, ""):  # run as a file by spark-submit
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from goldenrec import settings
 from goldenrec.operators import metadata, profile, quality
 from goldenrec.plans import identity_pipeline as ip
