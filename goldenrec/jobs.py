@@ -25,7 +25,7 @@ if __package__ in (None, ""):  # run as a file by spark-submit
 
 from goldenrec import settings
 from goldenrec.operators import metadata, profile, quality
-from goldenrec.plans import identity_pipeline as ip
+from goldenrec.plans import layers as ip
 from goldenrec.plans import source_tables as st
 from goldenrec.session import apply_base_conf, shared_dir
 from goldenrec.sources import readers

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from goldenrec.operators import golden
-from goldenrec.plans import identity_pipeline as ip
+from goldenrec.plans import layers as ip
 from goldenrec.plans.persons import PERSONS_SQL, persons
 from goldenrec.plans.registry import initcap_sql, register, with_ctes
 
@@ -58,7 +58,7 @@ select {SCORED_COLS}, confidence_rank, row_num from (
 # --- identity pipeline ------------------------------------------------------
 
 def _result(spark, sf_dir: str, **kw) -> ip.GoldResult:
-    return ip.identity_pipeline(persons(spark, sf_dir), ip.PipelineParams(**kw))
+    return ip.identity_layers(persons(spark, sf_dir), ip.PipelineParams(**kw))
 
 
 @register("silver_clean", with_ctes(CTE_PERSONS, CTE_SILVER, body="select * from silver"))

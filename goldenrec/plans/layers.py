@@ -1,8 +1,8 @@
 """Bronze -> silver -> gold as one lazy Catalyst plan.
 
-``identity_pipeline`` composes the layer operators; nothing is executed until
+``identity_layers`` composes the layer operators; nothing is executed until
 the caller acts on a result. ``run_identity_job`` is the batch job form: it
-materializes silver once in the shared folder (so the count and the join read
+writes silver once to its output folder (so the count and the join read
 one copy instead of recomputing the bronze side twice, and lineage is cut) and
 writes each gold table.
 """
@@ -81,7 +81,7 @@ def gold_from_identified(identified: DataFrame, params: PipelineParams = Pipelin
     return GoldResult(silver, identified, counts, scored, best)
 
 
-def identity_pipeline(bronze: DataFrame, params: PipelineParams = PipelineParams()) -> GoldResult:
+def identity_layers(bronze: DataFrame, params: PipelineParams = PipelineParams()) -> GoldResult:
     return gold_from_identified(silver_identified(bronze, params), params)
 
 

@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from goldenrec.operators import golden, quality
-from goldenrec.plans import identity_pipeline as ip
+from goldenrec.plans import layers as ip
 
 BUCKET = "bucket"
 

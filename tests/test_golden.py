@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from conftest import SF0001
 from goldenrec.operators import golden, identity
 from goldenrec.operators.golden import OrderKey
-from goldenrec.plans import identity_pipeline as ip
+from goldenrec.plans import layers as ip
 from goldenrec.plans import source_tables as st
 from goldenrec.plans.persons import persons
 
@@ -12,19 +12,19 @@ PERSON_SCHEMA = "person_id long, name string, email string, phone string, age st
 
 def test_fixture_numbers_sf0001(spark):
     """Numbers recorded for the person feed at sf0.001 (scratch run, Spark and DuckDB identical)."""
-    res = ip.identity_pipeline(persons(spark, SF0001))
+    res = ip.identity_layers(persons(spark, SF0001))
     dist = {r["confidence"]: r["rows"] for r in golden.confidence_distribution(res.scored).collect()}
     assert res.scored.count() == 1000
     assert dist == {"High": 903, "Moderate": 6, "Low": 91}
     g = res.golden.agg(F.count(F.lit(1)), F.sum("person_id")).first()
     assert tuple(g) == (18, 9105)
-    by_id = ip.identity_pipeline(persons(spark, SF0001), ip.PipelineParams(partition_by=("unique_identifier",)))
+    by_id = ip.identity_layers(persons(spark, SF0001), ip.PipelineParams(partition_by=("unique_identifier",)))
     assert tuple(by_id.golden.agg(F.count(F.lit(1)), F.sum("person_id")).first()) == (125, 61652)
     assert res.silver.filter(F.col("age").isNull()).count() == 91
 
 
 def test_golden_table_keeps_helpers(spark):
-    res = ip.identity_pipeline(persons(spark, SF0001))
+    res = ip.identity_layers(persons(spark, SF0001))
     assert res.golden.columns == ["person_id", "name", "email", "phone", "age", "source_system",
                                   "unique_identifier", "confidence", "confidence_rank", "row_num"]
     assert res.scored.columns == ["person_id", "name", "email", "phone", "age", "source_system",
@@ -60,13 +60,13 @@ def test_confidence_levels_and_golden_tiebreak(spark):
         (5, "ann", "b@x.io", None, "50", "/SAP/"),
         (6, "cy", "c@x.io", None, "70", "/SAP/"),
     ]
-    res = ip.identity_pipeline(_bronze(spark, rows))
+    res = ip.identity_layers(_bronze(spark, rows))
     conf = {r[0]: r[1] for r in res.scored.select("person_id", "confidence").collect()}
     assert conf == {1: "High", 2: "High", 3: "High", 4: "Moderate", 5: "Moderate", 6: "Low"}
     gold = {r[0]: r[1] for r in res.golden.select("name", "person_id").collect()}
     # High beats Moderate despite the older age; among Highs the oldest; NULL age last.
     assert gold == {"Ann": 2, "Cy": 6}
-    by_id = ip.identity_pipeline(_bronze(spark, rows), ip.PipelineParams(partition_by=("unique_identifier",)))
+    by_id = ip.identity_layers(_bronze(spark, rows), ip.PipelineParams(partition_by=("unique_identifier",)))
     gid = {r[0]: r[1] for r in by_id.golden.select("unique_identifier", "person_id").collect()}
     # equal rank and age: the smaller person_id wins (deterministic)
     assert gid == {"a@x.io": 2, "b@x.io": 4, "c@x.io": 6}
@@ -77,7 +77,7 @@ def test_survivorship_mixes_rows(spark):
         (1, "ann", "a@x.io", None, "40", "/SAP/"),
         (2, "ann", "a@x.io", "+7", None, "/SAP/"),
     ]
-    res = ip.identity_pipeline(_bronze(spark, rows), ip.PipelineParams(
+    res = ip.identity_layers(_bronze(spark, rows), ip.PipelineParams(
         partition_by=("unique_identifier",), survivorship="attribute"))
     r = res.golden.first().asDict()
     assert r["person_id"] == 1 and r["age"] == 40 and r["phone"] == "+7"

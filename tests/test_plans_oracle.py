@@ -6,7 +6,7 @@ import pytest
 
 from conftest import ROOT, SF0001
 from goldenrec.operators import golden
-from goldenrec.plans import identity_pipeline as ip
+from goldenrec.plans import layers as ip
 from goldenrec.plans.persons import TABLES, persons
 
 sys.path.insert(0, os.path.join(ROOT, "scripts"))

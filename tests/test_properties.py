@@ -10,7 +10,7 @@ from goldenrec.functions import normalize as N
 from goldenrec.functions.hashing import with_record_hash
 from goldenrec.operators import golden, quality
 from goldenrec.operators.golden import DEFAULT_ORDER
-from goldenrec.plans import identity_pipeline as ip
+from goldenrec.plans import layers as ip
 from goldenrec.plans.persons import persons
 
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -41,7 +41,7 @@ def test_normalizers_idempotent(spark, values):
 @given(st.lists(person, min_size=1, max_size=25, unique_by=lambda p: p[0]), st.booleans())
 def test_pipeline_invariants(spark, rows, blank_as_null):
     df = spark.createDataFrame(rows, SCHEMA)
-    res = ip.identity_pipeline(df, ip.PipelineParams(blank_as_null=blank_as_null,
+    res = ip.identity_layers(df, ip.PipelineParams(blank_as_null=blank_as_null,
                                                      partition_by=("unique_identifier",)))
     n = df.count()
     counts = res.counts
@@ -91,10 +91,10 @@ def test_hash_ignores_metadata_columns(spark, rows, meta):
 
 def test_fixture_numbers_sf001(spark):
     """Recorded at sf0.01: High/Moderate/Low, golden counts and id sums, NULL ages."""
-    res = ip.identity_pipeline(persons(spark, SF001))
+    res = ip.identity_layers(persons(spark, SF001))
     dist = {r["confidence"]: r["rows"] for r in golden.confidence_distribution(res.scored).collect()}
     assert dist == {"High": 9037, "Moderate": 128, "Low": 835}
     assert tuple(res.golden.agg(F.count(F.lit(1)), F.sum("person_id")).first()) == (90, 444239)
-    by_id = ip.identity_pipeline(persons(spark, SF001), ip.PipelineParams(partition_by=("unique_identifier",)))
+    by_id = ip.identity_layers(persons(spark, SF001), ip.PipelineParams(partition_by=("unique_identifier",)))
     assert tuple(by_id.golden.agg(F.count(F.lit(1)), F.sum("person_id")).first()) == (1208, 5946698)
     assert res.silver.filter(F.col("age").isNull()).count() == 910

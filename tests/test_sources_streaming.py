@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF0001, write_text
 from goldenrec.operators import golden, metadata, monitor, quality
-from goldenrec.plans import identity_pipeline as ip
+from goldenrec.plans import layers as ip
 from goldenrec.plans import source_tables as st
 from goldenrec.plans.persons import persons
 from goldenrec.sources import readers, sinks
@@ -127,7 +127,7 @@ def _feed(spark, tmp_dir, n_files, order_desc=False):
 
 @pytest.mark.parametrize("n_files", [1, 3, 7])
 def test_batch_equals_stream(spark, tmp_dir, n_files):
-    batch = ip.identity_pipeline(persons(spark, SF0001))
+    batch = ip.identity_layers(persons(spark, SF0001))
     expect = sorted(tuple(r) for r in batch.golden.collect())
     path, schema = _feed(spark, tmp_dir, n_files)
     handler = jobs.IncrementalGold(root=f"{tmp_dir}/gold_{n_files}", buckets=8)
@@ -135,7 +135,7 @@ def test_batch_equals_stream(spark, tmp_dir, n_files):
     jobs.run_incremental_gold(stream, handler, f"{tmp_dir}/ckpt_{n_files}")
     got = sorted(tuple(r) for r in spark.read.parquet(handler.golden_name_path).drop("name_bucket").collect())
     assert got == expect
-    by_id = sorted(tuple(r) for r in ip.identity_pipeline(persons(spark, SF0001), ip.PipelineParams(
+    by_id = sorted(tuple(r) for r in ip.identity_layers(persons(spark, SF0001), ip.PipelineParams(
         partition_by=("unique_identifier",))).golden.collect())
     got_id = sorted(tuple(r) for r in spark.read.parquet(handler.golden_id_path).drop("bucket").collect())
     assert got_id == by_id
