@@ -80,7 +80,7 @@ def run_sources(spark: SparkSession, a: argparse.Namespace) -> dict[str, str]:
 def run_stream(spark: SparkSession, a: argparse.Namespace) -> dict[str, str]:
     """Incremental gold over new bronze files (availableNow trigger)."""
     spec = _bronze_spec(a)
-    schema = readers.stream_schema(spark, spec)
+    schema = readers.stream_schema(spark, spec, os.path.join(a.out, "_bronze_schema"))
     bronze = readers.read_stream(spark, spec, max_files_per_trigger=a.max_files, schema=schema)
     identified = sj.silver_stream(metadata.with_file_columns(bronze), _params(a))
     handler = sj.IncrementalGold(root=a.out, params=_params(a), buckets=a.buckets, name_buckets=a.buckets)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -23,14 +25,38 @@ def read_batch(spark: SparkSession, spec: SourceSpec, recursive: bool = True) ->
     return reader.load(spec.source_path)
 
 
-def stream_schema(spark: SparkSession, spec: SourceSpec) -> StructType:
-    """A file stream needs a schema up front: the spec's, else the one a batch
-    read infers once (persist it next to the job to skip this pass later)."""
-    return spec.schema if spec.schema is not None else read_batch(spark, spec).schema
+def save_schema(spark: SparkSession, schema: StructType, path: str) -> None:
+    """Persist a schema as one JSON text row (any filesystem Spark can write)."""
+    spark.createDataFrame([(schema.json(),)], "schema string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def load_schema(spark: SparkSession, path: str) -> StructType | None:
+    try:
+        row = spark.read.text(path).first()
+    except Exception:  # noqa: BLE001 - nothing persisted yet
+        return None
+    return StructType.fromJson(json.loads(row[0])) if row else None
+
+
+def stream_schema(spark: SparkSession, spec: SourceSpec, schema_path: str | None = None) -> StructType:
+    """A file stream needs a schema up front: the spec's; else one persisted
+    at ``schema_path``; else the one a batch read infers (one extra pass over
+    the files), persisted at ``schema_path`` for the next run."""
+    if spec.schema is not None:
+        return spec.schema
+    if schema_path:
+        saved = load_schema(spark, schema_path)
+        if saved is not None:
+            return saved
+    inferred = read_batch(spark, spec).schema
+    if schema_path:
+        save_schema(spark, inferred, schema_path)
+    return inferred
 
 
 def read_stream(spark: SparkSession, spec: SourceSpec, max_files_per_trigger: int | None = None,
-                recursive: bool = True, schema: StructType | None = None) -> DataFrame:
+                recursive: bool = True, schema: StructType | None = None,
+                schema_path: str | None = None) -> DataFrame:
     """S6/S7/ST1: incremental file source over the same folder.
 
     Each file is read exactly once per checkpoint; run with
@@ -42,7 +68,7 @@ def read_stream(spark: SparkSession, spec: SourceSpec, max_files_per_trigger: in
         reader = reader.option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.schema(schema or stream_schema(spark, spec)).load(spec.source_path)
+    return reader.schema(schema or stream_schema(spark, spec, schema_path)).load(spec.source_path)
 
 
 def read_source(spark: SparkSession, registry: SourceRegistry, name: str, streaming: bool = False) -> DataFrame:

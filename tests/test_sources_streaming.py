@@ -216,3 +216,14 @@ def test_named_tables_and_all_sources(spark, sample_sources):
         assert spark.read.table("pre_bronze_products_t").count() == 8
     finally:
         spark.sql("DROP TABLE IF EXISTS pre_bronze_products_t")
+
+
+def test_schema_is_inferred_once_and_reused(spark, tmp_dir):
+    write_text(f"{tmp_dir}/s/a.csv", "id,amount,when\n1,2.5,2024-01-01\n")
+    spec = SourceSpec("s", f"{tmp_dir}/s", file_format="csv", read_options={"multiLine": "false"})
+    first = readers.stream_schema(spark, spec, f"{tmp_dir}/schema")
+    assert [f.dataType.simpleString() for f in first.fields] == ["int", "double", "date"]
+    # a later file that would infer differently does not change the saved schema
+    write_text(f"{tmp_dir}/s/b.csv", "id,amount,when\nx,y,z\n")
+    assert readers.stream_schema(spark, spec, f"{tmp_dir}/schema") == first
+    assert readers.load_schema(spark, f"{tmp_dir}/missing") is None
