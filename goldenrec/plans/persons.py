@@ -8,6 +8,8 @@ It is the input of the identity pipeline in the query catalogue.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +19,17 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+_TABLES: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, resolved once per session (file listing and parquet
+    footers are read on the first use; the input tables are immutable)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    cache = _TABLES.setdefault(spark, {})
+    if path not in cache:
+        cache[path] = spark.read.parquet(path)
+    return cache[path]
 
 
 def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
