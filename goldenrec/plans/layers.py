@@ -33,7 +33,8 @@ class PipelineParams:
     source_systems: tuple[tuple[str, str], ...] = settings.SOURCE_SYSTEMS
     bronze_rules: Mapping[str, str] = field(default_factory=lambda: dict(settings.BRONZE_QUALITY_RULES))
     rule_mode: str = "warn"  # "warn" keeps failing rows, "drop" removes them
-    hot_keys: int | None = None  # split out up to this many hot identifiers in the scoring join
+    # split out up to this many hot identifiers in the scoring join (None: off)
+    hot_keys: int | None = settings.HOT_KEY_MAX_KEYS
 
 
 @dataclass

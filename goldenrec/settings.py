@@ -118,12 +118,11 @@ NAME_COLUMNS: tuple[str, ...] = ("first_name", "last_name", "name", "product_nam
 
 # --- Tunables (not part of the surveyed behaviour) --------------------------
 
-# Identifiers whose repetition reaches this are treated as hot keys by the
-# skew-aware scoring join (their count rows are broadcast, which is bounded:
-# at most rows / HOT_KEY_MIN_ROWS keys can qualify).
-HOT_KEY_MIN_ROWS = 100_000
-# Hard ceiling on the number of hot keys ever broadcast.
-HOT_KEY_MAX_KEYS = 10_000
+# Skew-aware scoring join: with N records, identifiers with at least N / K
+# rows are "hot". At most K identifiers can qualify, so their (key, count)
+# rows have a proven size bound (K rows, a few MB) and are broadcast; every
+# other identifier holds fewer than N / K rows.
+HOT_KEY_MAX_KEYS = 100_000
 # Columns per aggregation pass in wide-table profiling (keeps generated
 # methods below the JVM limit).
 PROFILE_COLUMNS_PER_PASS = 100

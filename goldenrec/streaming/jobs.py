@@ -149,7 +149,7 @@ class IncrementalGold:
         #    identifiers never span buckets, so counts and winners are complete
         silver = spark.read.parquet(self.silver_path).filter(F.col(BUCKET).isin(touched)).drop("_batch")
         scored = golden.score(silver.drop(BUCKET), how=self.params.how, high_above=self.params.high_above,
-                              moderate_at=self.params.moderate_at)
+                              moderate_at=self.params.moderate_at, hot_keys=self.params.hot_keys)
         scored = scored.withColumn(BUCKET, identity_bucket(buckets=self.buckets))
         _overwrite_partitions(scored, self.scored_path, (BUCKET,))
         by_id = golden.golden_by_key(silver, order=self.params.order, how=self.params.how,
