@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from goldenrec import settings
 from goldenrec.operators import golden
 from goldenrec.plans import layers as ip
 from goldenrec.plans.persons import PERSONS_SQL, persons
@@ -160,7 +161,7 @@ from identified i left join counts c on i.unique_identifier = c.unique_identifie
 def q_left_scored_keeps_null_key(spark, sf_dir):
     silver = _result(spark, sf_dir).silver
     identified = silver.withColumn("unique_identifier", F.col("email"))
-    return golden.score(identified, how="left", keep_repetition=True)
+    return golden.score(identified, how="left", keep_repetition=True, hot_keys=settings.HOT_KEY_MAX_KEYS)
 
 
 @register("near_duplicate_names")

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from goldenrec import settings
 from goldenrec.operators import cleaning, golden, identity
 from goldenrec.operators.golden import OrderKey
 from goldenrec.plans import source_tables as st
@@ -73,7 +74,7 @@ select {CUSTOMER_COLS}, confidence, confidence_rank, row_num from (
 def q_golden_customers(spark, sf_dir):
     """G4 for customers: key = email, else phone, else first_name_city (blanks
     missing); best = highest confidence, newest registration, then system."""
-    scored = golden.score(_customer_feed(spark, sf_dir), columns=None)
+    scored = golden.score(_customer_feed(spark, sf_dir), columns=None, hot_keys=settings.HOT_KEY_MAX_KEYS)
     order = (OrderKey("confidence_rank"), OrderKey("registration_date"), OrderKey("system", descending=False))
     return golden.golden_records(scored, ("unique_identifier",), order)
 
@@ -119,6 +120,6 @@ select {PRODUCT_COLS}, confidence, confidence_rank, row_num from (
 def q_golden_products(spark, sf_dir):
     """G4 for products: key = sku; best = highest confidence, lowest price,
     then system."""
-    scored = golden.score(_product_feed(spark, sf_dir), columns=None)
+    scored = golden.score(_product_feed(spark, sf_dir), columns=None, hot_keys=settings.HOT_KEY_MAX_KEYS)
     order = (OrderKey("confidence_rank"), OrderKey("price", descending=False), OrderKey("system", descending=False))
     return golden.golden_records(scored, ("unique_identifier",), order)
