@@ -70,7 +70,7 @@ def score(
     moderate_at: int = settings.MODERATE_AT,
     columns: Sequence[str] | None = settings.SCORED_COLUMNS,
     keep_repetition: bool = False,
-    hot_keys: int | None = None,
+    hot_keys: int | None = settings.HOT_KEY_MAX_KEYS,
 ) -> DataFrame:
     """J1/J2 + G1: attach repetition to every record and label confidence.
 
@@ -79,7 +79,8 @@ def score(
     repetition. Non-repeated identifiers are not joined at all: their
     repetition is 1 by construction.
 
-    ``hot_keys=K`` splits hot identifiers out explicitly: with N records, at
+    ``hot_keys=K`` (default ``settings.HOT_KEY_MAX_KEYS``; ``None`` turns it
+    off) splits hot identifiers out explicitly: with N records, at
     most K identifiers can have ``repetition >= N / K``, so that set has a
     proven size bound and is broadcast; the records of hot identifiers are
     joined map-side (never shuffled) and all other records take the shuffle

@@ -44,7 +44,7 @@ def test_duplicate_count_one_exchange_with_partial_aggregation(spark, tmp_dir):
 
 
 def test_golden_uses_partial_window_group_limit(spark, tmp_dir):
-    scored = golden.score(_identified(spark, tmp_dir))
+    scored = golden.score(_identified(spark, tmp_dir), hot_keys=None)
     plan = executed(golden.golden_records(scored))
     assert plan.count("WindowGroupLimit") == 2  # before and after the exchange on name
     assert "Exchange hashpartitioning(name" in plan
@@ -54,7 +54,7 @@ def test_three_exchanges_without_broadcast(spark, tmp_dir):
     ided = _identified(spark, tmp_dir)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = executed(golden.golden_records(golden.score(ided)))
+        plan = executed(golden.golden_records(golden.score(ided, hot_keys=None)))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # aggregate on the id, the record side of the join on the id, the window on name
@@ -139,7 +139,7 @@ def test_hot_identifier_needs_the_explicit_split(spark, tmp_dir):
         spark.conf.set(k, v)
     try:
         cols = ["person_id", "name", "age", "unique_identifier", "confidence"]
-        plain = golden.score(ided, columns=cols)
+        plain = golden.score(ided, columns=cols, hot_keys=None)
         assert "skew=true" not in optimized_physical(plain)
         split = golden.score(ided, columns=cols, hot_keys=1000)
         plan = optimized_physical(golden.golden_records(split))
