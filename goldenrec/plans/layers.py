@@ -11,12 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from goldenrec import settings
 from goldenrec.operators import cleaning, golden, identity, quality
 from goldenrec.operators.golden import DEFAULT_ORDER, OrderKey
+from goldenrec.session import shared_dir
 
 
 @dataclass(frozen=True)
@@ -37,13 +39,57 @@ class PipelineParams:
     hot_keys: int | None = settings.HOT_KEY_MAX_KEYS
 
 
-@dataclass
 class GoldResult:
-    silver: DataFrame
-    identified: DataFrame
-    counts: DataFrame
-    scored: DataFrame
-    golden: DataFrame
+    """Layer outputs of one run. Gold frames are planned on first access, so
+    a caller that needs only silver pays nothing for gold.
+
+    With ``materialize=True`` the identified records are written once as a
+    parquet table in the cluster's shared checkpoint folder (cutting lineage)
+    before the scoring join, whose hot-identifier split reads them in several
+    branches (column-pruned); otherwise each branch would recompute the whole
+    bronze -> silver plan. The batch job passes ``False``: its silver is
+    already a table.
+    """
+
+    def __init__(self, identified: DataFrame, params: PipelineParams, materialize: bool = False):
+        self.identified = identified
+        self.params = params
+        self._materialize = materialize
+
+    @cached_property
+    def silver(self) -> DataFrame:
+        return self.identified.drop("unique_identifier")
+
+    @cached_property
+    def counts(self) -> DataFrame:
+        return golden.duplicate_count(self.identified)
+
+    @cached_property
+    def _score_input(self) -> DataFrame:
+        if self._materialize and self.params.hot_keys:
+            spark = self.identified.sparkSession
+            path = shared_dir(spark, "identified")
+            self.identified.write.parquet(path)
+            return spark.read.parquet(path)
+        return self.identified
+
+    @cached_property
+    def scored(self) -> DataFrame:
+        p = self.params
+        return golden.score(self._score_input, how=p.how, high_above=p.high_above, moderate_at=p.moderate_at,
+                            hot_keys=p.hot_keys)
+
+    @cached_property
+    def golden(self) -> DataFrame:
+        p = self.params
+        if _by_identifier(self.identified, p):
+            best = golden.golden_by_key(self.identified, order=p.order, how=p.how, survivorship=p.survivorship,
+                                        high_above=p.high_above, moderate_at=p.moderate_at)
+            cols = list(settings.SCORED_COLUMNS)
+            return best.select(*cols, *[c for c in best.columns if c not in cols])
+        if p.survivorship == "attribute":
+            return golden.survivorship(self.scored, p.partition_by, p.order)
+        return golden.golden_records(self.scored, p.partition_by, p.order)
 
 
 def silver_identified(bronze: DataFrame, params: PipelineParams = PipelineParams()) -> DataFrame:
@@ -66,24 +112,15 @@ def _by_identifier(identified: DataFrame, params: PipelineParams) -> bool:
                for o in params.order)
 
 
-def gold_from_identified(identified: DataFrame, params: PipelineParams = PipelineParams()) -> GoldResult:
-    counts = golden.duplicate_count(identified)
-    scored = golden.score(identified, how=params.how, high_above=params.high_above, moderate_at=params.moderate_at,
-                          hot_keys=params.hot_keys)
-    if _by_identifier(identified, params):
-        best = golden.golden_by_key(identified, order=params.order, how=params.how, survivorship=params.survivorship,
-                                    high_above=params.high_above, moderate_at=params.moderate_at)
-        best = best.select(*scored.columns, *[c for c in best.columns if c not in scored.columns])
-    elif params.survivorship == "attribute":
-        best = golden.survivorship(scored, params.partition_by, params.order)
-    else:
-        best = golden.golden_records(scored, params.partition_by, params.order)
-    silver = identified.drop("unique_identifier")
-    return GoldResult(silver, identified, counts, scored, best)
+def gold_from_identified(identified: DataFrame, params: PipelineParams = PipelineParams(),
+                         materialize: bool = False) -> GoldResult:
+    return GoldResult(identified, params, materialize)
 
 
 def identity_layers(bronze: DataFrame, params: PipelineParams = PipelineParams()) -> GoldResult:
-    return gold_from_identified(silver_identified(bronze, params), params)
+    """The layers as lazy plans; identified records are materialized once
+    (checkpoint) if the scoring join needs them in several branches."""
+    return gold_from_identified(silver_identified(bronze, params), params, materialize=True)
 
 
 def run_identity_job(spark: SparkSession, bronze: DataFrame, out_dir: str,
