@@ -11,6 +11,7 @@ from goldenrec.operators import cleaning, golden, identity
 from goldenrec.operators.golden import OrderKey
 from goldenrec.plans import source_tables as st
 from goldenrec.plans.registry import initcap_sql, register, with_ctes
+from goldenrec.session import materialize
 
 # --- DuckDB twins of the derived feeds -----------------------------------------
 
@@ -74,7 +75,8 @@ select {CUSTOMER_COLS}, confidence, confidence_rank, row_num from (
 def q_golden_customers(spark, sf_dir):
     """G4 for customers: key = email, else phone, else first_name_city (blanks
     missing); best = highest confidence, newest registration, then system."""
-    scored = golden.score(_customer_feed(spark, sf_dir), columns=None, hot_keys=settings.HOT_KEY_MAX_KEYS)
+    feed = materialize(_customer_feed(spark, sf_dir), "customers")  # read by several join branches
+    scored = golden.score(feed, columns=None, hot_keys=settings.HOT_KEY_MAX_KEYS)
     order = (OrderKey("confidence_rank"), OrderKey("registration_date"), OrderKey("system", descending=False))
     return golden.golden_records(scored, ("unique_identifier",), order)
 
@@ -120,6 +122,7 @@ select {PRODUCT_COLS}, confidence, confidence_rank, row_num from (
 def q_golden_products(spark, sf_dir):
     """G4 for products: key = sku; best = highest confidence, lowest price,
     then system."""
-    scored = golden.score(_product_feed(spark, sf_dir), columns=None, hot_keys=settings.HOT_KEY_MAX_KEYS)
+    feed = materialize(_product_feed(spark, sf_dir), "products")  # read by several join branches
+    scored = golden.score(feed, columns=None, hot_keys=settings.HOT_KEY_MAX_KEYS)
     order = (OrderKey("confidence_rank"), OrderKey("price", descending=False), OrderKey("system", descending=False))
     return golden.golden_records(scored, ("unique_identifier",), order)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from goldenrec import settings
 from goldenrec.operators import cleaning, golden, identity, quality
 from goldenrec.operators.golden import DEFAULT_ORDER, OrderKey
-from goldenrec.session import shared_dir
+from goldenrec.session import materialize
 
 
 @dataclass(frozen=True)
@@ -67,10 +67,7 @@ class GoldResult:
     @cached_property
     def _score_input(self) -> DataFrame:
         if self._materialize and self.params.hot_keys:
-            spark = self.identified.sparkSession
-            path = shared_dir(spark, "identified")
-            self.identified.write.parquet(path)
-            return spark.read.parquet(path)
+            return materialize(self.identified, "identified")
         return self.identified
 
     @cached_property

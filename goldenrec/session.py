@@ -95,3 +95,13 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, *parts, uuid.uuid4().hex)
+
+
+def materialize(df, *parts: str):
+    """Write ``df`` once as a parquet table in the shared checkpoint folder
+    and return a read of it: later branches read the table (column-pruned)
+    instead of recomputing the plan, and lineage is cut."""
+    spark = df.sparkSession
+    path = shared_dir(spark, *(parts or ("materialized",)))
+    df.write.parquet(path)
+    return spark.read.parquet(path)
