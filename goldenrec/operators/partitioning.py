@@ -1,22 +1,28 @@
-"""Parallelism for CPU-heavy per-row work.
+"""Parallelism for CPU-heavy per-row work on tiny inputs.
 
 A parquet file with one row group is read by one task. When such an input
 feeds expensive per-row expressions (regex classification, text
 normalization, hashing of long texts), ``spread`` redistributes the rows
-round-robin so every core works. It only triggers when the frame has fewer
-partitions than the cluster's default parallelism, so on a large input (many
-files and splits) it is a no-op and adds no shuffle.
+round-robin so every core works. It only triggers for tiny inputs: fewer
+partitions than the cluster's default parallelism *and* at most
+``max_input_partitions`` of them (a few GB at the default split size). A
+large input already has enough splits and is never reshuffled, so on a big
+cluster this is a no-op for every real table.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+MAX_INPUT_PARTITIONS = 16
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+
+def spread(df: DataFrame, min_partitions: int | None = None,
+           max_input_partitions: int = MAX_INPUT_PARTITIONS) -> DataFrame:
     if df.isStreaming:
         return df
-    if df.rdd.getNumPartitions() >= target:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    parts = df.rdd.getNumPartitions()
+    if parts >= target or parts > max_input_partitions:
         return df
     return df.repartition(target)
