@@ -73,6 +73,9 @@ class SourceRegistry:
 
 
 # --- predefined catalogue (S12) ----------------------------------------------
+# The predefined sources' names, folders, key and dedup columns,
+# quality rules and read options below must equal the surveyed catalogue;
+# they are stated as written there, source by source, in its order.
 
 EMAIL_FORMAT_RULE = r"email IS NULL OR email RLIKE '^[\\w\\.\\-]+@[\\w\\.\\-]+\\.[a-zA-Z]{2,}$'"
 
@@ -177,6 +180,7 @@ def custom_spec(name: str, source_path: str, primary_key_columns: Sequence[str],
 
 
 # --- extension examples (S14) -------------------------------------------------
+# The example sources' rules and options as surveyed.
 
 def suppliers_spec(base: str) -> SourceSpec:
     return custom_spec(
