@@ -186,3 +186,16 @@ def q_golden_by_name_drop_mode(spark, sf_dir):
     """Q3 before the layers: bronze rules (person_id not null, age > 0) drop
     failing rows, then clean -> identify -> count -> score -> golden by name."""
     return _result(spark, sf_dir, rule_mode="drop").golden
+
+
+@register("golden_survivorship_by_name", with_ctes(*PIPELINE_CTES, body="""
+select name, """ + ",\n  ".join(
+    f"first({c} order by confidence_rank desc, age desc nulls last, person_id asc) filter (where {c} is not null) as {c}"
+    for c in ("person_id", "email", "phone", "age", "source_system", "unique_identifier", "confidence",
+              "confidence_rank")) + """
+from ranked group by name"""))
+def q_golden_survivorship_by_name(spark, sf_dir):
+    """G5 on the layer's partition (name): per name, each attribute's first
+    non-NULL value by confidence, age, person_id (a grouped max_by aggregate
+    over the scored records)."""
+    return _result(spark, sf_dir, survivorship="attribute").golden
