@@ -5,7 +5,7 @@ batch twin, since a stream over all files must end in the batch answer."""
 
 from __future__ import annotations
 
-from goldenrec.plans import catalog  # noqa: F401  (registers the batch oracles reused below)
+from goldenrec.plans import catalog, catalog_quality  # noqa: F401  (register the batch oracles reused below)
 from goldenrec.plans.persons import persons
 from goldenrec.plans.registry import ORACLE, register
 from goldenrec.session import shared_dir
@@ -74,3 +74,17 @@ def q_stream_golden(spark, sf_dir):
 def q_stream_golden_by_identifier(spark, sf_dir):
     """ST5 incremental: only touched identity buckets are recomputed per batch."""
     return spark.read.parquet(_incremental(spark, sf_dir).golden_id_path).drop(jobs.BUCKET)
+
+
+@register("stream_quality_report", ORACLE["quality_report"])
+def q_stream_quality_report(spark, sf_dir):
+    """ST6/Q2: bronze rules on the person stream, counted per micro-batch and
+    summed (same answer as the batch report)."""
+    from goldenrec.operators import quality
+    from goldenrec.plans.catalog_quality import PERSON_RULES
+
+    path, schema = _feed(spark, sf_dir)
+    bronze = quality.typed_for_rules(jobs.bronze_stream(spark, path, schema, max_files_per_trigger=1))
+    out = shared_dir(spark, "stream", "quality")
+    jobs.run_quality_report(bronze, PERSON_RULES, out, shared_dir(spark, "stream", "ckpt"))
+    return jobs.quality_totals(spark, out)

@@ -201,6 +201,25 @@ def run_incremental_gold(identified: DataFrame, handler: IncrementalGold, checkp
     return q
 
 
+def run_quality_report(df: DataFrame, rules: dict, out: str, checkpoint: str) -> StreamingQuery:
+    """ST6/Q2 on a stream, exact across micro-batches: each batch writes its
+    per-rule pass/fail counts into its own ``_batch`` partition (a replayed
+    batch overwrites itself); ``quality_totals`` sums them."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rep = quality.report(batch, rules).withColumn("_batch", F.lit(batch_id))
+        _overwrite_partitions(rep, out, ("_batch",))
+
+    q = (df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
+def quality_totals(spark: SparkSession, out: str) -> DataFrame:
+    rep = spark.read.parquet(out)
+    return rep.groupBy("rule").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
+
+
 class QualityListener(StreamingQueryListener):
     """ST6: collects the observed rule metrics of every micro-batch."""
 
