@@ -187,11 +187,10 @@ def _overwrite_partitions(df: DataFrame, path: str, cols: tuple[str, ...]) -> No
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:  # noqa: BLE001 - missing path on the first batch
-        return False
+    """Whether a table folder exists yet (Hadoop FileSystem API, any store)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def run_incremental_gold(identified: DataFrame, handler: IncrementalGold, checkpoint: str) -> StreamingQuery:
