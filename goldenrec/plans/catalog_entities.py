@@ -126,3 +126,23 @@ def q_golden_products(spark, sf_dir):
     scored = golden.score(feed, columns=None, hot_keys=settings.HOT_KEY_MAX_KEYS)
     order = (OrderKey("confidence_rank"), OrderKey("price", descending=False), OrderKey("system", descending=False))
     return golden.golden_records(scored, ("unique_identifier",), order)
+
+
+@register("products_standardized", with_ctes(CTE_PRODUCT_FEED, body="""
+select system, product_id, product_name, category, sku, flag_raw,
+       case when lower(trim(flag_raw)) in ('true', 'yes', '1', 't', 'y') then true
+            when lower(trim(flag_raw)) in ('false', 'no', '0', 'f', 'n') then false
+            else null end as is_active
+from (select system, product_id, """ + initcap_sql("trim(product_name)") + """ as product_name,
+             category, sku, is_active as flag_raw
+      from feed)"""))
+def q_products_standardized(spark, sf_dir):
+    """The products catalogue transforms on both systems' records:
+    initcap names (C4) and three-state booleans for ``is_*`` columns (C5)."""
+    from goldenrec.sources.spec import products_spec
+
+    frames = st.sample_source_frames(spark, sf_dir)["products"]
+    a, b = [df.select(F.lit(system).alias("system"), "*") for system, df in frames]
+    df = a.unionByName(b).select("system", "product_id", "product_name", "category", "sku",
+                                 F.col("is_active").alias("flag_raw"), F.col("is_active"))
+    return cleaning.apply_transforms(df, products_spec("").transformations)
