@@ -5,8 +5,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import functions as F
-
 from goldenrec import settings
 from goldenrec.operators import profile
 from goldenrec.plans.catalog import CTE_PERSONS
@@ -109,11 +107,7 @@ def q_apply_inferred_schema(spark, sf_dir):
 PROFILED_TABLES = ("orders", "lineitem", "events", "customer", "part", "supplier")
 
 
-def _cols(spark, sf_dir, t):
-    return table(spark, sf_dir, t).columns
-
-
-def _cardinality_sql(t: str, cols, positions=None, extra=None) -> str:
+def _cardinality_sql(t: str, cols, positions=None) -> str:
     aggs = ["count(*) as n"] + [
         f"count(distinct {c}) + max(case when {c} is null then 1 else 0 end) as d{i}" for i, c in enumerate(cols)]
     parts = []
