@@ -16,8 +16,8 @@ is exact and never forms all pairs inside a block:
   shorter value itself. Joining deletion variants with the node set emits
   one edge per matching variant (at most ``len(value)`` per node).
 * Components: iterative min-label propagation over the edges; each round is
-  one join and one aggregate, and the labels are checkpointed (reliable
-  checkpoint in the shared folder) so lineage stays short. The loop stops
+  one join and one aggregate, and the labels are written as a table in the
+  shared checkpoint folder so lineage stays short. The loop stops
   when no label changes; the number of rounds is bounded by the component
   diameter.
 """
@@ -27,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from goldenrec.session import materialize
+
 
 def deletion_variants(nodes: DataFrame, col: str = "value") -> DataFrame:
     """(value, pos, variant) for every single-character deletion."""
@@ -51,18 +53,15 @@ def neighbour_edges(nodes: DataFrame) -> DataFrame:
 
 def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 10_000) -> DataFrame:
     """(value, cluster) with cluster = smallest value of the component."""
-    spark = nodes.sparkSession
-    from goldenrec.session import shared_dir
-
-    shared_dir(spark)  # makes sure a checkpoint folder is configured
     directed = edges.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(
         edges.select(F.col("b").alias("src"), F.col("a").alias("dst")))
-    directed = directed.checkpoint()
-    labels = nodes.select("value", F.col("value").alias("cluster")).checkpoint()
+    directed = materialize(directed, "neardup", "edges")
+    labels = materialize(nodes.select("value", F.col("value").alias("cluster")), "neardup", "labels")
     for _ in range(max_rounds):
         msgs = directed.join(labels.withColumnRenamed("value", "dst"), "dst").select(
             F.col("src").alias("value"), "cluster")
-        new = labels.unionByName(msgs).groupBy("value").agg(F.min("cluster").alias("cluster")).checkpoint()
+        new = materialize(labels.unionByName(msgs).groupBy("value").agg(F.min("cluster").alias("cluster")),
+                          "neardup", "labels")
         changed = new.join(labels.withColumnRenamed("cluster", "old"), "value") \
             .filter(F.col("cluster") != F.col("old")).count()
         labels = new
@@ -75,6 +74,6 @@ def near_duplicate_clusters(df: DataFrame, col: str) -> DataFrame:
     """Per distinct non-NULL value of ``col``: its cluster and record count."""
     counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(
         F.count(F.lit(1)).alias("records"))
-    nodes = counts.select("value").checkpoint()
+    nodes = materialize(counts.select("value"), "neardup", "nodes")
     clusters = connected_components(nodes, neighbour_edges(nodes))
     return counts.join(clusters, "value")
