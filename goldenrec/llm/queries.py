@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,3 +48,39 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from goldenrec.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from goldenrec.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, threshold=2)
+
+
+@register
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from goldenrec.llm.line_dedup import dedup_lines
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs, min_chars=10, min_docs=2).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE["op5_line_dedup"] = """
+with l as (
+  select doc_id, line, pos,
+         translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+               unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as pos
+        from documents)),
+shared as (
+  select key, min(doc_id) as first from l where length(key) >= 10
+  group by key having count(distinct doc_id) >= 2),
+marked as (
+  select l.doc_id, l.line, l.pos, (s.key is not null and s.first <> l.doc_id) as gone
+  from l left join shared s on l.key = s.key)
+select doc_id, count(*)::bigint as n_lines, count_if(gone)::bigint as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
+from marked group by doc_id
+"""
