@@ -14,9 +14,10 @@ def _least(edges: DataFrame, far: bool) -> DataFrame:
     both = edges.select("u", "v")
     if far:
         both = both.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    # Not a window: the join can be split where a star's centre is hot, and the
-    # minimum is taken before the shuffle.
+    # Not a window: the minimum is taken before the shuffle. Written, so that
+    # both sides of the join are exchanges of their own and a hot centre's
+    # partition can be split.
+    low = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "components")
     moved = both.join(low, "u")
     if far:
         moved = moved.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -42,7 +42,9 @@ def dropped_positions(lines: DataFrame, min_docs: int = 2) -> DataFrame:
     at least ``min_docs`` documents hold but for the least id among them."""
     shared = lines.select("h1", "h2", "doc_id").distinct().groupBy("h1", "h2").agg(
         F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("first")).filter(F.col("docs") >= min_docs).drop("docs")
-    found = lines.join(shared, ["h1", "h2"]).filter(F.col("doc_id") != F.col("first"))
+    # Written, so that both sides of the join are exchanges of their own and a
+    # hot line's partition can be split.
+    found = lines.join(materialize(shared, "lines"), ["h1", "h2"]).filter(F.col("doc_id") != F.col("first"))
     return found.groupBy("doc_id", "body").agg(F.collect_set("pos").alias("drop"))
 
 

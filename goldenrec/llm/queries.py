@@ -21,13 +21,17 @@ BATCH_BYTES = "16777216"
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of ``sf_dir``. Python workers get this package's folder on their
-    path (a cluster that has it elsewhere passes it with --py-files)."""
+def ready(spark: SparkSession) -> None:
+    """Python workers get this package's folder on their path (a cluster that
+    has it elsewhere passes it with --py-files), and batches are bounded."""
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, env.get("PYTHONPATH")]))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -84,3 +88,10 @@ select doc_id, count(*)::bigint as n_lines, count_if(gone)::bigint as n_dropped,
        sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
 from marked group by doc_id
 """
+
+
+@register
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from goldenrec.llm.importance import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
