@@ -95,3 +95,36 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from goldenrec.llm.importance import classify
 
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from goldenrec.llm.weighted_sampling import edited_fingerprints
+
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@register
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from goldenrec.llm.chat import format_chats
+
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op8_chat_formatting"] = """
+with c as (
+  select conv_id, count(*)::bigint as n_turns, list(coalesce(role, '') || chr(0) || coalesce(text, '') order by turn) as said,
+         string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' order by turn) as rendered
+  from conversations where conv_id is not null group by conv_id),
+copies as (select said, min(conv_id) as conv_id, count(*)::bigint as n_copies from c group by said)
+select c.conv_id, 0::bigint as part, c.n_turns, k.n_copies, c.n_turns as part_turns, c.rendered
+from c join copies k on c.conv_id = k.conv_id
+where not exists (select 1 from c l where l.n_turns > c.n_turns and l.said[1] = c.said[1] and l.said[1:c.n_turns] = c.said)
+"""
+
+
+@register
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from goldenrec.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
