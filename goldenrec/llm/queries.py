@@ -128,3 +128,14 @@ def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from goldenrec.llm.licenses import scan_licenses
 
     return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@register
+def op2_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from goldenrec.llm.piece_dropout import MARK, decode, encode
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    found = decode(encode(table(spark, sf_dir, "documents"), path, dropout=0.1, seed=42), path)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"),
+                        (F.col("decoded") == F.translate("text", MARK, " ")).alias("lossless"))
