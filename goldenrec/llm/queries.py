@@ -139,3 +139,26 @@ def op2_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
                         F.sha2("decoded", 256).alias("decoded_sha256"),
                         (F.col("decoded") == F.translate("text", MARK, " ")).alias("lossless"))
+
+
+@register
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from goldenrec.llm.cover_tree import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
+ORACLE["op7_embedding_near_dedup"] = """
+with recursive v as (
+  select vec_id, list_transform(embedding, lambda x: x::double) as e from embeddings),
+n as (select vec_id, e, sqrt(list_dot_product(e, e)) as size from v),
+l as (
+  select a.vec_id as a, b.vec_id as b from n a join n b on a.vec_id <> b.vec_id
+  where list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.9),
+reach(vec_id, r) as (
+  select vec_id, vec_id from n union select l.a, reach.r from reach join l on l.b = reach.vec_id),
+c as (select vec_id, min(r) as component_id from reach group by vec_id)
+select n.vec_id, (select count(*) from l where l.a = n.vec_id)::bigint as n_links, c.component_id::bigint as component_id,
+       n.vec_id = c.component_id as kept
+from n join c on n.vec_id = c.vec_id
+"""
