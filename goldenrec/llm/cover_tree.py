@@ -260,7 +260,7 @@ def _pivots(nodes: DataFrame, leaf: int) -> dict[int, tuple[int, np.ndarray]]:
     """For each dimension its first cell number and its pivots: a hash sample of
     about two in ``leaf`` nodes."""
     sampled = F.pmod(F.xxhash64("node"), F.lit(max(2, leaf // 2))) == 0
-    least = [r[0] for r in nodes.groupBy(F.size("vec")).agg(F.min("node")).collect()]  # one for each dimension
+    least = [r[1] for r in nodes.groupBy(F.size("vec")).agg(F.min("node")).collect()]  # one for each dimension
     found = nodes.filter(sampled | F.col("node").isin(least)).select("vec").toArrow()
     out, upto = {}, 0
     for dim, _, x in _by_dim(found):
