@@ -244,8 +244,10 @@ def links(fps: DataFrame, threshold: int = 2) -> DataFrame:
         if len(rest_a):
             yield found(rest_a, rest_f)
 
-    replicas = fps.select("fp").distinct().mapInArrow(replicate, "anchor long, fp long")
-    return replicas.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(compare, "u long, v long")
+    # Replication makes small partitions large: they are not coalesced before it.
+    spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    replicas = fps.select("fp").distinct().repartition(spread, "fp").mapInArrow(replicate, "anchor long, fp long")
+    return replicas.repartition(spread, "anchor").sortWithinPartitions("anchor").mapInArrow(compare, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, threshold: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
