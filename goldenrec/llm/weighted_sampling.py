@@ -34,7 +34,7 @@ WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 #: Terms, and (text, term) rows, that are worked on at once.
 TERMS, ROWS = 1 << 13, 1 << 14
 #: Characters of text gathered before signatures are computed.
-GATHER = 1 << 21
+GATHER = 1 << 20
 
 
 def terms(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -140,7 +140,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     kind = rows.schema["doc_id"].dataType.simpleString()
     # Only the row at either end of a task's range is returned with its text.
     schema = f"doc_id {kind}, {COLUMNS}, border string, task long, text string"
-    placed = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    placed = rows.repartitionByRange(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
 
     def run(batches):
         task, first, ids, texts, size = TaskContext.get().partitionId(), True, [], [], 0
