@@ -141,7 +141,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, separator:
         machine, packer, kind = transducer(tokenizer_path), _Packer(capacity, group, grain), None
         for batch in batches:
             kind = batch.schema.field(0).type
-            for part in slices(batch):
+            for part in slices(batch, most=2 << 20):
                 ids, ends = machine.encode(part.column(1).to_pylist())
                 for doc, own in zip(part.column(0).to_pylist(), np.split(ids, ends[:-1]) if len(ends) else []):
                     packer.add(doc, np.append(own, separator))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 #: Bytes of text handled at once inside a task. It bounds the temporary arrays;
 #: a single longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 

@@ -30,7 +30,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 512, id_col:
     def run(batches):
         machine = transducer(tokenizer_path)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=2 << 20):
                 n = machine.count(part.column(1).to_pylist())
                 size = pc.binary_length(part.column(1)).cast(pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column(0), size, pa.array(n), pa.array(n > limit)],

@@ -195,14 +195,15 @@ class Transducer:
         self.first: dict[tuple, int] = {}
         self._begin()
 
-    # -- lazily determinized states
+    # -- lazily determinized states; a place is one number: node, token that ends
+    # where the node begins, and 128 + the count up to there, from the last byte
 
     def _begin(self) -> None:
         self.step = np.zeros(self.MOST_STATES << 8, np.int32)  # next state << 8 | count + 128; 0 is not known yet
         self.last = np.zeros(self.MOST_STATES, np.int32)
         self.sets: list[tuple] = [()]
         self.number: dict[tuple, int] = {}
-        self.start = self._state(((0, self.NONE, 0),), 0)
+        self.start = self._state((self.NONE << 8 | 128,), 0)
 
     def _state(self, places: tuple, last: int) -> int:
         got = self.number.get(places)
@@ -246,7 +247,7 @@ class Transducer:
         key = a << 16 | b
         got = self.fits.get(key)
         if got is None:
-            if len(self.fits) > 500_000:
+            if len(self.fits) > 300_000:
                 self.fits.clear()
             got = self.fits[key] = self._alone(b) if a == self.NONE else self._may_follow(a, b) and self._fit(self.NONE, b)
         return got
@@ -262,7 +263,7 @@ class Transducer:
         key = node << 16 | before
         got = self.alike.get(key)
         if got is None:
-            if len(self.alike) > 500_000:
+            if len(self.alike) > 300_000:
                 self.alike.clear()
             allowed = tuple([t for t in below if self._fit(before, t)])
             got = self.alike[key] = self.first.setdefault((node, allowed), before) if allowed else -1
@@ -270,8 +271,9 @@ class Transducer:
 
     def _transition(self, state: int, byte: int) -> tuple[tuple, int, int]:
         places, last, count = [], -1, 0
-        for node, before, c in self.sets[state]:
-            to = self.tree.get(node << 8 | byte)
+        for place in self.sets[state]:
+            before, c = place >> 8 & 0xFFFF, (place & 255) - 128
+            to = self.tree.get(place >> 24 << 8 | byte)
             if to is None:
                 continue
             token = self.token_at[to]
@@ -279,10 +281,10 @@ class Transducer:
                 last, count = token, c + 1
             before = self._like(to, before)
             if before >= 0:
-                places.append((to, before, c))
+                places.append((to << 16 | before) << 8 | c + 128)
         if last < 0:
             raise AssertionError("the vocabulary has no token for this place")
-        return (*((n, p, c - count) for n, p, c in places), (0, last, 0)), last, count
+        return (*(p - count for p in places), last << 8 | 128), last, count
 
     def _learn(self, keys: np.ndarray) -> None:
         for key in keys.tolist():
