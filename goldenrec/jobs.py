@@ -8,7 +8,7 @@
 
 Each job writes whole tables (or dynamic partitions) with overwrite, so a
 rerun after a failure reproduces the same output; streaming jobs keep their
-progress in the checkpoint folder (default: under ``spark.checkpoint.dir``).
+progress in the checkpoint folder (default: ``_checkpoint`` under ``--out``).
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from goldenrec import settings
 from goldenrec.operators import metadata, profile, quality
 from goldenrec.plans import layers as ip
 from goldenrec.plans import source_tables as st
-from goldenrec.session import apply_base_conf, shared_dir
+from goldenrec.session import apply_base_conf
 from goldenrec.sources import readers
 from goldenrec.sources.spec import SourceSpec, all_specs
 from goldenrec.streaming import jobs as sj
@@ -36,7 +36,7 @@ from goldenrec.streaming import jobs as sj
 def _params(a: argparse.Namespace) -> ip.PipelineParams:
     return ip.PipelineParams(blank_as_null=a.blank_as_null, partition_by=(a.partition_by,),
                              survivorship=a.survivorship, rule_mode=a.rule_mode, how=a.how,
-                             hot_keys=a.hot_keys)
+                             hot_keys=a.hot_keys or None)
 
 
 def _bronze_spec(a: argparse.Namespace) -> SourceSpec:
@@ -84,7 +84,11 @@ def run_stream(spark: SparkSession, a: argparse.Namespace) -> dict[str, str]:
     bronze = readers.read_stream(spark, spec, max_files_per_trigger=a.max_files, schema=schema)
     identified = sj.silver_stream(metadata.with_file_columns(bronze), _params(a))
     handler = sj.IncrementalGold(root=a.out, params=_params(a), buckets=a.buckets, name_buckets=a.buckets)
-    ckpt = a.checkpoint or shared_dir(spark, "goldenrec-stream")
+    # Progress and tables belong together: a rerun goes on where the last one
+    # stopped. Tables without their progress would count every file again.
+    ckpt = a.checkpoint or os.path.join(a.out, "_checkpoint")
+    if sj.exists(spark, handler.silver_path) and not sj.exists(spark, ckpt):
+        raise ValueError(f"{handler.silver_path} exists but its checkpoint {ckpt} does not: pass the checkpoint it was made with, or a new --out")
     sj.run_incremental_gold(identified, handler, ckpt)
     return {"silver_identified": handler.silver_path, "gold_confidence_scored": handler.scored_path,
             "gold_by_identifier": handler.golden_id_path, "gold_final": handler.golden_name_path}
@@ -110,8 +114,8 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--survivorship", default="row", choices=("row", "attribute"))
         s.add_argument("--rule-mode", default="warn", choices=("warn", "drop"))
         s.add_argument("--how", default="inner", choices=("inner", "left"))
-        s.add_argument("--hot-keys", type=int, default=None,
-                       help="broadcast-join up to this many hot identifiers (bounded: rows >= N/K)")
+        s.add_argument("--hot-keys", type=int, default=settings.HOT_KEY_MAX_KEYS,
+                       help="broadcast-join up to this many hot identifiers (bounded: rows >= N/K); 0: off")
         if name == "stream":
             s.add_argument("--checkpoint")
             s.add_argument("--max-files", type=int, default=None)

@@ -14,7 +14,7 @@ Scale notes (why the plans look the way they do):
 * Top-1 per group uses ``row_number() = 1``, which Catalyst plans as a
   partial ``WindowGroupLimit`` before the exchange: every map task forwards at
   most one candidate per group, so a hot group never reaches a reducer whole.
-* Attribute-level survivorship is a grouped ``max_by`` aggregate, again
+* Attribute-level survivorship is a grouped ``min_by`` aggregate, again
   combined map-side, instead of an unbounded whole-partition window frame.
 """
 
@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import BooleanType, DateType, IntegralType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from goldenrec import settings
 from goldenrec.functions import normalize as N
@@ -93,12 +93,14 @@ def score(
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     repeated = duplicate_count(identified, key).filter(F.col("repetition") >= 2)
+    keyed = identified.filter(F.col(key).isNotNull())
     if hot_keys:
-        joined = _split_hot_join(identified, repeated, key, hot_keys)
+        joined = _split_hot_join(keyed, repeated, key, hot_keys)
     else:
-        joined = identified.join(repeated, on=key, how="left")
-    if how == "inner":
-        joined = joined.filter(F.col(key).isNotNull())
+        joined = keyed.join(repeated, on=key, how="left")
+    if how == "left":  # rows without a key match nothing; in the join they would all meet in one task
+        keyless = identified.filter(F.col(key).isNull()).withColumn("repetition", F.lit(None).cast("long"))
+        joined = joined.unionByName(keyless)
     repetition = F.coalesce(F.col("repetition"), F.when(F.col(key).isNotNull(), F.lit(1).cast("long")))
     joined = joined.withColumn("repetition", repetition)
     out = joined.withColumn("confidence", N.confidence("repetition", high_above, moderate_at))
@@ -143,8 +145,9 @@ def golden_records(
     return out if keep_helpers else out.drop("confidence_rank", "row_num")
 
 
-def _sortable(df: DataFrame, name: str) -> Column:
-    """Numeric image of a column whose natural order is preserved."""
+def _sortable(df: DataFrame, name: str, descending: bool) -> Column:
+    """A column that sorts as ``name`` does and, if descending, can be negated.
+    Strings have no negative: they are ascending keys only."""
     dt = df.schema[name].dataType
     c = F.col(name)
     if isinstance(dt, BooleanType):
@@ -153,23 +156,25 @@ def _sortable(df: DataFrame, name: str) -> Column:
         return F.unix_date(c)
     if isinstance(dt, (TimestampType, TimestampNTZType)):
         return F.unix_micros(c.cast("timestamp"))
-    if isinstance(dt, NumericType):
+    if isinstance(dt, IntegralType):
+        return c.cast("decimal(20,0)")  # the smallest integer has no negative of its own width
+    if isinstance(dt, NumericType) or (isinstance(dt, StringType) and not descending):
         return c
-    raise TypeError(f"survivorship order key {name!r} must be numeric, boolean, date or timestamp, not {dt}")
+    raise TypeError(f"order key {name!r} of type {dt} cannot be used {'descending' if descending else 'ascending'} in an aggregate")
 
 
 def preference_key(df: DataFrame, order: Sequence[OrderKey]) -> Column:
-    """A struct whose maximum is the first row under ``order``.
+    """A struct whose minimum is the first row under ``order``.
 
-    For each key: a presence flag (missing values sort last) and the value,
-    negated for ascending keys.
+    For each key: a flag that sorts missing values last (or first) and the
+    value, negated for descending keys.
     """
     fields = []
     for i, o in enumerate(order):
-        v = _sortable(df, o.col)
-        present = F.col(o.col).isNotNull()
-        fields.append((present if o.nulls_last else ~present).alias(f"p{i}"))
-        fields.append((v if o.descending else -v).alias(f"v{i}"))
+        v = _sortable(df, o.col, o.descending)
+        missing = F.col(o.col).isNull()
+        fields.append((missing if o.nulls_last else ~missing).alias(f"p{i}"))
+        fields.append((-v if o.descending else v).alias(f"v{i}"))
     return F.struct(*fields)
 
 
@@ -183,13 +188,13 @@ def survivorship(
 
     The survivor of different columns may come from different rows, as with
     a pandas ``groupby().first()`` after sorting. Implemented as one grouped
-    aggregate of ``max_by(col, key)`` where the key is NULL for rows whose
+    aggregate of ``min_by(col, key)`` where the key is NULL for rows whose
     value is NULL (those rows are skipped).
     """
     df = scored if "confidence_rank" in scored.columns else with_rank(scored)
     pref = preference_key(df, order)
     cols = [c for c in (columns or df.columns) if c not in partition_by]
-    aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), pref)).alias(c) for c in cols]
+    aggs = [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), pref)).alias(c) for c in cols]
     return df.groupBy(*partition_by).agg(*aggs)
 
 
@@ -210,23 +215,23 @@ def golden_by_key(
 
     Confidence depends only on the group's size, so it is the same for every
     row of an identifier and cannot change which row wins. The count and the
-    winner (``max_by`` of the row, or of each column, by the preference key)
+    winner (``min_by`` of the row, or of each column, by the preference key)
     are therefore computed together in one aggregation, partially aggregated
     map-side: a hot identifier costs one partial row per map task and the
     plan has a single exchange, with no join. Output matches
     ``golden_records`` / ``survivorship`` after ``score``.
 
-    Order keys must be numeric, boolean, date or timestamp (others: use
-    ``score`` + ``golden_records``).
+    Descending order keys must be numeric, boolean, date or timestamp
+    (descending strings: use ``score`` + ``golden_records``).
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     data_cols = [c for c in identified.columns if c != key]
     pref = preference_key(identified, [o for o in order if o.col not in _GROUP_CONSTANT])
     if survivorship == "row":
-        aggs = [F.max_by(F.struct(*[F.col(c) for c in data_cols]), pref).alias("_best")]
+        aggs = [F.min_by(F.struct(*[F.col(c) for c in data_cols]), pref).alias("_best")]
     else:
-        aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), pref)).alias(c) for c in data_cols]
+        aggs = [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), pref)).alias(c) for c in data_cols]
     grouped = identified.groupBy(key).agg(F.count(F.lit(1)).alias("repetition"), *aggs)
     if how == "inner":
         grouped = grouped.filter(F.col(key).isNotNull())

@@ -196,6 +196,6 @@ select name, """ + ",\n  ".join(
 from ranked group by name"""))
 def q_golden_survivorship_by_name(spark, sf_dir):
     """G5 on the layer's partition (name): per name, each attribute's first
-    non-NULL value by confidence, age, person_id (a grouped max_by aggregate
+    non-NULL value by confidence, age, person_id (a grouped min_by aggregate
     over the scored records)."""
     return _result(spark, sf_dir, survivorship="attribute").golden

@@ -12,10 +12,9 @@
   micro-batch, recomputes only the buckets the batch touched (dynamic
   partition overwrite). A replayed batch rewrites the same partitions with the
   same content, so restarts after a lost executor or driver are harmless.
-  Golden-by-name is not bucket-local (one name spans many identifiers): a copy
-  of the scored rows partitioned by name bucket is updated for the name
-  buckets that received re-scored rows, and only those buckets of the
-  golden-by-name table are rewritten.
+  Golden-by-name is not bucket-local (one name spans many identifiers): the
+  name buckets that received re-scored rows are rebuilt from the scored table,
+  which a replay rebuilds from silver; no table is rewritten from itself.
 """
 
 from __future__ import annotations
@@ -104,8 +103,8 @@ class IncrementalGold:
 
     Tables (all parquet under ``root``):
     silver and scored partitioned by identity bucket; golden-by-identifier by
-    identity bucket; a copy of scored and golden-by-name partitioned by name
-    bucket. Each micro-batch rewrites only the partitions it can change.
+    identity bucket; golden-by-name by name bucket. Each micro-batch rewrites
+    only the partitions it can change.
     """
 
     root: str
@@ -121,10 +120,6 @@ class IncrementalGold:
     def scored_path(self) -> str:
         return os.path.join(self.root, "gold_confidence_scored")
 
-    @property
-    def scored_by_name_path(self) -> str:
-        return os.path.join(self.root, "gold_confidence_scored_by_name")
-
     @property
     def golden_id_path(self) -> str:
         return os.path.join(self.root, "gold_by_identifier")
@@ -150,31 +145,26 @@ class IncrementalGold:
         silver = spark.read.parquet(self.silver_path).filter(F.col(BUCKET).isin(touched)).drop("_batch")
         scored = golden.score(silver.drop(BUCKET), how=self.params.how, high_above=self.params.high_above,
                               moderate_at=self.params.moderate_at, hot_keys=self.params.hot_keys)
-        scored = scored.withColumn(BUCKET, identity_bucket(buckets=self.buckets))
+        name_bucket = F.pmod(F.xxhash64(F.col(self._name_key())), F.lit(self.name_buckets)).cast("int")
+        scored = scored.withColumn(BUCKET, identity_bucket(buckets=self.buckets)).withColumn(NAME_BUCKET, name_bucket)
         _overwrite_partitions(scored, self.scored_path, (BUCKET,))
         by_id = golden.golden_by_key(silver, order=self.params.order, how=self.params.how,
-                                     high_above=self.params.high_above, moderate_at=self.params.moderate_at)
+                                     survivorship=self.params.survivorship, high_above=self.params.high_above, moderate_at=self.params.moderate_at)
         _overwrite_partitions(by_id, self.golden_id_path, (BUCKET,))
         # 4. golden by name: a name spans identity buckets. Rewrite only the
-        #    name buckets that received re-scored rows: their other rows come
-        #    from the by-name copy (untouched identity buckets), the rest from
-        #    the scored rows just written.
+        #    name buckets that received re-scored rows, from all scored rows.
         self._update_by_name(spark, touched)
 
     def _update_by_name(self, spark: SparkSession, touched: list[int]) -> None:
-        nkey = self._name_key()
-        fresh = spark.read.parquet(self.scored_path).filter(F.col(BUCKET).isin(touched))
-        fresh = fresh.withColumn(NAME_BUCKET, F.pmod(F.xxhash64(F.col(nkey)), F.lit(self.name_buckets)).cast("int"))
-        affected = [r[0] for r in fresh.select(NAME_BUCKET).distinct().collect()]
-        merged = fresh
-        if _exists(spark, self.scored_by_name_path):
-            kept = (spark.read.parquet(self.scored_by_name_path)
-                    .filter(F.col(NAME_BUCKET).isin(affected) & ~F.col(BUCKET).isin(touched)))
-            merged = kept.unionByName(fresh)
-        # reliable checkpoint: the rewrite below must not read the files it replaces
-        merged = merged.checkpoint()
-        _overwrite_partitions(merged, self.scored_by_name_path, (NAME_BUCKET,))
-        best = golden.golden_records(merged.drop(BUCKET), self.params.partition_by, self.params.order)
+        scored = spark.read.parquet(self.scored_path)
+        affected = [r[0] for r in scored.filter(F.col(BUCKET).isin(touched)).select(NAME_BUCKET).distinct().collect()]  # at most name_buckets
+        rows = scored.filter(F.col(NAME_BUCKET).isin(affected)).drop(BUCKET)
+        p = self.params
+        if p.survivorship == "attribute":
+            best = golden.survivorship(rows.drop(NAME_BUCKET), p.partition_by, p.order)
+            best = best.withColumn(NAME_BUCKET, F.pmod(F.xxhash64(F.col(self._name_key())), F.lit(self.name_buckets)).cast("int"))
+        else:
+            best = golden.golden_records(rows, p.partition_by, p.order)
         _overwrite_partitions(best, self.golden_name_path, (NAME_BUCKET,))
 
 
@@ -186,7 +176,7 @@ def _overwrite_partitions(df: DataFrame, path: str, cols: tuple[str, ...]) -> No
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     """Whether a table folder exists yet (Hadoop FileSystem API, any store)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

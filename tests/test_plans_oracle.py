@@ -68,13 +68,13 @@ def test_golden_by_identifier_is_one_aggregate(spark, tmp_dir):
         res = ip.gold_from_identified(ided, ip.PipelineParams(partition_by=("unique_identifier",), survivorship=mode))
         plan = executed(res.golden)
         assert plan.count("Exchange") == 1 and "Join" not in plan and "Window" not in plan, mode
-        assert "partial_max_by" in plan
+        assert "partial_min_by" in plan
 
 
 def test_survivorship_is_an_aggregate_not_a_window(spark, tmp_dir):
     scored = golden.score(_identified(spark, tmp_dir))
     plan = executed(golden.survivorship(scored))
-    assert "Window" not in plan and "max_by" in plan
+    assert "Window" not in plan and "min_by" in plan
 
 
 def test_no_python_udf_in_registered_queries(spark):
