@@ -16,7 +16,6 @@ BASE_CONF: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 # Static settings: only effective when the session is built.
@@ -28,21 +27,6 @@ BUILD_CONF: dict[str, str] = {
 }
 
 
-def scaled_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Shuffle and scan sizing for a given input volume.
-
-    Initial shuffle partitions are sized so each holds ~target bytes of the
-    input (AQE coalesces them down at run time when stages shrink); never fewer
-    than 2x the cores so every core has work.
-    """
-    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
-    return {
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 512 << 20)),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
-    }
-
-
 def build_session(master: str | None = None, cores: int = 8, app: str = "goldenrec", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -67,10 +51,8 @@ def build_session(master: str | None = None, cores: int = 8, app: str = "goldenr
 
 
 def apply_base_conf(spark: SparkSession) -> None:
-    """Turn on AQE/skew handling on a session we did not build ourselves."""
+    """AQE, skew handling and UTC on a session we did not build ourselves."""
     for k, v in BASE_CONF.items():
-        if k == "spark.sql.session.timeZone":
-            continue
         try:
             spark.conf.set(k, v)
         except Exception:  # pragma: no cover - static conf on a running cluster
@@ -92,8 +74,6 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="goldenrec-ckpt-"))
         base = sc.getCheckpointDir()
-    if base.startswith("file:"):
-        base = base[len("file:"):]
     return os.path.join(base, *parts, uuid.uuid4().hex)
 
 

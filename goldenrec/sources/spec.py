@@ -65,7 +65,7 @@ class SourceRegistry:
 
     def get(self, name: str) -> SourceSpec:
         if name not in self._specs:
-            raise ValueError(f"Data source '{name}' not registered")
+            raise ValueError(f"no source named {name!r}; registered: {', '.join(self._specs) or 'none'}")
         return self._specs[name]
 
     def __contains__(self, name: str) -> bool:
@@ -170,7 +170,7 @@ def all_specs(base: str) -> list[SourceSpec]:
 
 def spec_by_name(name: str, base: str) -> SourceSpec:
     if name not in CATALOGUE:
-        raise ValueError(f"Unknown data source: '{name}'. Available sources: {', '.join(CATALOGUE)}")
+        raise ValueError(f"no predefined source {name!r}; choose one of {', '.join(CATALOGUE)}")
     return CATALOGUE[name](base)
 
 

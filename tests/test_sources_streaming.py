@@ -30,7 +30,7 @@ def test_registry_and_catalogue():
     assert reg.names() == ["a"] and reg.get("a").source_path == "/2"
     with pytest.raises(ValueError):
         reg.get("missing")
-    with pytest.raises(ValueError, match="Available sources: customers, products"):
+    with pytest.raises(ValueError, match="choose one of customers, products"):
         spec_by_name("nope", "/b")
     assert spec_by_name("orders", "/b").expectations()["valid_order_id"] == "order_id IS NOT NULL"
 
