@@ -20,7 +20,6 @@ from pyspark.sql.types import (BooleanType, DataType, DateType, DoubleType, Inte
 
 from goldenrec import settings
 from goldenrec.operators.golden import distinct_with_null
-from goldenrec.operators.partitioning import spread
 
 SPARK_TYPES: dict[str, DataType] = {
     "integer": IntegerType(),
@@ -158,7 +157,6 @@ def type_profile(df: DataFrame, columns: Sequence[str] | None = None, semantic:
     src = df.select(*cols)
     if sample_fraction is not None:
         src = src.sample(fraction=sample_fraction, seed=seed)
-    src = spread(src)
     parts = []
     for k, chunk in enumerate(_chunks(cols, settings.PROFILE_COLUMNS_PER_PASS)):
         p = _profile_pass(src, chunk, semantic, widen)
@@ -220,20 +218,19 @@ def column_categories(columns: Sequence[str]) -> dict[str, str]:
     return {c: column_category(c) for c in columns}
 
 
+#: Column classes that can tell records apart, best first.
+DEDUP_CLASSES = ("contact", "identifier", "descriptive")
+
+
 def suggest_dedup_columns(columns: Sequence[str], limit: int = settings.MAX_DEDUP_SUGGESTIONS) -> list[str]:
-    """PR6: contact columns (email ones first), identifiers, then descriptive
-    columns whose name contains 'name'; first ``limit``."""
-    cats = column_categories(columns)
-    out: list[str] = []
-    for c in columns:
-        if cats[c] == "contact":
-            if "email" in c.lower():
-                out.insert(0, c)
-            else:
-                out.append(c)
-    out += [c for c in columns if cats[c] == "identifier"]
-    out += [c for c in columns if cats[c] == "descriptive" and "name" in c.lower()]
-    return out[:limit]
+    """PR6: the columns that can tell records apart, by class, e-mail columns
+    first in theirs, else in table order; descriptive ones only if their name
+    says ``name``. The first ``limit`` of them."""
+    def place(column: str) -> tuple[int, bool]:
+        return DEDUP_CLASSES.index(column_category(column)), "email" not in column.lower()
+
+    usable = (c for c in columns if column_category(c) in DEDUP_CLASSES and (column_category(c) != "descriptive" or "name" in c.lower()))
+    return sorted(usable, key=place)[:limit]
 
 
 def cardinality_report(df: DataFrame, columns: Sequence[str] | None = None, table: str | None = None) -> DataFrame:
@@ -244,7 +241,7 @@ def cardinality_report(df: DataFrame, columns: Sequence[str] | None = None, tabl
     """
     cols = list(columns or df.columns)
     aggs = [F.count(F.lit(1)).alias("n")] + [distinct_with_null(c).alias(f"d{i}") for i, c in enumerate(cols)]
-    totals = spread(df.select(*cols)).agg(*aggs)
+    totals = df.select(*cols).agg(*aggs)
     rows = F.array(*[
         F.struct(
             F.lit(table).cast("string").alias("table_name"),

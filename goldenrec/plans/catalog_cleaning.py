@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from goldenrec.functions import normalize as N
 from goldenrec.functions.hashing import data_columns, record_hash
 from goldenrec.operators import cleaning, identity, monitor
-from goldenrec.operators.partitioning import spread
 from goldenrec.plans.catalog import CTE_PERSONS
 from goldenrec.plans.persons import persons, table
 from goldenrec.plans.registry import initcap_sql, register, with_ctes
@@ -136,7 +135,7 @@ select {_DOC_KEY_SQL} as text_key, min(doc_id) as doc_id, count(*) as copies fro
 def q_exact_dedup_documents(spark, sf_dir):
     """K4 on whole document texts: key = sha-256 of the whitespace-normalized,
     lower-cased text (the shuffle carries 64 hex chars, not the text)."""
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     norm = F.lower(F.trim(F.regexp_replace("text", r"[ \t\r\n]+", " ")))
     keyed = d.select(F.sha2(norm, 256).alias("text_key"), "doc_id")
     return identity.exact_duplicates(keyed, ["text_key"], "doc_id")

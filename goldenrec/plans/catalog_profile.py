@@ -115,7 +115,7 @@ def _cardinality_sql(t: str, cols, positions=None) -> str:
         pos = i if positions is None else positions[i]
         parts.append(
             f"select '{t}' as table_name, {pos} as position, '{c}' as column_name, "
-            f"'{profile.column_category(c)}' as category, n as rows, d{i} as distinct_values, d{i} = n as is_unique "
+            f"'{CATEGORY[c]}' as category, n as rows, d{i} as distinct_values, d{i} = n as is_unique "
             f"from (select {', '.join(aggs)} from {t})")
     return "\nunion all\n".join(parts)
 
@@ -133,12 +133,31 @@ TABLE_COLUMNS = {
 }
 
 
+# What the rules must say of them, written out for the oracle.
+CATEGORY = {c: kind for kind, columns in {
+    "identifier": "o_orderkey o_custkey l_orderkey l_partkey l_suppkey l_linenumber event_id user_id c_custkey c_nationkey p_partkey s_suppkey s_nationkey",
+    "temporal": "o_orderdate l_shipdate",
+    "descriptive": "c_name p_name s_name",
+    "metric": "o_totalprice l_quantity l_extendedprice l_discount p_retailprice",
+    "general": "",
+}.items() for c in columns.split()}
+CATEGORY |= {c: "general" for cols in TABLE_COLUMNS.values() for c in cols if c not in CATEGORY}
+SUGGESTED = {
+    "orders": ("o_orderkey", "o_custkey"),
+    "lineitem": ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"),
+    "events": ("event_id", "user_id"),
+    "customer": ("c_custkey", "c_nationkey", "c_name"),
+    "part": ("p_partkey", "p_name"),
+    "supplier": ("s_suppkey", "s_nationkey", "s_name"),
+}
+
+
 def _category_sql(t: str) -> str:
     cols = TABLE_COLUMNS[t]
     aggs = ", ".join(["count(*) as n"] + [f"count({c}) as c{i}" for i, c in enumerate(cols)])
     return "\nunion all\n".join(
         f"select '{t}' as table_name, {i} as position, '{c}' as column_name, "
-        f"'{profile.column_category(c)}' as category, n as rows, c{i} as non_null from (select {aggs} from {t})"
+        f"'{CATEGORY[c]}' as category, n as rows, c{i} as non_null from (select {aggs} from {t})"
         for i, c in enumerate(cols))
 
 
@@ -151,7 +170,7 @@ def q_column_categories(spark, sf_dir):
 
 
 def _dedup_sql(t: str) -> str:
-    cols = profile.suggest_dedup_columns(TABLE_COLUMNS[t])
+    cols = SUGGESTED.get(t, ())
     if not cols:
         return ""
     inner = _cardinality_sql(t, cols)
@@ -165,7 +184,7 @@ def q_dedup_columns(spark, sf_dir):
     parts = []
     for t in PROFILED_TABLES:
         df = table(spark, sf_dir, t)
-        if profile.suggest_dedup_columns(df.columns):
+        if t in SUGGESTED:
             parts.append(profile.dedup_column_report(df, table=t))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
@@ -175,7 +194,7 @@ PK_TABLES = ("orders", "lineitem", "events")
 
 def _pk_sql(t: str) -> str:
     all_cols = TABLE_COLUMNS[t]
-    ids = [c for c in all_cols if profile.column_category(c) == "identifier"]
+    ids = [c for c in all_cols if CATEGORY[c] == "identifier"]
     inner = _cardinality_sql(t, ids)
     return (f"select *, position = coalesce(min(case when is_unique then position end) "
             f"over (partition by table_name), 0) as suggested from ({inner})")

@@ -11,18 +11,23 @@ from goldenrec.plans.registry import ORACLE, register
 from goldenrec.session import shared_dir
 from goldenrec.streaming import jobs
 
-FEED_FILES = 4
+#: Micro-batches over the feed; its files follow the number of shuffle partitions.
+BATCHES = 4
 
 
 def _feed(spark, sf_dir) -> tuple[str, object]:
     path = shared_dir(spark, "stream", "feed")
-    persons(spark, sf_dir).repartition(FEED_FILES).write.mode("overwrite").parquet(path)
+    persons(spark, sf_dir).repartition(_files(spark)).write.mode("overwrite").parquet(path)
     return path, spark.read.parquet(path).schema
 
 
+def _files(spark) -> int:
+    return max(BATCHES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _identified_stream(spark, sf_dir):
     path, schema = _feed(spark, sf_dir)
-    bronze = jobs.bronze_stream(spark, path, schema, max_files_per_trigger=1)
+    bronze = jobs.bronze_stream(spark, path, schema, max_files_per_trigger=-(-_files(spark) // BATCHES))
     return jobs.silver_stream(bronze)
 
 

@@ -119,10 +119,10 @@ NAME_COLUMNS: tuple[str, ...] = ("first_name", "last_name", "name", "product_nam
 # --- Tunables (not part of the surveyed behaviour) --------------------------
 
 # Skew-aware scoring join: with N records, identifiers with at least N / K
-# rows are "hot". At most K identifiers can qualify, so their (key, count)
-# rows have a proven size bound (K rows, a few MB) and are broadcast; every
+# rows are "hot": a thousandth of the table, more than an even share of a task. At most K identifiers can qualify, so their (key, count)
+# rows have a proven size bound (K rows) and are broadcast; every
 # other identifier holds fewer than N / K rows.
-HOT_KEY_MAX_KEYS = 100_000
+HOT_KEY_MAX_KEYS = 1_000
 # Columns per aggregation pass in wide-table profiling (keeps generated
 # methods below the JVM limit).
 PROFILE_COLUMNS_PER_PASS = 100

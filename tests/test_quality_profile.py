@@ -144,14 +144,3 @@ def test_monitor_approx_option(spark):
     exact = monitor.ingestion_summary(df, "t").first()
     approx = monitor.ingestion_summary(df, "t", approx=True).first()
     assert exact["unique_records"] == 50 and abs(approx["unique_records"] - 50) <= 2
-
-
-def test_spread_only_for_tiny_inputs(spark):
-    from goldenrec.operators.partitioning import spread
-
-    one = spark.range(100).coalesce(1)
-    assert spread(one, min_partitions=8).rdd.getNumPartitions() == 8
-    many = spark.range(1000).repartition(20)
-    assert spread(many, min_partitions=64).rdd.getNumPartitions() == 20  # not a tiny input: untouched
-    enough = spark.range(1000).repartition(8)
-    assert spread(enough, min_partitions=8) is enough
