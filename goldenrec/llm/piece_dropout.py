@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from goldenrec.llm.text import id_and_text, mix, slices
 
@@ -29,7 +30,6 @@ MARK = "▁"  # stands for a space
 LONG = 200
 NO = np.int64(1) << np.int64(62)
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
-SLICE = 1 << 20
 
 
 class Model:
@@ -275,7 +275,7 @@ def encode(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 4
     def run(batches):
         own = model(model_path)
         for batch in batches:
-            for part in slices(batch, most=SLICE):
+            for part in slices(batch):
                 ids, ends = own.encode(part.column(1).to_pylist(), _keys(part.column(0)), dropout, seed)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists], ["doc_id", "text", "ids"])
@@ -290,7 +290,7 @@ def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", out_col: s
     names = [c for c in encoded.columns if c != out_col]
     rows = encoded.select(*names)
     at = names.index(ids_col)
-    schema = rows.schema.add(out_col, "string")
+    schema = T.StructType([*rows.schema.fields, T.StructField(out_col, T.StringType())])
 
     def run(batches):
         own = model(model_path)
