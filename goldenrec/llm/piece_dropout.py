@@ -22,12 +22,14 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldenrec.llm.text import id_and_text, mix, slices
+from goldenrec.llm.text import mix, slices, text_of
 
 MARK = "▁"  # stands for a space
-LONG = 200
+LONG = 64  # at most 255: places in short segments take a byte
+SLICE = 1 << 17  # bytes of text at once: the arrays of a slice stay in a core's cache
 NO = np.int64(1) << np.int64(62)
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -72,30 +74,34 @@ class Model:
             self.bytes_of[i] = b
 
     def _hash_pairs(self) -> None:
-        bits = max(4, (4 * len(self.pairs)).bit_length())
+        """Open addressing; an entry holds the pair and the piece it makes."""
+        bits = max(4, (2 * len(self.pairs)).bit_length())
         self.shift = np.uint64(64 - bits)
-        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int64)
-        mask = (1 << bits) - 1
+        self.entries = np.full(1 << bits, -1, np.int64)
         for key, value in self.pairs.items():
             at = (key * int(_C[0]) & (1 << 64) - 1) >> int(self.shift)
-            while self.keys[at] >= 0:
-                at = (at + 1) & mask
-            self.keys[at], self.values[at] = key, value
+            while self.entries[at] >= 0:
+                at = (at + 1) & (len(self.entries) - 1)
+            self.entries[at] = key << 20 | value
 
     def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The piece that two symbols make, -1 if none."""
-        key = left.astype(np.int64) << 20 | right
-        key[(left < 0) | (right < 0)] = -2
-        at = ((key.view(np.uint64) * _C[0]) >> self.shift).astype(np.int64)
-        found = self.keys[at]
-        out = np.where(found == key, self.values[at], -1)
-        going = np.flatnonzero((found != key) & (found >= 0) & (key >= 0))
+        """The piece that two symbols make, -1 if none. A symbol is under 2**20,
+        or -1."""
+        key = left.astype(np.int64)
+        key <<= 20
+        key |= right  # negative if either symbol is
+        at = ((key.view(np.uint64) * _C[0]) >> self.shift).view(np.int64)
+        found = self.entries.take(at)
+        hit = found >> 20 == key
+        out = np.where(hit, found & 0xFFFFF, -1)
+        going = np.flatnonzero(~hit & (found >= 0) & (key >= 0))
         while len(going):
-            at[going] = (at[going] + 1) & (len(self.keys) - 1)
-            found = self.keys[at[going]]
-            hit = found == key[going]
-            out[going[hit]] = self.values[at[going[hit]]]
+            at[going] = (at[going] + 1) & (len(self.entries) - 1)
+            found = self.entries[at[going]]
+            hit = found >> 20 == key[going]
+            out[going[hit]] = found[hit] & 0xFFFFF
             going = going[~hit & (found >= 0)]
+        out[key < 0] = -1
         return out
 
     # -- decoding
@@ -183,64 +189,67 @@ class Model:
         """Short segments, each taking its best candidate in every round."""
         count = int(length.sum())
         seg_at = np.cumsum(length) - length
-        begin = np.arange(count) - np.repeat(seg_at, length) + np.repeat(first, length)
-        a, stop = symbol[begin], begin + 1
+        within = np.arange(count) - np.repeat(seg_at, length)
+        begin = (within + np.repeat(first, length)).astype(np.int32)
+        rel = within.astype(np.uint8)
+        a, stop = symbol[begin].astype(np.int32), begin + np.int32(1)
         last = np.zeros(count, bool)  # ends its segment
         last[seg_at + length - 1] = True
         done_at, done_id = [], []
-        new, order = np.full(count, -1, np.int64), np.full(count, NO, np.int64)
+        # A candidate's turn: rank, place in its segment, and the piece it makes.
+        order = np.full(count, NO, np.int64)
 
         def price(i: np.ndarray) -> None:
-            """Candidates of the symbols at i with their right neighbours."""
+            """Candidates of the symbols at i, none of them the last of its
+            segment, with their right neighbours."""
+            new = self.merged(a[i], a[i + 1])
+            fits = np.flatnonzero(new >= 0)
+            j = i[fits]
+            stays = ~drop.many(begin[j], stop[j], stop[j + 1])
             order[i] = NO
-            i = i[~last[i]]
-            new[i] = self.merged(a[i], a[i + 1])
-            i = i[new[i] >= 0]
-            i = i[~drop.many(begin[i], begin[i + 1], stop[i + 1])]
-            order[i] = self.rank[new[i]] << 32 | begin[i] & 0xFFFFFFFF
+            j, new = j[stays], new[fits[stays]]
+            order[j] = self.rank[new] << 28 | rel[j].astype(np.int64) << 20 | new
 
-        price(np.arange(count))
+        price(np.flatnonzero(~last))
         while len(a):
             seg_at = np.flatnonzero(np.concatenate(([True], last[:-1])))
             best = np.minimum.reduceat(order, seg_at)
-            over = best == NO
             size = np.diff(np.append(seg_at, len(a)))
-            if over.any():
-                out = np.repeat(over, size)
-                done_at.append(begin[out])
-                done_id.append(a[out])
-                keep = ~out
-                a, begin, stop, last, new, order = (x[keep] for x in (a, begin, stop, last, new, order))
-                best, size = best[~over], size[~over]
-                if not len(a):
-                    break
-            i = np.flatnonzero(order == np.repeat(best, size))
-            a[i], stop[i], last[i] = new[i], stop[i + 1], last[i + 1]
-            keep = np.ones(len(a), bool)
+            turn = np.repeat(best, size)
+            i = np.flatnonzero((order == turn) & (turn != NO))
+            keep = turn != NO
+            out = np.flatnonzero(~keep)
+            if len(out):
+                done_at.append(begin[out].astype(np.int64))
+                done_id.append(a[out].astype(np.int64))
+            a[i], stop[i], last[i] = order[i] & 0xFFFFF, stop[i + 1], last[i + 1]
             keep[i + 1] = False
-            a, begin, stop, last, new, order = (x[keep] for x in (a, begin, stop, last, new, order))
-            i -= np.arange(len(i))
-            left = i - 1
-            left = left[(left >= 0)]
-            price(np.concatenate((i, left[~last[left]])))
+            place = np.cumsum(keep)[i] - 1
+            stay = np.flatnonzero(keep)
+            a, begin, stop, rel, last, order = (x.take(stay) for x in (a, begin, stop, rel, last, order))
+            order[place] = NO
+            left = place[rel[place] > 0] - 1
+            price(np.concatenate((place[~last[place]], left)))
         if not done_at:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate(done_at), np.concatenate(done_id)
 
 
 class _Drop:
-    """Which candidates are skipped."""
+    """Which candidates are skipped: a hash of the document's key and the places
+    of the two symbols in the document."""
 
     def __init__(self, keys: np.ndarray, doc: np.ndarray, origin: np.ndarray, rate: float):
-        self.keys, self.doc, self.origin = keys, doc, origin
+        self.base = keys[doc] - origin.astype(np.uint64) * np.uint64(sum(map(int, _C)) & (1 << 64) - 1)
         self.under = np.uint64(min(int(rate * 2.0 ** 64), 2 ** 64 - 1))
 
     def many(self, begin: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
         if not self.under or not len(begin):
             return np.zeros(len(begin), bool)
-        own = self.origin[begin]
-        place = (begin - own).astype(np.uint64) * _C[0] + (middle - own).astype(np.uint64) * _C[1] + (end - own).astype(np.uint64) * _C[2]
-        return mix(place ^ self.keys[self.doc[begin]]) < self.under
+        place = self.base.take(begin)
+        for at, factor in zip((begin, middle, end), _C):
+            place += at.astype(np.uint64) * factor
+        return mix(place) < self.under
 
     def one(self, begin: int, middle: int, end: int) -> bool:
         return bool(self.under) and bool(self.many(np.array([begin]), np.array([middle]), np.array([end]))[0])
@@ -262,25 +271,29 @@ def _keys(ids: pa.Array) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest("" if i is None else str(i)) for i in ids.to_pylist()], np.uint64)
 
 
-def encode(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, ids) for each row of ``docs``.
+def encode(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 42, id_col: str = "doc_id", text_col: str = "text",
+           carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, ids) for each row of ``docs``, and its columns ``carry``.
 
     NULL texts count as empty and have no ids. Rows with the same id and text
     are cut alike; a NULL id is a key like any other. With ``dropout`` 0 the ids
     are those of the library; at 1 no merge is made. Other columns are not read,
     so names cannot clash. An empty table gives an empty result.
     """
-    rows = id_and_text(docs, id_col, text_col)
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"), *(F.col(c) for c in carry))
+    names = ["doc_id", "ids", *carry]
 
     def run(batches):
         own = model(model_path)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=SLICE):
                 ids, ends = own.encode(part.column(1).to_pylist(), _keys(part.column(0)), dropout, seed)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists], ["doc_id", "text", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0), lists, *part.columns[2:]], names)
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string, ids array<int>")
+    fields = {f.name: f for f in rows.schema.fields}
+    schema = T.StructType([fields["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType())), *(fields[c] for c in carry)])
+    return rows.mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
