@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+SUMMARY = ("source_type", "total_records", "unique_records", "source_files", "last_ingestion")
+
+
 def ingestion_summary(df: DataFrame, source_type: str, hash_col: str = "_record_hash",
                       file_col: str = "_source_file", time_col: str = "_ingestion_timestamp",
                       approx: bool = False) -> DataFrame:
@@ -17,14 +20,16 @@ def ingestion_summary(df: DataFrame, source_type: str, hash_col: str = "_record_
     ``approx=True`` counts distinct hashes with HyperLogLog++ (fixed-size
     sketches merged map-side, ~1 % error) instead of shuffling every distinct
     hash, for monitors over very large tables."""
-    distinct = (lambda c: F.approx_count_distinct(c, 0.01)) if approx else F.count_distinct
-    return df.agg(
-        F.lit(source_type).alias("source_type"),
-        F.count(F.lit(1)).alias("total_records"),
-        distinct(hash_col).alias("unique_records"),
-        F.count_distinct(file_col).alias("source_files"),
-        F.max(time_col).alias("last_ingestion"),
-    )
+    whole = [F.count(F.lit(1)).alias("total_records"), F.max(time_col).alias("last_ingestion")]
+    if approx:
+        return df.agg(F.lit(source_type).alias("source_type"), *whole, F.approx_count_distinct(hash_col, 0.01).alias("unique_records"),
+                      F.count_distinct(file_col).alias("source_files")).select(*SUMMARY)
+    # A pass over its own column for each distinct count: two of them in one
+    # aggregate would double every row. The one-row results are stacked.
+    passes = [df.agg(*whole), df.select(hash_col).distinct().agg(F.count(hash_col).alias("unique_records")),
+              df.select(file_col).distinct().agg(F.count(file_col).alias("source_files"))]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), passes)
+    return stacked.agg(F.lit(source_type).alias("source_type"), *(F.max(c).alias(c) for c in SUMMARY[1:]))
 
 
 def unified_summary(tables: Mapping[str, DataFrame], **kw) -> DataFrame:

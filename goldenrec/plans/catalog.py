@@ -164,11 +164,16 @@ def q_left_scored_keeps_null_key(spark, sf_dir):
     return golden.score(identified, how="left", keep_repetition=True, hot_keys=settings.HOT_KEY_MAX_KEYS)
 
 
-@register("near_duplicate_names")
+@register("near_duplicate_names", with_ctes(
+    CTE_PERSONS, CTE_SILVER,
+    "n as (select name as value, count(*)::bigint as records from silver where name is not null group by name)",
+    "e as (select a.value as a, b.value as b from n a join n b on levenshtein(a.value, b.value) <= 1)",
+    "reach(value, other) as (select value, value from n union select e.a, reach.other from reach join e on e.b = reach.value)",
+    body="select value, any_value(records) as records, min(other) as cluster from reach join n using (value) group by value",
+).replace("with ", "with recursive ", 1))
 def q_near_duplicate_names(spark, sf_dir):
     """Clusters of person names within edit distance 1 of each other
-    (single linkage; exact, checked against brute force in the tests; no
-    oracle because SQL would need an all-pairs theta join)."""
+    (single linkage; exact; the oracle compares all pairs)."""
     from goldenrec.operators import neardup
 
     return neardup.near_duplicate_clusters(_result(spark, sf_dir).silver, "name")

@@ -6,12 +6,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from goldenrec import settings
 from goldenrec.operators import cleaning, golden, identity
 from goldenrec.operators.golden import OrderKey
 from goldenrec.plans import source_tables as st
 from goldenrec.plans.registry import initcap_sql, register, with_ctes
-from goldenrec.session import materialize
+from goldenrec.sources.spec import spec_by_name
 
 # --- DuckDB twins of the derived feeds -----------------------------------------
 
@@ -75,10 +74,20 @@ select {CUSTOMER_COLS}, confidence, confidence_rank, row_num from (
 def q_golden_customers(spark, sf_dir):
     """G4 for customers: key = email, else phone, else first_name_city (blanks
     missing); best = highest confidence, newest registration, then system."""
-    feed = materialize(_customer_feed(spark, sf_dir), "customers")  # read by several join branches
-    scored = golden.score(feed, columns=None, hot_keys=settings.HOT_KEY_MAX_KEYS)
     order = (OrderKey("confidence_rank"), OrderKey("registration_date"), OrderKey("system", descending=False))
-    return golden.golden_records(scored, ("unique_identifier",), order)
+    return golden.golden_by_key(_customer_feed(spark, sf_dir), order=order)
+
+
+@register("dedup_by_source_columns", """
+select 'customers' as source_type, concat_ws('|', email, phone, first_name, last_name) as dedup_key,
+       min(customer_id) as record_id, count(*)::bigint as copies
+from (""" + with_ctes(CTE_CUSTOMER_FEED, body="select * from clean") + ") group by email, phone, first_name, last_name")
+def q_dedup_by_source_columns(spark, sf_dir):
+    """K4: exact dedup by the columns a source declares (``dedup_columns``)."""
+    spec = spec_by_name("customers", "")
+    found = identity.exact_duplicates(_customer_feed(spark, sf_dir), spec.dedup_columns, spec.primary_key_columns[0])
+    return found.select(F.lit(spec.name).alias("source_type"), F.concat_ws("|", *spec.dedup_columns).alias("dedup_key"),
+                        F.col(spec.primary_key_columns[0]).alias("record_id"), "copies")
 
 
 CTE_PRODUCT_FEED = """erp as (
@@ -122,10 +131,8 @@ select {PRODUCT_COLS}, confidence, confidence_rank, row_num from (
 def q_golden_products(spark, sf_dir):
     """G4 for products: key = sku; best = highest confidence, lowest price,
     then system."""
-    feed = materialize(_product_feed(spark, sf_dir), "products")  # read by several join branches
-    scored = golden.score(feed, columns=None, hot_keys=settings.HOT_KEY_MAX_KEYS)
     order = (OrderKey("confidence_rank"), OrderKey("price", descending=False), OrderKey("system", descending=False))
-    return golden.golden_records(scored, ("unique_identifier",), order)
+    return golden.golden_by_key(_product_feed(spark, sf_dir), order=order)
 
 
 @register("products_standardized", with_ctes(CTE_PRODUCT_FEED, body="""
