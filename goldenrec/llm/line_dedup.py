@@ -32,7 +32,9 @@ def line_hashes(docs: DataFrame, min_chars: int = 10, id_col: str = "doc_id", te
     least ``min_chars`` code points; body tells texts of one id apart. Rows
     without an id have no lines here."""
     rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    rows = rows.select("doc_id", F.xxhash64("text").alias("body"), F.posexplode(_split(ascii_lower(F.col("text")))).alias("pos", "line"))
+    # Hashed before the explode, so once for each text and not for each line.
+    rows = rows.select("doc_id", F.xxhash64("text").alias("body"), _split(ascii_lower(F.col("text"))).alias("lines"))
+    rows = rows.select("doc_id", "body", F.posexplode("lines").alias("pos", "line"))
     rows = rows.withColumn("line", F.btrim("line", F.lit(BLANKS))).filter(F.length("line") >= min_chars)
     return rows.select("doc_id", "body", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"))
 
@@ -64,7 +66,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2, id_col:
         F.col("doc_id").alias("__id"), F.col("body").alias("__body"), F.col("drop").alias("__drop"))
     text = text_of(text_col)
     joined = docs.join(gone, (F.col(id_col) == F.col("__id")) & (F.xxhash64(text) == F.col("__body")), "left")
-    lines, drop = _split(text), F.col("__drop")
+    # The lines are a column of their own: inside the lambda the split itself
+    # would run again for every line.
+    joined = joined.withColumn("__lines", _split(text))
+    lines, drop = F.col("__lines"), F.col("__drop")
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), drop), lambda p: F.get(lines, p))
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     out = F.when(drop.isNull(), text).otherwise(F.array_join(kept, "\n"))

@@ -45,6 +45,14 @@ def test_lines_over_a_table(docs, empty, texts):
     assert rows[0]["drop"] == "s" and dedup_lines(empty).count() == 0
 
 
+def test_texts_of_very_many_lines(llm_spark):
+    """Work grows with the lines, not with lines times text."""
+    given = {1: "\n".join(f"shared line number {i}" for i in range(0, 100_000, 2)),
+             2: "\n".join(f"{'own' if i % 2 else 'shared'} line number {i}" for i in range(100_000))}
+    rows = dedup_lines(llm_spark.createDataFrame(list(given.items()), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["text"]) for r in rows} == slow_lines(given)
+
+
 def test_lines_of_repeated_and_missing_ids(llm_spark):
     line = "a line that is long enough"
     df = llm_spark.createDataFrame([(1, line), (1, line), (2, "x\n  " + line.upper() + "\t\ny"), (None, line), (2, line + "\nz"), (3, "\x85" + line)], "doc_id long, text string")
