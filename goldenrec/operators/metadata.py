@@ -33,3 +33,11 @@ def enrich(df: DataFrame, source_name: str, include_file_info: bool = True,
     if include_file_info:
         cols += [file_path().alias("_source_file"), file_name_from_path(file_path()).alias("_source_file_name")]
     return df.select(*cols)
+
+
+def by_folder(df: DataFrame, file_col: str = "_source_file", name_col: str = "_source_file_name",
+              out: str = "_source_folder") -> DataFrame:
+    """Lineage by the folder a row's file lies in (one per feeding system),
+    in place of its path and name: those differ from write to write."""
+    folder = F.element_at(F.split(F.col(file_col), "/"), -2)
+    return df.select(*(c for c in df.columns if c not in (file_col, name_col)), folder.alias(out))

@@ -4,6 +4,7 @@ products' own normalizations, per-entity identity keys and tie-breaks."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldenrec.operators import cleaning, golden, identity
@@ -153,3 +154,89 @@ def q_products_standardized(spark, sf_dir):
     df = a.unionByName(b).select("system", "product_id", "product_name", "category", "sku",
                                  F.col("is_active").alias("flag_raw"), F.col("is_active"))
     return cleaning.apply_transforms(df, products_spec("").transformations)
+
+
+# --- employees, orders, inventory: a second system resends part of the records ---
+
+#: What the source folders hold of these three entities, as their tables type it.
+CTE_EMPLOYEES = """employees as (
+  select 'hr' as system, printf('EMP%06d', s.s_suppkey) as employee_id, 'Supplier' as first_name,
+         """ + initcap_sql("n.n_name") + """ as last_name, lower(replace(s.s_name, '#', '.')) || '@corp.example' as email,
+         printf('D%02d', n.n_regionkey) as department, 'buyer' as job_title,
+         date '2015-06-01' + cast(s.s_nationkey as integer) as hire_date, cast(trunc(s.s_acctbal) as integer) as salary,
+         cast(null as varchar) as manager_id, n.n_name as location, 'Supplier ' || """ + initcap_sql("n.n_name") + """ as full_name
+  from supplier s join nation n on s.s_nationkey = n.n_nationkey)"""
+CTE_ORDERS = """sales as (
+  select 'ecommerce' as system, printf('ORD%d-%d', l_orderkey, l_linenumber) as order_id, printf('CUST%08d', o_custkey) as customer_id,
+         printf('PROD%06d', l_partkey) as product_id, cast(trunc(l_quantity) as integer) as quantity,
+         cast(round(cast(cast(l_extendedprice / l_quantity as varchar) as decimal(30, 15)), 2) as double) as unit_price,
+         l_extendedprice as total_amount, cast(o_orderdate as date) as order_date, o_orderstatus as status,
+         l_returnflag as shipping_method, o_orderpriority as payment_method
+  from lineitem join orders on l_orderkey = o_orderkey)"""
+CTE_INVENTORY = """stock as (
+  select 'warehouse' as system, printf('INV%06d', p_partkey) as inventory_id, printf('PROD%06d', p_partkey) as product_id,
+         'WH-' || p_type as warehouse_location, p_size as quantity_on_hand, 10 as reorder_level, 50 as reorder_quantity,
+         date '2024-01-01' + cast(p_size as integer) as last_restock_date, 'SUP' || p_brand as supplier_id,
+         cast(round(cast(cast(p_retailprice / 2 as varchar) as decimal(30, 15)), 2) as double) as unit_cost
+  from part)"""
+
+
+def _resent(spark, sf_dir, source: str, system: str, part: str, changes: dict) -> DataFrame:
+    """The records of the source's one system, and those for which ``part``
+    holds once more from ``system``, with ``changes``; keyed by K3."""
+    (first, df), = st.sample_source_frames(spark, sf_dir)[source]
+    again = df.filter(part)
+    both = df.select(F.lit(first).alias("system"), "*").unionByName(again.select(
+        F.lit(system).alias("system"), *(changes.get(c, F.col(c)).alias(c) for c in df.columns)))
+    spec = spec_by_name(source, "")
+    both = cleaning.apply_transforms(both, spec.transformations)
+    dates = [c for c in both.columns if c.endswith("_date")]
+    both = cleaning.parse_dates(both, dates)
+    return both.withColumn("unique_identifier", identity.entity_identifier(both, source))
+
+
+def _golden_sql(cte: str, base: str, key: str, system: str, part: str, changes: str, newest: str, ties: tuple[str, ...] = ()) -> str:
+    again = f"select * replace ('{system}' as system, {changes}) from {base} where {part}"
+    tail = GOLDEN_TAIL.replace("identified i", "keyed i").replace("from identified", "from keyed")
+    return with_ctes(cte, f"both_systems as (select * from {base} union all {again})", f"keyed as (select *, {key} as unique_identifier from both_systems)" + tail,
+                     body=f"""
+select * from (
+  select *, case confidence when 'High' then 3 when 'Moderate' then 2 when 'Low' then 1 end as confidence_rank,
+         cast(row_number() over (partition by unique_identifier order by {", ".join([newest + " desc nulls last", "system", *ties])}) as integer) as row_num
+  from ranked) where row_num = 1""")
+
+
+def _newest(column: str, ties: tuple[str, ...] = ()) -> tuple[OrderKey, ...]:
+    return OrderKey("confidence_rank"), OrderKey(column), *(OrderKey(c, descending=False) for c in ("system", *ties))
+
+
+@register("golden_employees", _golden_sql(CTE_EMPLOYEES, "employees", "email", "payroll", "salary >= 0", "hire_date + 30 as hire_date", "hire_date"))
+def q_golden_employees(spark, sf_dir):
+    """G4/K3 for employees: key = email, whose spelling differs between the two
+    systems; best = highest confidence, newest hire date, then system."""
+    later = F.date_format(F.date_add(F.to_date("hire_date"), 30), "yyyy-MM-dd")
+    feed = _resent(spark, sf_dir, "employees", "payroll", "salary >= 0", {"email": F.lower(F.trim("email")), "hire_date": later})
+    return golden.golden_by_key(feed, order=_newest("hire_date"))
+
+
+#: Order ids repeat in the line items, so orders need more columns to tell ties apart.
+_ORDER_TIES = ("total_amount", "product_id", "quantity", "shipping_method")
+
+
+@register("golden_orders", _golden_sql(CTE_ORDERS, "sales", "order_id", "billing", "status = 'F'", "'billed' as status", "order_date", _ORDER_TIES))
+def q_golden_orders(spark, sf_dir):
+    """G4/K3 for orders: key = the first column whose name holds id; best =
+    highest confidence, newest order, system, then _ORDER_TIES."""
+    feed = _resent(spark, sf_dir, "orders", "billing", "status = 'F'", {"status": F.lit("billed")})
+    return golden.golden_by_key(feed, order=_newest("order_date", _ORDER_TIES))
+
+
+@register("golden_inventory", _golden_sql(CTE_INVENTORY, "stock", "inventory_id", "audit", "quantity_on_hand > 25",
+                                          "quantity_on_hand + 1 as quantity_on_hand, last_restock_date + 7 as last_restock_date", "last_restock_date"))
+def q_golden_inventory(spark, sf_dir):
+    """G4/K3 for inventory: key = the first column whose name holds id; best =
+    highest confidence, newest restock, then system."""
+    later = F.date_format(F.date_add(F.to_date("last_restock_date"), 7), "yyyy-MM-dd")
+    feed = _resent(spark, sf_dir, "inventory", "audit", "quantity_on_hand > 25",
+                   {"quantity_on_hand": F.col("quantity_on_hand") + 1, "last_restock_date": later})
+    return golden.golden_by_key(feed, order=_newest("last_restock_date"))

@@ -58,32 +58,32 @@ def profile_sql(source: str, cols, semantic: bool = False) -> str:
     return (f"agg as (select {', '.join(aggs)} from (select {inner} from {source}))", "\nunion all\n".join(rows))
 
 
-def _profile_oracle(base_ctes, source, cols, semantic=False, body_wrap=None):
+def profile_oracle(base_ctes, source, cols, semantic=False, body_wrap=None):
     cte, body = profile_sql(source, cols, semantic)
     if body_wrap:
         body = body_wrap.format(body=body)
     return with_ctes(*base_ctes, cte, body=body)
 
 
-@register("type_profile", _profile_oracle([CTE_PERSONS], "persons", PERSON_COLS))
+@register("type_profile", profile_oracle([CTE_PERSONS], "persons", PERSON_COLS))
 def q_type_profile(spark, sf_dir):
     """PR1/PR7: inferred type, null share and two sample values per column."""
     return profile.type_profile(persons(spark, sf_dir))
 
 
-@register("type_profile_events", _profile_oracle([], "events", EVENT_COLS))
+@register("type_profile_events", profile_oracle([], "events", EVENT_COLS))
 def q_type_profile_events(spark, sf_dir):
     """PR1 over the event table (every column read as text)."""
     return profile.type_profile(table(spark, sf_dir, "events"))
 
 
-@register("semantic_profile", _profile_oracle([CTE_PERSONS], "persons", PERSON_COLS, semantic=True))
+@register("semantic_profile", profile_oracle([CTE_PERSONS], "persons", PERSON_COLS, semantic=True))
 def q_semantic_profile(spark, sf_dir):
     """PR8: email / phone / currency pattern matches next to the type profile."""
     return profile.type_profile(persons(spark, sf_dir), semantic=True)
 
 
-@register("null_percentage", _profile_oracle(
+@register("null_percentage", profile_oracle(
     [CTE_PERSONS], "persons", PERSON_COLS, body_wrap="select column_name, null_percentage from ({body})"))
 def q_null_percentage(spark, sf_dir):
     """PR7 alone."""

@@ -11,11 +11,12 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from goldenrec.functions.hashing import with_record_hash
-from goldenrec.operators import metadata, monitor, quality
+from goldenrec.operators import metadata, monitor, profile, quality
+from goldenrec.plans import catalog_entities as entities
 from goldenrec.plans import source_tables as st
-from goldenrec.plans.catalog_profile import TABLE_COLUMNS
+from goldenrec.plans.catalog_profile import TABLE_COLUMNS, profile_oracle
 from goldenrec.plans.persons import table
-from goldenrec.plans.registry import register
+from goldenrec.plans.registry import register, with_ctes
 from goldenrec.session import shared_dir
 from goldenrec.sources import sinks
 from goldenrec.sources.spec import SourceSpec, api_logs_spec
@@ -47,17 +48,42 @@ def _sources(spark, sf_dir, only=None) -> str:
     return st.write_sample_sources(spark, sf_dir, base, only=only)
 
 
+def _table_sql(source: str, cte: str, rows: str, columns: str) -> str:
+    """DuckDB twin of a fixed table read back from its CSV folders."""
+    text = ", ".join(f"cast({c.strip()} as varchar)" for c in columns.split(","))
+    return with_ctes(cte, body=f"""
+select {columns}, '{source}' as _source_system, timestamp '2024-01-01 00:00:00' as _ingestion_timestamp,
+       system as _source_folder, md5(concat_ws('||', {text})) as _record_hash from {rows}""")
+
+
+_TABLE_SQL = {
+    "customers": _table_sql("customers", entities.CTE_CUSTOMER_FEED, "identified",
+                            "customer_id, first_name, last_name, email, phone, address, city, country, registration_date, customer_type, full_name"),
+    "products": _table_sql("products", entities.CTE_PRODUCT_FEED, "identified",
+                           "product_id, product_name, category, brand, price, currency, stock_quantity, sku, weight_kg, is_active"),
+    "orders": _table_sql("orders", entities.CTE_ORDERS, "sales",
+                         "order_id, customer_id, product_id, quantity, unit_price, total_amount, order_date, status, shipping_method, payment_method"),
+    "employees": _table_sql("employees", entities.CTE_EMPLOYEES, "employees",
+                            "employee_id, first_name, last_name, email, department, job_title, hire_date, salary, manager_id, location, full_name"),
+    "inventory": _table_sql("inventory", entities.CTE_INVENTORY, "stock",
+                            "inventory_id, product_id, warehouse_location, quantity_on_hand, reorder_level, reorder_quantity, last_restock_date, supplier_id, unit_cost"),
+}
+
+
+def _fixed_table(spark, base, name):
+    return metadata.by_folder(st.FIXED_TABLES[name](spark, base, ingested_at=INGESTED_AT))
+
+
 def _fixed(name):
     def run(spark, sf_dir):
-        base = _sources(spark, sf_dir, only=[name])
-        return st.FIXED_TABLES[name](spark, base, ingested_at=INGESTED_AT)
+        return _fixed_table(spark, _sources(spark, sf_dir, only=[name]), name)
     run.__name__ = f"q_source_table_{name}"
-    run.__doc__ = f"T: pre_bronze_{name} over CSV files derived from the driver tables (rows-only check)."
+    run.__doc__ = f"T: pre_bronze_{name} over CSV files derived from the driver tables; files are told by their folder."
     return run
 
 
 for _name in st.FIXED_TABLES:
-    register(f"source_table_{_name}")(_fixed(_name))
+    register(f"source_table_{_name}", _TABLE_SQL[_name])(_fixed(_name))
 
 
 def _rules_sql(source: str, src: str, rules: dict[str, str]) -> str:
@@ -136,18 +162,21 @@ def q_catalogue_quality(spark, sf_dir):
 
     base = _sources(spark, sf_dir)
     parts = []
-    for spec in all_specs(base):
+    for spec in map(st.line_oriented, all_specs(base)):  # Spark wrote one record per line
         df = st.build_source_table(spark, spec, ingested_at=INGESTED_AT)
         parts.append(quality.report(df, spec.expectations()).select(F.lit(spec.name).alias("source"), "*"))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-@register("pre_bronze_monitor")
+@register("pre_bronze_monitor", "\nunion all\n".join(
+    f"select '{name}' as source_type, count(*) as total_records, count(distinct _record_hash) as unique_records, "
+    f"count(distinct _source_folder) as source_files, max(_ingestion_timestamp) as last_ingestion from ({sql})"
+    for name, sql in _TABLE_SQL.items()))
 def q_pre_bronze_monitor(spark, sf_dir):
-    """A3 over the five pre-bronze tables read from their CSV folders."""
+    """A3 over the five pre-bronze tables read from their CSV folders; sources
+    are counted by folder, as Spark writes any number of files."""
     base = _sources(spark, sf_dir)
-    return monitor.unified_summary({n: fn(spark, base, ingested_at=INGESTED_AT)
-                                    for n, fn in st.FIXED_TABLES.items()})
+    return monitor.unified_summary({n: _fixed_table(spark, base, n) for n in st.FIXED_TABLES}, file_col="_source_folder")
 
 
 def _api_logs(spark, sf_dir) -> SourceSpec:
@@ -186,22 +215,45 @@ def q_api_logs_quality(spark, sf_dir):
     return quality.report(df, spec.expectations())
 
 
-@register("custom_dataset")
+@register("custom_dataset", """
+select *, 'custom_dataset' as _source_system, timestamp '2024-01-01 00:00:00' as _ingestion_timestamp,
+       md5(concat_ws('||', cast(id as varchar), cast(o_custkey as varchar), o_orderstatus, cast(o_totalprice as varchar),
+                     cast(o_orderdate as varchar), o_orderpriority)) as _record_hash
+from (select cast(o_orderkey as integer) as id, cast(o_custkey as integer) as o_custkey, o_orderstatus, o_totalprice,
+             cast(o_orderdate as date) as o_orderdate, o_orderpriority from orders)""")
 def q_custom_dataset(spark, sf_dir):
     """CSV without a declared schema -> detected types -> trim ->
-    metadata -> hash (rows-only check)."""
+    metadata -> hash."""
+    return st.custom_dataset(spark, _orders_csv(spark, sf_dir), ingested_at=INGESTED_AT, multi_line=False).drop("_source_file", "_source_file_name")
+
+
+def _orders_csv(spark, sf_dir) -> str:
     path = shared_dir(spark, "sources", "custom")
     table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"), "o_custkey", "o_orderstatus", "o_totalprice",
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), "o_orderpriority",
     ).write.mode("overwrite").option("header", "true").csv(path)
-    return st.custom_dataset(spark, path, ingested_at=INGESTED_AT)
+    return path
+
+
+_ORDER_COLUMNS = ("id", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+
+
+@register("profile_csv", profile_oracle(
+    ["o as (select o_orderkey as id, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') as o_orderdate, o_orderpriority from orders)"],
+    "o", _ORDER_COLUMNS))
+def q_profile_csv(spark, sf_dir):
+    """PR3: a CSV read as text, without an inference pass, and profiled."""
+    return profile.profile_csv(spark, _orders_csv(spark, sf_dir))
 
 
-@register("source_inventory")
+@register("source_inventory", """
+select unnest(['sap', 'salesforce', '(none)']) as folder, unnest([n, n, 0]) as rows, unnest([10, 10, 0]) as columns,
+       unnest([true, true, false]) as present
+from (select count(*) as n from customer c join nation n on c.c_nationkey = n.n_nationkey join region r on n.n_regionkey = r.r_regionkey)""")
 def q_source_inventory(spark, sf_dir):
-    """Rows and columns per customer source file (rows-only check)."""
-    base = _sources(spark, sf_dir, only=["customers"])
-    df = (spark.read.format("csv").option("header", "true").option("recursiveFileLookup", "true")
-          .load(f"{base}/customers/"))
-    return sinks.file_inventory(spark, df)
+    """The customer source files, each counted by its own header, and an
+    expected one that is not there; summed per feeding system."""
+    files = sinks.csv_inventory(spark, f"{_sources(spark, sf_dir, only=['customers'])}/customers/", expected=["customers_crm.csv"])
+    return files.groupBy(F.coalesce("folder", F.lit("(none)")).alias("folder")).agg(
+        F.sum("rows").alias("rows"), F.max("columns").alias("columns"), F.bool_and("present").alias("present"))

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from goldenrec.functions.hashing import with_record_hash
 from goldenrec.operators import cleaning, metadata, profile, quality
 from goldenrec.plans.persons import table
 from goldenrec.sources import readers
-from goldenrec.sources.spec import SourceRegistry, SourceSpec, all_specs
+from goldenrec.sources.spec import SourceRegistry, SourceSpec
 
 
 def build_source_table(spark: SparkSession, spec: SourceSpec, streaming: bool = False, apply_cleaning: bool = True,
@@ -49,11 +50,17 @@ def process_all_sources(spark: SparkSession, specs: Sequence[SourceSpec], **kw)
     return {f"pre_bronze_{n}": build_source_table(spark, reg.get(n), **kw) for n in reg.names()}
 
 
-def custom_dataset(spark: SparkSession, path: str, name: str = "custom_dataset",
-                   ingested_at: dt.datetime | None = None) -> DataFrame:
-    """Read -> detect and apply types -> trim -> metadata -> hash."""
+def line_oriented(spec: SourceSpec) -> SourceSpec:
+    """The source with one record per line, so its files split into many tasks."""
+    return replace(spec, read_options={**spec.read_options, "multiLine": "false"})
+
+
+def custom_dataset(spark: SparkSession, path: str, name: str = "custom_dataset", ingested_at: dt.datetime | None = None,
+                   multi_line: bool = True) -> DataFrame:
+    """Read -> detect and apply types -> trim -> metadata -> hash.
+    ``multi_line=False`` for files of one record per line, which then split."""
     spec = SourceSpec(name=name, source_path=path, primary_key_columns=("id",),
-                      quality_rules={"has_id": "id IS NOT NULL"})
+                      quality_rules={"has_id": "id IS NOT NULL"}, read_options={"multiLine": str(multi_line).lower()})
     df = readers.read_batch(spark, spec)
     df = profile.apply_inferred_schema(df)
     df = cleaning.trim_strings(df)
@@ -245,6 +252,3 @@ def write_sample_sources(spark: SparkSession, sf_dir: str, base: str,
             df.write.mode("overwrite").option("header", "true").csv(f"{base}/{src}/{system}")
     return base
 
-
-def source_specs(base: str) -> list[SourceSpec]:
-    return all_specs(base)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -31,10 +32,14 @@ def save_schema(spark: SparkSession, schema: StructType, path: str) -> None:
 
 
 def load_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The schema saved at ``path``; None if there is nothing. Other errors
+    (permissions, network) are raised: a new inference would hide them."""
     try:
         row = spark.read.text(path).first()
-    except Exception:  # noqa: BLE001 - nothing persisted yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
     return StructType.fromJson(json.loads(row[0])) if row else None
 
 

@@ -2,20 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-
-
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> str:
-    """Batch sink: parquet, whole-table overwrite (idempotent on rerun)."""
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
 
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> str:
@@ -24,27 +15,28 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> str:
     return name
 
 
-def write_stream(df: DataFrame, path: str, checkpoint: str, output_mode: str = "append",
-                 available_now: bool = True, partition_by: Sequence[str] = ()) -> StreamingQuery:
-    """Streaming sink: parquet files with a checkpoint (exactly-once file
-    commits; a restarted query resumes from the checkpoint)."""
-    w = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-    w = w.outputMode(output_mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    if available_now:
-        w = w.trigger(availableNow=True)
-    return w.start()
-
-
-def file_inventory(spark: SparkSession, df: DataFrame, expected: Sequence[str] = ()) -> DataFrame:
-    """Rows and columns per source file, plus expected files that are
-    missing (rows 0). ``df`` must come straight from a file read."""
-    per_file = df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("rows"))
-    per_file = per_file.withColumn("columns", F.lit(len(df.columns))).withColumn("present", F.lit(True))
+def csv_inventory(spark: SparkSession, path: str, expected: Sequence[str] = (), sep: str = ",") -> DataFrame:
+    """(folder, file_name, rows, columns, present) of the CSV files under
+    ``path``, each counted by its own header, and the ``expected`` file names
+    that are not there (no folder, no rows, no columns).
+
+    The files hold one record per line. One grouped aggregate: a file's header
+    is its first line, the one of least (block, position in the block).
+    """
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    mark = re.escape(sep)
+    # Separators followed by an even number of quotes stand outside of them.
+    outside = F.lit(f'{mark}(?=(?:[^"]*"[^"]*")*[^"]*$)')
+    files = lines.select(F.col("_metadata.file_path").alias("file"), "value", place.alias("place")).groupBy("file").agg(
+        (F.count(F.lit(1)) - 1).alias("rows"), F.min_by("value", "place").alias("header"))
+    parts = F.split("file", "/")
+    found = files.select(F.element_at(parts, -2).alias("folder"), F.element_at(parts, -1).alias("file_name"), "rows",
+                         (F.regexp_count("header", outside) + 1).alias("columns"), F.lit(True).alias("present"))
     if not expected:
-        return per_file
-    exp = spark.createDataFrame([(e,) for e in expected], "file_name string")
-    missing = exp.join(per_file, "file_name", "left_anti").select(
-        "file_name", F.lit(0).cast("long").alias("rows"), F.lit(0).alias("columns"), F.lit(False).alias("present"))
-    return per_file.unionByName(missing)
+        return found
+    wanted = spark.createDataFrame([(e,) for e in expected], "file_name string")
+    missing = wanted.join(found.select("file_name"), "file_name", "left_anti").select(
+        F.lit(None).cast("string").alias("folder"), "file_name", F.lit(0).cast("long").alias("rows"), F.lit(0).alias("columns"),
+        F.lit(False).alias("present"))
+    return found.unionByName(missing)

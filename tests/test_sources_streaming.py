@@ -104,11 +104,24 @@ def test_custom_dataset_flow(spark, tmp_dir):
     assert "_record_hash" in df.columns
 
 
-def test_file_inventory(spark, sample_sources):
-    df = spark.read.option("header", "true").option("recursiveFileLookup", "true").csv(f"{sample_sources}/customers")
-    inv = {r["file_name"]: (r["rows"], r["columns"], r["present"])
-           for r in sinks.file_inventory(spark, df, expected=["customers_a.csv", "missing.csv"]).collect()}
-    assert inv == {"customers_a.csv": (5, 10, True), "customers_b.csv": (5, 10, True), "missing.csv": (0, 0, False)}
+def test_csv_inventory(spark, sample_sources):
+    write_text(f"{sample_sources}/customers/crm/odd.csv", 'id,"last, first",note\n1,"a, b",x\n')
+    write_text(f"{sample_sources}/customers/crm/bare.csv", "id\n")
+    inv = {r["file_name"]: (r["folder"], r["rows"], r["columns"], r["present"])
+           for r in sinks.csv_inventory(spark, f"{sample_sources}/customers", expected=["customers_a.csv", "gone.csv"]).collect()}
+    assert inv == {"customers_a.csv": ("sap", 5, 10, True), "customers_b.csv": ("salesforce", 5, 10, True),
+                   "odd.csv": ("crm", 1, 3, True), "bare.csv": ("crm", 0, 1, True), "gone.csv": (None, 0, 0, False)}
+
+
+def test_builder_streams_what_it_reads_in_batch(spark, sample_sources, tmp_dir):
+    spec = spec_by_name("products", sample_sources)
+    batch = st.build_source_table(spark, spec, ingested_at=T0)
+    stream = st.build_source_table(spark, spec, streaming=True, ingested_at=T0)
+    assert stream.isStreaming and stream.columns == batch.columns
+    q = stream.writeStream.format("parquet").option("path", f"{tmp_dir}/t").option("checkpointLocation", f"{tmp_dir}/c").trigger(availableNow=True).start()
+    q.awaitTermination()
+    rows = sorted(map(str, spark.read.parquet(f"{tmp_dir}/t").collect()))
+    assert rows == sorted(map(str, batch.collect())) and len(rows) == 8
 
 
 def test_metadata_enrich_without_files(spark):
