@@ -49,25 +49,31 @@ def run_identity(spark: SparkSession, a: argparse.Namespace) -> dict[str, str]:
     bronze = metadata.with_file_columns(readers.read_batch(spark, _bronze_spec(a)))
     paths = ip.run_identity_job(spark, bronze, a.out, _params(a))
     report_path = os.path.join(a.out, "dd_bronze_quality")
-    quality.report(quality.typed_for_rules(bronze), settings.BRONZE_QUALITY_RULES) \
+    quality.report(quality.typed_for_rules(spark.read.parquet(paths["bronze"])), settings.BRONZE_QUALITY_RULES) \
         .write.mode("overwrite").parquet(report_path)
     paths["bronze_quality"] = report_path
     return paths
 
 
 def run_sources(spark: SparkSession, a: argparse.Namespace) -> dict[str, str]:
-    """The five predefined sources -> pre-bronze tables, their rule reports
-    and the unified ingestion monitor."""
+    """The five predefined sources -> pre-bronze tables (the generic builder's,
+    or with ``--fixed`` the fixed ones), their rule reports and the unified
+    ingestion monitor."""
     stamp = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     out: dict[str, str] = {}
     written = {}
     for spec in all_specs(a.base):
         name = f"pre_bronze_{spec.name}"
+        if a.fixed:
+            df, rules = st.FIXED_TABLES[spec.name](spark, a.base, ingested_at=stamp), st.FIXED_RULES[spec.name]
+        else:
+            df = st.build_source_table(spark, st.line_oriented(spec) if a.line_oriented else spec, ingested_at=stamp)
+            rules = spec.expectations()
         path = os.path.join(a.out, name)
-        st.build_source_table(spark, spec, ingested_at=stamp).write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path)
         written[spec.name] = spark.read.parquet(path)
         rep = os.path.join(a.out, f"{name}_quality")
-        quality.report(written[spec.name], spec.expectations()).write.mode("overwrite").parquet(rep)
+        quality.report(written[spec.name], rules).write.mode("overwrite").parquet(rep)
         out[name], out[f"{name}_quality"] = path, rep
     from goldenrec.operators import monitor
 
@@ -123,6 +129,8 @@ def parser() -> argparse.ArgumentParser:
     s = sub.add_parser("sources")
     s.add_argument("--base", required=True)
     s.add_argument("--out", required=True)
+    s.add_argument("--fixed", action="store_true", help="the five fixed tables and their rules instead of the generic builder's")
+    s.add_argument("--line-oriented", action="store_true", help="one record per line: large files split into many tasks")
     s = sub.add_parser("profile")
     s.add_argument("--path", required=True)
     s.add_argument("--out", required=True)

@@ -12,6 +12,7 @@ aggregate so generated code stays under the JVM method-size limit.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -93,6 +94,7 @@ def _profile_pass(df: DataFrame, cols: Sequence[str], semantic: bool, widen: boo
             aggs.append(F.count_if(kind == t).alias(f"{t}{i}"))
         aggs.append(F.min(F.when(kind.isNotNull(), v)).alias(f"min{i}"))
         aggs.append(F.max(F.when(kind.isNotNull(), v)).alias(f"max{i}"))
+        aggs.append(F.max(F.when(kind.isNotNull(), F.struct(F.length(v).alias("n"), v.alias("v")))).alias(f"long{i}v"))
         if semantic:
             for sname, pat in settings.SEMANTIC_PATTERNS:
                 aggs.append(F.count_if(kind.isNotNull() & v.rlike(pat)).alias(f"{sname}{i}"))
@@ -129,6 +131,7 @@ def _profile_pass(df: DataFrame, cols: Sequence[str], semantic: bool, widen: boo
             F.col(f"valid{i}").alias("non_blank"),
             F.col(f"min{i}").alias("min_value"),
             F.col(f"max{i}").alias("max_value"),
+            F.col(f"long{i}v")["v"].alias("longest_value"),
         ]
         if semantic:
             fields += [F.col(f"{s}{i}").alias(f"{s}_matches") for s, _ in settings.SEMANTIC_PATTERNS]
@@ -141,8 +144,8 @@ def type_profile(df: DataFrame, columns: Sequence[str] | None = None, semantic:
     """PR1/PR7/PR8: one row per column.
 
     Columns: position, column_name, inferred_type, null_percentage,
-    non_blank, min_value, max_value (two sample values), and with
-    ``semantic=True`` email/phone/currency match counts.
+    non_blank, min_value, max_value, longest_value (three sample values; of
+    equally long ones the greatest), and with ``semantic=True`` email/phone/currency match counts.
 
     ``widen=True`` relaxes the single-type rule: integers and longs count
     together (long if any value needs 64 bits), and integers, longs and
@@ -236,12 +239,15 @@ def suggest_dedup_columns(columns: Sequence[str], limit: int = settings.MAX_DEDU
 def cardinality_report(df: DataFrame, columns: Sequence[str] | None = None, table: str | None = None) -> DataFrame:
     """Per column: category, rows, distinct values (NULL as a value), unique flag.
 
-    One aggregation pass for all columns (Spark plans the distinct counts
-    with a single Expand + shuffle, partially aggregated map-side).
+    A pass over its own column for each: several distinct counts in one
+    aggregate would write every row once for each of them. The passes read no
+    more columns than one scan would; their one-row results are stacked.
     """
     cols = list(columns or df.columns)
-    aggs = [F.count(F.lit(1)).alias("n")] + [distinct_with_null(c).alias(f"d{i}") for i, c in enumerate(cols)]
-    totals = df.select(*cols).agg(*aggs)
+    one = F.count(F.lit(1))
+    passes = [df.agg(one.alias("n")), *(df.select(c).distinct().agg(one.alias(f"d{i}")) for i, c in enumerate(cols))]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), passes)
+    totals = stacked.agg(*(F.max(c).alias(c) for c in stacked.columns))
     rows = F.array(*[
         F.struct(
             F.lit(table).cast("string").alias("table_name"),
@@ -294,10 +300,10 @@ def primary_key_candidates(df: DataFrame, table: str | None = None) -> DataFrame
     return rep.withColumn("suggested", F.col("position") == pick)
 
 
-def dedup_column_report(df: DataFrame, table: str | None = None) -> DataFrame:
+def dedup_column_report(df: DataFrame, table: str | None = None, limit: int = settings.MAX_DEDUP_SUGGESTIONS) -> DataFrame:
     """PR6 with data: the suggested dedup columns in order, each with its
     distinct-value count (a column that is unique cannot find duplicates)."""
-    cols = suggest_dedup_columns(df.columns)
+    cols = suggest_dedup_columns(df.columns, limit)
     rep = cardinality_report(df, cols, table)
     return rep.select("table_name", (F.col("position") + 1).alias("dedup_rank"), "column_name", "category",
                       "rows", "distinct_values")

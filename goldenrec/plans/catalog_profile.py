@@ -40,7 +40,8 @@ def profile_sql(source: str, cols, semantic: bool = False) -> str:
         aggs += [f"count(*) filter (where k{i} = '{t}') as {t}{i}"
                  for t in ("integer", "double", "boolean", "date", "timestamp")]
         aggs += [f"min(case when k{i} is not null then v{i} end) as min{i}",
-                 f"max(case when k{i} is not null then v{i} end) as max{i}"]
+                 f"max(case when k{i} is not null then v{i} end) as max{i}",
+                 f"max(case when k{i} is not null then printf('%09d', length(v{i})) || v{i} end)[10:] as longest{i}"]
         if semantic:
             aggs += [f"count(*) filter (where k{i} is not null and regexp_matches(v{i}, '{pat}')) as {s}{i}"
                      for s, pat in settings.SEMANTIC_PATTERNS]
@@ -51,7 +52,7 @@ def profile_sql(source: str, cols, semantic: bool = False) -> str:
             for t in ("integer", "double", "boolean", "date", "timestamp")) + " else 'string' end"
         sel = [f"{i} as position", f"'{c}' as column_name", f"{inferred} as inferred_type",
                f"case when n > 0 then round((n - nn{i}) / n * 100.0, 4) else 0.0 end as null_percentage",
-               f"valid{i} as non_blank", f"min{i} as min_value", f"max{i} as max_value"]
+               f"valid{i} as non_blank", f"min{i} as min_value", f"max{i} as max_value", f"longest{i} as longest_value"]
         if semantic:
             sel += [f"{s}{i} as {s}_matches" for s, _ in settings.SEMANTIC_PATTERNS]
         rows.append("select " + ", ".join(sel) + " from agg")
@@ -67,7 +68,7 @@ def profile_oracle(base_ctes, source, cols, semantic=False, body_wrap=None):
 
 @register("type_profile", profile_oracle([CTE_PERSONS], "persons", PERSON_COLS))
 def q_type_profile(spark, sf_dir):
-    """PR1/PR7: inferred type, null share and two sample values per column."""
+    """PR1/PR7: inferred type, null share and three sample values per column."""
     return profile.type_profile(persons(spark, sf_dir))
 
 

@@ -89,11 +89,16 @@ class GoldResult:
         return golden.golden_records(self.scored, p.partition_by, p.order)
 
 
-def silver_identified(bronze: DataFrame, params: PipelineParams = PipelineParams()) -> DataFrame:
-    """C15 + K1/K2, stateless (works on a stream too)."""
+def silver_clean(bronze: DataFrame, params: PipelineParams = PipelineParams()) -> DataFrame:
+    """C15 after the bronze rules, stateless (works on a stream too)."""
     if params.rule_mode == "drop":
         bronze = quality.keep_valid(quality.typed_for_rules(bronze), params.bronze_rules)
-    silver = cleaning.silver_clean(bronze, mapping=params.source_systems)
+    return cleaning.silver_clean(bronze, mapping=params.source_systems)
+
+
+def silver_identified(bronze: DataFrame, params: PipelineParams = PipelineParams()) -> DataFrame:
+    """C15 + K1/K2, stateless (works on a stream too)."""
+    silver = silver_clean(bronze, params)
     return identity.with_identifier(silver, params.blank_as_null, params.priority, params.fallback)
 
 
@@ -123,15 +128,20 @@ def identity_layers(bronze: DataFrame, params: PipelineParams = PipelineParams()
 def run_identity_job(spark: SparkSession, bronze: DataFrame, out_dir: str,
                      params: PipelineParams = PipelineParams(),
                      tables: Sequence[str] = ("gold_duplicate_count", "gold_confidence_scored", "gold_final")) -> dict[str, str]:
-    """Batch job: write silver once, then the gold tables, as parquet.
+    """Batch job: each layer is written once as parquet and the next one reads
+    it, so the source files are read once.
 
     Returns table name -> path. Every write is an overwrite of a whole table,
     so a rerun after a lost executor or a failed job produces the same files.
     """
-    names = settings.TABLE_NAMES
-    paths = {k: f"{out_dir.rstrip('/')}/{names[k]}" for k in ("silver_identified",) + tuple(tables)}
-    silver_identified(bronze, params).write.mode("overwrite").parquet(paths["silver_identified"])
-    identified = spark.read.parquet(paths["silver_identified"])
+    paths = {k: f"{out_dir.rstrip('/')}/{settings.TABLE_NAMES[k]}" for k in ("bronze", "silver_clean", "silver_identified", *tables)}
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(paths[name])
+        return spark.read.parquet(paths[name])
+
+    clean = stored("silver_clean", silver_clean(stored("bronze", bronze), params))
+    identified = stored("silver_identified", identity.with_identifier(clean, params.blank_as_null, params.priority, params.fallback))
     result = gold_from_identified(identified, params)
     frames = {"gold_duplicate_count": result.counts, "gold_confidence_scored": result.scored,
               "gold_final": result.golden}

@@ -48,6 +48,28 @@ def test_sources_job(spark, tmp_dir):
     assert all(r["failed"] == 0 for r in rep)
 
 
+def test_fixed_and_line_oriented_sources_jobs(spark, sample_sources, tmp_dir):
+    from conftest import SF0001
+    from goldenrec.plans import source_tables as st
+
+    base = st.write_sample_sources(spark, SF0001, f"{tmp_dir}/src")
+    fixed = jobs.main(["sources", "--base", base, "--out", f"{tmp_dir}/f", "--fixed"], spark)
+    rep = {r["rule"] for r in spark.read.parquet(fixed["pre_bronze_products_quality"]).collect()}
+    assert rep == {"valid_product_id", "valid_sku", "valid_price"}
+    products = spark.read.parquet(fixed["pre_bronze_products"])
+    want = st.products_table(spark, base).select("product_id", "category", "is_active")
+    assert sorted(products.select(want.columns).collect()) == sorted(want.collect())
+    lines = jobs.main(["sources", "--base", base, "--out", f"{tmp_dir}/l", "--line-oriented"], spark)
+    assert spark.read.parquet(lines["pre_bronze_orders"]).count() == spark.read.parquet(fixed["pre_bronze_orders"]).count() == 6000
+
+
+def test_identity_job_writes_every_layer(spark, tmp_dir):
+    out = jobs.main(["identity", "--bronze", _raw(tmp_dir), "--out", f"{tmp_dir}/t", "--rule-mode", "drop"], spark)
+    bronze, clean, known = (spark.read.parquet(out[k]) for k in ("bronze", "silver_clean", "silver_identified"))
+    assert bronze.count() == 5 and "source_file_path" in bronze.columns
+    assert clean.count() == known.count() == 4 and known.columns == [*clean.columns, "unique_identifier"]
+
+
 def test_profile_job(spark, sample_sources, tmp_dir):
     out = jobs.main(["profile", "--path", f"{sample_sources}/customers/sap/customers_a.csv", "--out",
                      f"{tmp_dir}/p"], spark)

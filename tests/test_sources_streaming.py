@@ -113,6 +113,17 @@ def test_csv_inventory(spark, sample_sources):
                    "odd.csv": ("crm", 1, 3, True), "bare.csv": ("crm", 0, 1, True), "gone.csv": (None, 0, 0, False)}
 
 
+def test_reads_dispatch_by_name_and_a_lost_schema_is_told_from_an_error(spark, sample_sources, tmp_dir):
+    registry = SourceRegistry([spec_by_name("customers", sample_sources)])
+    assert readers.read_source(spark, registry, "customers").count() == 10
+    assert readers.read_source(spark, registry, "customers", streaming=True).isStreaming
+    with pytest.raises(ValueError):
+        readers.read_source(spark, registry, "orders")
+    assert readers.load_schema(spark, f"{tmp_dir}/none") is None
+    with pytest.raises(Exception):
+        readers.load_schema(spark, "nosuchscheme://x/y")
+
+
 def test_builder_streams_what_it_reads_in_batch(spark, sample_sources, tmp_dir):
     spec = spec_by_name("products", sample_sources)
     batch = st.build_source_table(spark, spec, ingested_at=T0)
