@@ -15,11 +15,9 @@ is exact and never forms all pairs inside a block:
 * Insertion/deletion neighbours: some deletion of the longer value equals the
   shorter value itself. Joining deletion variants with the node set emits
   one edge per matching variant (at most ``len(value)`` per node).
-* Components: iterative min-label propagation over the edges; each round is
-  one join and one aggregate, and the labels are written as a table in the
-  shared checkpoint folder so lineage stays short. The loop stops
-  when no label changes; the number of rounds is bounded by the component
-  diameter.
+* Components: alternating stars over the edges (``operators/components.py``),
+  whose rounds grow with the logarithm of a component's size, also for a long
+  chain of values.
 """
 
 from __future__ import annotations
@@ -27,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from goldenrec.operators.components import components
 from goldenrec.session import materialize
 
 
@@ -51,29 +50,11 @@ def neighbour_edges(nodes: DataFrame) -> DataFrame:
     return both.select(F.least("value", "other").alias("a"), F.greatest("value", "other").alias("b")).distinct()
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 10_000) -> DataFrame:
-    """(value, cluster) with cluster = smallest value of the component."""
-    directed = edges.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(
-        edges.select(F.col("b").alias("src"), F.col("a").alias("dst")))
-    directed = materialize(directed, "neardup", "edges")
-    labels = materialize(nodes.select("value", F.col("value").alias("cluster")), "neardup", "labels")
-    for _ in range(max_rounds):
-        msgs = directed.join(labels.withColumnRenamed("value", "dst"), "dst").select(
-            F.col("src").alias("value"), "cluster")
-        new = materialize(labels.unionByName(msgs).groupBy("value").agg(F.min("cluster").alias("cluster")),
-                          "neardup", "labels")
-        changed = new.join(labels.withColumnRenamed("cluster", "old"), "value") \
-            .filter(F.col("cluster") != F.col("old")).count()
-        labels = new
-        if changed == 0:
-            return labels
-    raise RuntimeError("label propagation did not converge")
-
-
 def near_duplicate_clusters(df: DataFrame, col: str) -> DataFrame:
-    """Per distinct non-NULL value of ``col``: its cluster and record count."""
-    counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(
-        F.count(F.lit(1)).alias("records"))
-    nodes = materialize(counts.select("value"), "neardup", "nodes")
-    clusters = connected_components(nodes, neighbour_edges(nodes))
-    return counts.join(clusters, "value")
+    """Per distinct non-NULL value of ``col``: its cluster (the least value of
+    the component) and record count."""
+    counts = materialize(df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(
+        F.count(F.lit(1)).alias("records")), "neardup")
+    edges = neighbour_edges(counts.select("value")).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    roots = components(edges).withColumnRenamed("node", "value")
+    return counts.join(roots, "value", "left").select("value", "records", F.coalesce("root", "value").alias("cluster"))

@@ -51,3 +51,15 @@ def test_edges_are_exactly_distance_one(spark):
     got = {r["value"]: r["cluster"] for r in neardup.near_duplicate_clusters(
         spark.createDataFrame([(v,) for v in vals + ["anna", None]], "name string"), "name").collect()}
     assert got == brute_clusters(vals)
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    """Each value is one letter longer than the one before: rounds grow with
+    the logarithm of the chain, not with its length."""
+    from goldenrec.operators import components as c
+
+    rounds = []
+    monkeypatch.setattr(c, "_least", lambda e, far, f=c._least: rounds.append(far) or f(e, far))
+    values = ["a" * n for n in range(1, 65)]
+    got = neardup.near_duplicate_clusters(spark.createDataFrame([(v,) for v in values], "name string"), "name").collect()
+    assert {r["cluster"] for r in got} == {"a"} and len(got) == 64 and len(rounds) <= 20
