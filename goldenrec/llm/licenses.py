@@ -4,10 +4,11 @@ A text's words are looked up in the vocabulary of some templates. Files that
 hold all words of some mandatory phrase go on, with the positions of their
 template words; texts are read once and never shuffled. Template postings
 (word, template, position) are joined to those positions: each match votes for
-an alignment, the file position where the template would begin. An alignment
-stands if enough of the file's rarest template words (highest inverse document
-frequency over all documents) agree on it by relative position, and is verified
-if the template's mandatory phrase stands there word by word.
+an alignment, the file position where the template would begin. An alignment is
+proposed if enough of the rarest words of the template's mandatory phrase
+(highest inverse document frequency over all documents) agree on it by relative
+position, and stands if the whole phrase is there word by word. So what else a
+file holds never costs a phrase its votes.
 
 The templates are a fixed list, so their postings are a few hundred rows
 whatever the data; they alone are broadcast.
@@ -91,17 +92,19 @@ def scan(docs: DataFrame, templates: tuple[Template, ...], id_col: str = "doc_id
                        F.when(whole, F.filter(hit, lambda x: x.isNotNull())).alias("hits"))
 
 
-def postings(spark: SparkSession, base: tuple[Template, ...], templates: tuple[Template, ...], df: dict[str, int]) -> DataFrame:
-    """(template, label, is_base, word, at, in_key, n_words, n_key, rarity) for
-    each word of each template; rarity ranks a template's distinct words by
-    inverse document frequency (0 the rarest, ties by word)."""
+def postings(spark: SparkSession, base: tuple[Template, ...], templates: tuple[Template, ...], df: dict[str, int], rare: int) -> DataFrame:
+    """(template, label, is_base, word, at, in_key, n_words, n_key, rarity,
+    n_rare) for each word of each template; rarity ranks the ``rare`` rarest
+    distinct words of its phrase by inverse document frequency (0 the rarest,
+    ties by word), where they stand in the phrase, and is NULL elsewhere."""
     rows = []
     for k, t in enumerate(base + templates):
         notice, key = t.notice.split(), t.key.split()
         begin = next(i for i in range(len(notice)) if notice[i:i + len(key)] == key)
-        rank = {w: i for i, w in enumerate(sorted(set(notice), key=lambda w: (df.get(w, 0), w)))}
-        rows += [(k, t.label, k < len(base), w, i, begin <= i < begin + len(key), len(notice), len(key), rank[w]) for i, w in enumerate(notice)]
-    return spark.createDataFrame(rows, "template int, label string, is_base boolean, word string, at int, in_key boolean, n_words int, n_key int, rarity int")
+        rank = {w: i for i, w in enumerate(sorted(set(key), key=lambda w: (df.get(w, 0), w))[:rare])}
+        in_key = [begin <= i < begin + len(key) for i in range(len(notice))]
+        rows += [(k, t.label, k < len(base), w, i, in_key[i], len(notice), len(key), rank.get(w) if in_key[i] else None, len(rank)) for i, w in enumerate(notice)]
+    return spark.createDataFrame(rows, "template int, label string, is_base boolean, word string, at int, in_key boolean, n_words int, n_key int, rarity int, n_rare int")
 
 
 def _joined(labels: Column) -> Column:
@@ -116,9 +119,9 @@ def scan_licenses(docs: DataFrame, base: tuple[Template, ...] = BASE, templates:
     Words are runs of digits, a-z (A-Z lower-cased) and signs beyond ASCII.
     n_base counts all places of the base phrases, first_word and last_word are
     their least and greatest begin (NULL without any). A template gives its
-    label if ``agree`` of the file's ``rare`` rarest words of that template (all
-    of them, if there are fewer) agree on an alignment at which its mandatory
-    phrase stands. score is the greatest share of a verified template's words
+    label wherever its mandatory phrase stands, whatever else the text holds;
+    alignments are proposed by ``agree`` of the phrase's ``rare`` rarest words
+    (all of them, if there are fewer). score is the greatest share of a verified template's words
     that stand in place, 0 without any. labels holds base labels too; empty if
     there are none.
 
@@ -129,18 +132,14 @@ def scan_licenses(docs: DataFrame, base: tuple[Template, ...] = BASE, templates:
     found = materialize(scan(docs, base + templates, id_col, text_col), "licenses")
     vocabulary = _vocabulary(base + templates)
     df = dict(found.select(F.explode("present").alias("word")).groupBy("word").count().collect())  # at most the vocabulary
-    index = F.broadcast(postings(docs.sparkSession, base, templates, {w: df.get(w, 0) for w in vocabulary}))
+    index = F.broadcast(postings(docs.sparkSession, base, templates, {w: df.get(w, 0) for w in vocabulary}, rare))
 
     hits = found.filter(F.size("hits") > 0).select("row", F.explode("hits").alias("hit")).select(
         "row", F.col("hit.pos").alias("pos"), F.col("hit.word").alias("word"))
     votes = hits.join(index, "word").withColumn("begin", F.col("pos") - F.col("at"))
-    # The file's rarest words of a template: the least rarities it holds.
-    held = votes.groupBy("row", "template").agg(F.array_sort(F.collect_set("rarity")).alias("held"))
-    held = held.select("row", "template", F.slice("held", 1, rare).alias("rarest"))
-    at = votes.groupBy("row", "template", "label", "is_base", "n_words", "n_key", "begin").agg(
+    at = votes.groupBy("row", "template", "label", "is_base", "n_words", "n_key", "n_rare", "begin").agg(
         F.count(F.lit(1)).alias("in_place"), F.sum(F.col("in_key").cast("int")).alias("key_in_place"), F.collect_set("rarity").alias("voted"))
-    sure = at.filter(F.col("key_in_place") == F.col("n_key")).join(held, ["row", "template"])
-    sure = sure.filter(F.size(F.array_intersect("voted", "rarest")) >= F.least(F.lit(agree), F.size("rarest")))
+    sure = at.filter((F.size("voted") >= F.least(F.lit(agree), "n_rare")) & (F.col("key_in_place") == F.col("n_key")))
     base_place, own = F.col("is_base"), ~F.col("is_base")
     summed = sure.groupBy("row").agg(
         F.count_if(base_place).alias("n_base"),

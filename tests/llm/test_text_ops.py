@@ -229,6 +229,16 @@ def test_licenses_over_a_table(llm_spark, docs, empty, texts):
     assert [r["n_base"] for r in licenses.scan_licenses(twice).collect()] == [1, 1]
 
 
+def test_a_phrase_keeps_its_label_in_any_text(llm_spark):
+    """Template words elsewhere in the text, however rare, take no phrase its label."""
+    mozilla, granted = "Mozilla Public License 2.0.", "Permission is hereby granted, free of charge, to use this font."
+    own = {1: mozilla, 2: mozilla + " some filler" * 2000 + " subject, terms of the V to", 3: granted, 4: "any associated copy documentation files. " + "more " * 2000 + granted}
+    own |= {10 + k: "mozilla public license 2 0 permission is hereby granted free of charge to this" for k in range(5)}
+    rows = {r["doc_id"]: r for r in licenses.scan_licenses(llm_spark.createDataFrame(list(own.items()), "doc_id long, text string")).collect()}
+    assert [rows[k]["labels"] for k in (1, 2, 3, 4)] == ["mpl-2.0", "mpl-2.0", "mit", "mit"]
+    assert rows[1]["score"] == rows[2]["score"] > 0 and rows[3]["score"] == rows[4]["score"] > 0
+
+
 # --- weighted sampling ------------------------------------------------------
 
 
