@@ -8,6 +8,10 @@ the candidate alone, a document is always cut the same way for a seed, on any
 machine, and differently for another seed. Without dropout the pieces are the
 library's own.
 
+The library takes a space mark in a text for a space, so it does not come back.
+With ``own_marks`` such a mark becomes its three byte pieces instead, and every
+text comes back as it was.
+
 A text is cut into segments before each space mark that follows another sign,
 which no piece of such a model crosses. All segments of a slice of texts take
 their agenda's next candidate at once, in array operations; very long segments
@@ -28,6 +32,7 @@ from pyspark.sql import types as T
 from goldenrec.llm.text import mix, slices, text_of
 
 MARK = "▁"  # stands for a space
+OWN = "\ud800"  # stands for a text's own mark: no text holds half a surrogate pair
 LONG = 64  # at most 255: places in short segments take a byte
 SLICE = 1 << 17  # bytes of text at once: the arrays of a slice stay in a core's cache
 NO = np.int64(1) << np.int64(62)
@@ -67,7 +72,7 @@ class Model:
         self.byte = {bytes([b]): sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)}
         self.bytes_of = [b""] * sp.vocab_size()
         for p, i in plain.items():
-            self.bytes_of[i] = p.encode()
+            self.bytes_of[i] = p.replace(MARK, " ").encode()
         for b, i in self.byte.items():
             if i == self.unknown:
                 raise ValueError("a model with byte pieces is expected")
@@ -107,16 +112,19 @@ class Model:
     # -- decoding
 
     def decode(self, ids) -> str:
-        """The text that the ids encode."""
-        text = b"".join([self.bytes_of[i] for i in ids]).decode("utf-8", "replace").replace(MARK, " ")
+        """The text that the ids encode. Marks turn to spaces piece by piece, so
+        one that is spelled in byte pieces stays."""
+        text = b"".join([self.bytes_of[i] for i in ids]).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
     # -- encoding
 
-    def encode(self, texts: list[str], keys: np.ndarray, dropout: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str], keys: np.ndarray, dropout: float, seed: int, own_marks: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each text's end). ``keys``: uint64 per text."""
+        if own_marks:
+            texts = [t.replace(MARK, OWN) for t in texts]
         marked = [MARK + t.replace(" ", MARK) if t else "" for t in texts]
-        signs = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32)
+        signs = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32)
         sizes = np.fromiter(map(len, marked), np.int64, len(marked))
         doc = np.repeat(np.arange(len(marked)), sizes)
         origin = np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -148,7 +156,7 @@ class Model:
         owner = doc[start]
         odd = np.flatnonzero((ids < 0) | (ids >= self.is_piece))
         if len(odd):
-            raw = [chr(c).encode() for c in signs[start[odd]].tolist()]
+            raw = [(MARK if c == ord(OWN) else chr(c)).encode() for c in signs[start[odd]].tolist()]
             count = np.ones(len(ids), np.int64)
             count[odd] = [len(r) for r in raw]
             out = np.repeat(ids, count)
@@ -272,12 +280,13 @@ def _keys(ids: pa.Array) -> np.ndarray:
 
 
 def encode(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 42, id_col: str = "doc_id", text_col: str = "text",
-           carry: tuple[str, ...] = ()) -> DataFrame:
+           carry: tuple[str, ...] = (), own_marks: bool = False) -> DataFrame:
     """(doc_id, ids) for each row of ``docs``, and its columns ``carry``.
 
     NULL texts count as empty and have no ids. Rows with the same id and text
     are cut alike; a NULL id is a key like any other. With ``dropout`` 0 the ids
-    are those of the library; at 1 no merge is made. Other columns are not read,
+    are those of the library; at 1 no merge is made. With ``own_marks`` space
+    marks in the texts become byte pieces, which ``decode`` brings back. Other columns are not read,
     so names cannot clash. An empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"), *(F.col(c) for c in carry))
@@ -287,7 +296,7 @@ def encode(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 4
         own = model(model_path)
         for batch in batches:
             for part in slices(batch, most=SLICE):
-                ids, ends = own.encode(part.column(1).to_pylist(), _keys(part.column(0)), dropout, seed)
+                ids, ends = own.encode(part.column(1).to_pylist(), _keys(part.column(0)), dropout, seed, own_marks)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists, *part.columns[2:]], names)
 
@@ -298,8 +307,9 @@ def encode(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 4
 
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``encoded`` with the text that its ids stand for; NULL ids give NULL. A
-    column named ``out_col`` is replaced. The space mark itself decodes to a
-    space, as the library has it; every other text comes back as it was."""
+    column named ``out_col`` is replaced. Every text comes back as it was if it
+    was encoded with ``own_marks``; otherwise the space mark itself comes back as
+    a space, as the library has it."""
     names = [c for c in encoded.columns if c != out_col]
     rows = encoded.select(*names)
     at = names.index(ids_col)

@@ -132,13 +132,13 @@ def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op2_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from goldenrec.llm.piece_dropout import MARK, decode, encode
+    from goldenrec.llm.piece_dropout import decode, encode
     from goldenrec.llm.text import text_of
 
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    docs = docs.withColumn("plain_sha256", F.sha2(F.translate(text_of(), MARK, " "), 256))
-    found = decode(encode(docs, path, dropout=0.1, seed=42, carry=("plain_sha256",)), path)
+    docs = docs.withColumn("plain_sha256", F.sha2(text_of(), 256))
+    found = decode(encode(docs, path, dropout=0.1, seed=42, carry=("plain_sha256",), own_marks=True), path)
     decoded = F.sha2("decoded", 256)
     return found.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
                         decoded.alias("decoded_sha256"), (decoded == F.col("plain_sha256")).alias("lossless"))

@@ -83,3 +83,27 @@ def test_over_a_table(docs, empty, texts, llm_spark):
     twice = llm_spark.createDataFrame([(None, "the theme of it all"), (None, "the theme of it all"), (4, None)], "doc_id long, text string")
     rows = D.encode(twice, PATH, dropout=0.5).collect()
     assert rows[0]["ids"] == rows[1]["ids"] and [r["ids"] for r in rows if r["doc_id"] == 4] == [[]]
+
+
+def test_own_marks_come_back(model, samples):
+    """Space marks of the texts are spelled in byte pieces; other texts are cut as ever."""
+    some = samples + ["▁", "▁▁ ▁", " ▁", "▁ ", "▁▂▃▄▅ x▁y▁the", "the▁" * 40, "▁" * 300]
+    keys = np.arange(len(some)).astype(np.uint64)
+    for rate in (0.0, 0.2, 1.0):
+        ids, ends = model.encode(some, keys, rate, 3, own_marks=True)
+        got = [x.tolist() for x in np.split(ids, ends[:-1])]
+        assert [model.decode(x) for x in got] == some
+        ids, ends = model.encode(some, keys, rate, 3)
+        plain = [x.tolist() for x in np.split(ids, ends[:-1])]
+        assert all((a == b) == (D.MARK not in s) for a, b, s in zip(got, plain, some))
+
+
+def test_query_hashes_the_untouched_text(llm_spark, tmp_path):
+    import hashlib
+
+    from goldenrec.llm.queries import op2_sentencepiece_dropout
+
+    own = ["▁▂▃ bars", "a▁b c", "▁", "no mark", "", None]
+    llm_spark.createDataFrame(list(enumerate(own)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = op2_sentencepiece_dropout(llm_spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: (r["decoded_sha256"], r["lossless"]) for r in rows} == {k: (hashlib.sha256((t or "").encode()).hexdigest(), True) for k, t in enumerate(own)}
