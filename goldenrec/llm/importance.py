@@ -199,8 +199,10 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
     roles = materialize(labelled(labels, settings.max_labels), "importance")
     ratios = log_ratios(rows, roles, settings)
     found = materialize(scores(rows, ratios, settings), "importance")
-    held = found.join(F.broadcast(roles.filter(F.col("role") == HELD_OUT)), "doc_id").select("log_weight", "good").limit(settings.max_labels).collect()
-    cut = best_cut(np.array([r[0] for r in held]), np.array([r[1] == 1 for r in held], bool))
+    # One row for each held-out id, however often it repeats: fewer than max_labels.
+    held = found.join(F.broadcast(roles.filter(F.col("role") == HELD_OUT)), "doc_id").groupBy("doc_id").agg(
+        F.min("log_weight").alias("log_weight"), F.first("good").alias("good")).collect()
+    cut = best_cut(np.array([r["log_weight"] for r in held]), np.array([r["good"] == 1 for r in held], bool))
     k = found.filter(F.col("log_weight") >= F.lit(cut)).count()
     return Sample(ratios, cut, kth_greatest(found, "sample_key", k), found)
 
@@ -210,7 +212,8 @@ def classify(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
 
     NULL and empty texts have no n-grams and weight zero (neutral). Rows that
     repeat an id and a text share their key and their fate, so ties at the edge
-    all stay. Without labels of both kinds every document stays. ``labels`` has
+    all stay. A held-out id counts once for the cut, with the least weight of its
+    rows. Without labels of both kinds every document stays. ``labels`` has
     doc_id and quality (1 good, 0 bad). An empty table gives an empty result.
     """
     sample = fit(docs, labels, settings, id_col, text_col)

@@ -154,6 +154,22 @@ def test_quality_of_odd_rows(docs, empty, llm_spark, texts):
     assert len(keys) == 2 and keys[0] == keys[1]
 
 
+def test_every_held_out_id_counts_once(graded, llm_spark):
+    """Ids that repeat in documents beyond max_labels push no other out of the cut."""
+    docs, labels = graded
+    s = I.Settings(max_labels=100)
+    held = {r["doc_id"]: r["good"] == 1 for r in I.labelled(labels, s.max_labels).filter(f"role = {I.HELD_OUT}").collect()}
+    often = llm_spark.createDataFrame([(k, 300 if held.get(k) else 1) for k in range(400)], "doc_id long, times int")
+    many = docs.join(often, "doc_id").selectExpr("doc_id", "text", "explode(sequence(1, times)) as copy").orderBy("copy", ascending=False).coalesce(1)
+    many = many.unionByName(many.selectExpr("doc_id", "'ab ' || text as text", "copy").filter("copy = 1"))
+    sample = I.fit(many, labels, s)
+    weights = defaultdict(list)
+    for r in sample.scores.collect():
+        weights[r["doc_id"]].append(r["log_weight"])
+    want = I.best_cut(np.array([min(weights[k]) for k in held]), np.array(list(held.values())))
+    assert sample.cut == want > -math.inf
+
+
 # --- chats ------------------------------------------------------------------
 
 
