@@ -291,7 +291,7 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.9, leaf: int = 8192, id_c
         F.monotonically_increasing_id().alias("node"), "*"), "cover_tree")
     vec_type = nodes.schema["vec"].dataType.simpleString()
     context, tau = rows.sparkSession.sparkContext, float(np.sqrt(2 - 2 * cosine))
-    pivots = context.broadcast(_pivots(nodes, leaf))  # about two in ``leaf`` vectors
+    pivots = context.broadcast(_pivots(nodes, leaf))  # about two in ``leaf`` vectors: grows with the table
 
     def place(batches):
         for batch in batches:
