@@ -108,6 +108,16 @@ def q_record_hash(spark, sf_dir):
     return df.withColumn("_record_hash", record_hash(data_columns(df)))
 
 
+@register("record_hash_all_columns", """
+select *, md5(concat_ws('||', cast(o_orderkey as varchar), cast(o_custkey as varchar), o_orderstatus, cast(o_totalprice as varchar),
+                        cast(o_orderdate as varchar), o_orderpriority)) as _record_hash
+from orders""")
+def q_record_hash_all_columns(spark, sf_dir):
+    """C11 default over the whole table: a changed price or date changes the hash."""
+    df = table(spark, sf_dir, "orders")
+    return df.withColumn("_record_hash", record_hash(data_columns(df)))
+
+
 @register("record_hash_null_safe", with_ctes(CTE_PERSONS, body="""
 select *, md5(concat_ws('||', """ + ", ".join(
     f"coalesce(cast({c} as varchar), '\\N')"

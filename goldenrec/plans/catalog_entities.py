@@ -156,6 +156,23 @@ def q_products_standardized(spark, sf_dir):
     return cleaning.apply_transforms(df, products_spec("").transformations)
 
 
+@register("products_standardized_all_columns", with_ctes(CTE_PRODUCT_FEED, body="""
+select * replace (""" + initcap_sql("trim(product_name)") + """ as product_name,
+                  case when lower(trim(is_active)) in ('true', 'yes', '1', 't', 'y') then true
+                       when lower(trim(is_active)) in ('false', 'no', '0', 'f', 'n') then false
+                       else null end as is_active),
+       is_active as flag_raw
+from feed"""))
+def q_products_standardized_all_columns(spark, sf_dir):
+    """products_standardized with every column of the feed."""
+    from goldenrec.sources.spec import products_spec
+
+    frames = st.sample_source_frames(spark, sf_dir)["products"]
+    a, b = [df.select(F.lit(system).alias("system"), "*") for system, df in frames]
+    df = a.unionByName(b).select("*", F.col("is_active").alias("flag_raw"))
+    return cleaning.apply_transforms(df, products_spec("").transformations)
+
+
 # --- employees, orders, inventory: a second system resends part of the records ---
 
 #: What the source folders hold of these three entities, as their tables type it.

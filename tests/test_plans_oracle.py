@@ -110,6 +110,20 @@ def test_query_matches_oracle_sf0001(spark, duck, name):
     assert digest(sdf) == digest(ddf)
 
 
+def test_hash_and_products_take_all_columns(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    queries = entry_mod.queries()
+    orders = spark.read.parquet(f"{SF0001}/orders.parquet")
+    key = F.col("o_orderkey")
+    orders.withColumn("o_totalprice", F.when(key % 3 == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))).withColumn(
+        "o_orderdate", F.when(key % 3 == 2, F.col("o_orderdate") + F.expr("interval 1 day")).otherwise(F.col("o_orderdate"))).write.parquet(f"{tmp_dir}/orders.parquet")
+    before, after = ({r["o_orderkey"]: r["_record_hash"] for r in queries["record_hash_all_columns"](spark, d).collect()} for d in (SF0001, tmp_dir))
+    assert len(before) == orders.count() and all((before[k] != after[k]) == (k % 3 != 0) for k in before)
+    found = queries["products_standardized_all_columns"](spark, SF0001)
+    assert {"brand", "price", "currency", "stock_quantity", "weight_kg"} < set(found.columns)
+
+
 def test_hot_identifier_needs_the_explicit_split(spark, tmp_dir):
     """One identifier holds a third of all rows. AQE's skew-join rule does not
     split it (the count side reaches the join through an aggregate), so the
