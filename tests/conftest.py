@@ -4,11 +4,9 @@ import tempfile
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF0001 = "/root/testdata/sf0.001"
-SF001 = "/root/testdata/sf0.01"
+from shared_fixtures import write_text  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -59,13 +57,6 @@ Q3,Mesh Task Chair,Furniture,Sitwell,189.5,USD,4,SKU-TC-3,12.0,true
 """
 
 
-def write_text(path: str, text: str) -> str:
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, "w") as f:
-        f.write(text)
-    return path
-
-
 @pytest.fixture()
 def sample_sources(tmp_dir):
     write_text(f"{tmp_dir}/customers/sap/customers_a.csv", CUSTOMERS_A)

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from shared_fixtures import SF0001
 from goldenrec.operators import golden, identity
 from goldenrec.operators.golden import OrderKey
 from goldenrec.plans import layers as ip

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import write_text
+from shared_fixtures import write_text
 from goldenrec import jobs
 
 RAW = "person_id,name,email,phone,age\n{rows}"
@@ -36,7 +36,7 @@ def test_stream_job_matches_identity_job(spark, tmp_dir):
 
 
 def test_sources_job(spark, tmp_dir):
-    from conftest import SF0001
+    from shared_fixtures import SF0001
     from goldenrec.plans import source_tables as st
 
     base = st.write_sample_sources(spark, SF0001, f"{tmp_dir}/src")
@@ -49,7 +49,7 @@ def test_sources_job(spark, tmp_dir):
 
 
 def test_fixed_and_line_oriented_sources_jobs(spark, sample_sources, tmp_dir):
-    from conftest import SF0001
+    from shared_fixtures import SF0001
     from goldenrec.plans import source_tables as st
 
     base = st.write_sample_sources(spark, SF0001, f"{tmp_dir}/src")

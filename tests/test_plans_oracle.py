@@ -4,7 +4,7 @@ import sys
 import duckdb
 import pytest
 
-from conftest import ROOT, SF0001
+from shared_fixtures import ROOT, SF0001
 from goldenrec.operators import golden
 from goldenrec.plans import layers as ip
 from goldenrec.plans.persons import TABLES, persons

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from shared_fixtures import SF001
 from goldenrec.functions import normalize as N
 from goldenrec.functions.hashing import with_record_hash
 from goldenrec.operators import golden, quality

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF0001, write_text
+from shared_fixtures import SF0001, write_text
 from goldenrec.operators import golden, metadata, monitor, quality
 from goldenrec.plans import layers as ip
 from goldenrec.plans import source_tables as st
