@@ -165,3 +165,10 @@ select n.vec_id, (select count(*) from l where l.a = n.vec_id)::bigint as n_link
        n.vec_id = c.component_id as kept
 from n join c on n.vec_id = c.vec_id
 """
+
+
+@register
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from goldenrec.llm.repair import repair_damaged
+
+    return repair_damaged(table(spark, sf_dir, "conversations"))
