@@ -172,3 +172,41 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     from goldenrec.llm.repair import repair_damaged
 
     return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+@register
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from goldenrec.llm.prefix_trie import rebuilt_trie
+
+    return rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op13_prefix_trie"] = """
+with c as (
+  select conv_id, list(coalesce(role, '') || chr(0) || coalesce(text, '') order by turn nulls first) as said
+  from conversations where conv_id is not null group by conv_id),
+h as (
+  select conv_id, said, xor(list_reduce(list_concat([4294967295::bigint], flatten(list_transform(
+             string_split(conv_id::varchar, ''), lambda d: [ascii(d)::bigint, 0, 0, 0, 0, 0, 0, 0]))),
+           lambda s, b: xor(xor(s, b) >> 1, case when xor(s, b) & 1 = 1 then 3988292384 else 0 end)), 4294967295) % 6 as h
+  from c),
+r as (
+  select h.conv_id, list_concat(coalesce(b.said[1:h.h], []), h.said[h.h + 1:]) as said
+  from h left join c b on b.conv_id = h.conv_id - h.conv_id % 100),
+p as (
+  select conv_id, d as depth, said[1:d] as said, len(said) = d as ends
+  from (select conv_id, said, unnest(range(len(said) + 1)) as d from r)),
+n as (
+  select depth, said, min(conv_id) as conv_id, count(*)::bigint as n_convs,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where ends), '')) as ends_sha256,
+         case when depth = 0 then 0 else length(said[-1]) - instr(said[-1], chr(0)) end as chars
+  from p group by depth, said),
+k as (select depth - 1 as depth, said[1:depth - 1] as said, count(*)::bigint as n_children from n where depth > 0 group by all),
+f as (select n.*, coalesce(n_children, 0)::bigint as n_children from n left join k on n.depth = k.depth and n.said = k.said),
+up as (select said[1:d] as said, d as depth, n_children, (n_convs - 1) * chars as saved
+       from (select *, unnest(range(depth + 1)) as d from f)),
+s as (select depth, said, count_if(n_children = 0)::bigint as n_leaves, sum(saved)::bigint as saved_tokens from up group by depth, said)
+select f.conv_id, f.depth::bigint as depth, o.conv_id as parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved_tokens, f.ends_sha256
+from f join s on f.depth = s.depth and f.said = s.said
+left join n o on o.depth = f.depth - 1 and o.said = f.said[1:f.depth - 1]
+"""
