@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from goldenrec.llm.turns import joined_sha256, ordered
+from goldenrec.llm.turns import joined_sha256, ordered, packed
 from goldenrec.session import materialize, shared_dir
 
 #: log2 of the most rows of a block of one conversation in a window.
@@ -77,7 +77,8 @@ def _ended(path: DataFrame, ids: DataFrame) -> DataFrame:
     every = ids.join(last, "conv_id", "left")
     whole = materialize(every.select("conv_id", *(F.coalesce(f"last.{c}", F.lit(0).cast("long")).alias(c) for c in ("depth", "x1", "x2", "chars", "cum"))), "trie")
     same = ["depth", "x1", "x2"]
-    ends = joined_sha256(whole.withColumn("decimal", F.col("conv_id").cast("string")), same, ["conv_id"], "decimal", ",", "ends_sha256")
+    decimals = packed(whole.withColumn("decimal", F.col("conv_id").cast("string")), same, ["conv_id"], "decimal", ",")
+    ends = joined_sha256(decimals, same, ["conv_id"], "decimal", ",", "ends_sha256")
     reps = whole.groupBy(*same).agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n"), F.max("chars").alias("chars"), F.max("cum").alias("cum"))
     return materialize(reps.join(ends, same), "trie")
 

@@ -210,3 +210,10 @@ select f.conv_id, f.depth::bigint as depth, o.conv_id as parent_conv_id, f.n_con
 from f join s on f.depth = s.depth and f.said = s.said
 left join n o on o.depth = f.depth - 1 and o.said = f.said[1:f.depth - 1]
 """
+
+
+@register
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from goldenrec.llm.language import identify_held_out
+
+    return identify_held_out(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
