@@ -31,6 +31,7 @@ from goldenrec.session import apply_base_conf
 from goldenrec.sources import readers
 from goldenrec.sources.spec import SourceSpec, all_specs
 from goldenrec.streaming import jobs as sj
+from goldenrec.streaming.state import GoldState
 
 
 def _params(a: argparse.Namespace) -> ip.PipelineParams:
@@ -89,6 +90,10 @@ def run_stream(spark: SparkSession, a: argparse.Namespace) -> dict[str, str]:
     schema = readers.stream_schema(spark, spec, os.path.join(a.out, "_bronze_schema"))
     bronze = readers.read_stream(spark, spec, max_files_per_trigger=a.max_files, schema=schema)
     identified = sj.silver_stream(metadata.with_file_columns(bronze), _params(a))
+    if a.merge_state:
+        state = GoldState(root=a.out, params=_params(a))
+        sj.run_incremental_gold(identified, state, a.checkpoint or os.path.join(a.out, "_checkpoint"))
+        return state.publish(spark)
     handler = sj.IncrementalGold(root=a.out, params=_params(a), buckets=a.buckets, name_buckets=a.buckets)
     # Progress and tables belong together: a rerun goes on where the last one
     # stopped. Tables without their progress would count every file again.
@@ -126,6 +131,8 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--checkpoint")
             s.add_argument("--max-files", type=int, default=None)
             s.add_argument("--buckets", type=int, default=64)
+            s.add_argument("--merge-state", action="store_true",
+                           help="keep mergeable state in place of silver and scored tables: a batch's cost does not grow with the history")
     s = sub.add_parser("sources")
     s.add_argument("--base", required=True)
     s.add_argument("--out", required=True)

@@ -10,6 +10,7 @@ from goldenrec.plans.persons import persons
 from goldenrec.plans.registry import ORACLE, register
 from goldenrec.session import shared_dir
 from goldenrec.streaming import jobs
+from goldenrec.streaming.state import GoldState
 
 #: Micro-batches over the feed; its files follow the number of shuffle partitions.
 BATCHES = 4
@@ -63,22 +64,32 @@ def q_stream_confidence_scored(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-def _incremental(spark, sf_dir) -> jobs.IncrementalGold:
-    handler = jobs.IncrementalGold(root=shared_dir(spark, "stream", "gold"), buckets=16)
-    jobs.run_incremental_gold(_identified_stream(spark, sf_dir), handler, shared_dir(spark, "stream", "ckpt"))
-    return handler
+def _gold_state(spark, sf_dir) -> GoldState:
+    state = GoldState(root=shared_dir(spark, "stream", "state"), fan_in=3)
+    jobs.run_incremental_gold(_identified_stream(spark, sf_dir), state, shared_dir(spark, "stream", "ckpt"))
+    return state
 
 
 @register("stream_golden", ORACLE["golden_by_name"])
 def q_stream_golden(spark, sf_dir):
-    """ST5: foreachBatch gold; golden record per name after all batches."""
-    return spark.read.parquet(_incremental(spark, sf_dir).golden_name_path).drop(jobs.NAME_BUCKET)
+    """ST5: golden record per name from mergeable state; a micro-batch adds its
+    own aggregate and reads no earlier record."""
+    return _gold_state(spark, sf_dir).golden(spark)
 
 
 @register("stream_golden_by_identifier", ORACLE["golden_by_identifier"])
 def q_stream_golden_by_identifier(spark, sf_dir):
-    """ST5 incremental: only touched identity buckets are recomputed per batch."""
-    return spark.read.parquet(_incremental(spark, sf_dir).golden_id_path).drop(jobs.BUCKET)
+    """ST5/G4: golden record per identifier from the same state."""
+    return _gold_state(spark, sf_dir).golden_by_identifier(spark)
+
+
+@register("stream_golden_buckets", ORACLE["golden_by_name"])
+def q_stream_golden_buckets(spark, sf_dir):
+    """ST5 with the scored table kept beside the golden one: the identity buckets
+    that a micro-batch touches are recomputed from silver."""
+    handler = jobs.IncrementalGold(root=shared_dir(spark, "stream", "gold"), buckets=16)
+    jobs.run_incremental_gold(_identified_stream(spark, sf_dir), handler, shared_dir(spark, "stream", "ckpt"))
+    return spark.read.parquet(handler.golden_name_path).drop(jobs.NAME_BUCKET)
 
 
 @register("stream_quality_report", ORACLE["quality_report"])

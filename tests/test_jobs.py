@@ -143,3 +143,13 @@ def test_scoring_jobs_split_hot_identifiers_by_default():
     for job in ("identity", "stream"):
         a = jobs.parser().parse_args([job, "--bronze", "x", "--out", "y"])
         assert jobs._params(a).hot_keys == settings.HOT_KEY_MAX_KEYS
+
+
+def test_stream_job_with_mergeable_state(spark, tmp_dir):
+    raw = _raw(tmp_dir)
+    batch = jobs.main(["identity", "--bronze", raw, "--out", f"{tmp_dir}/b"], spark)
+    for _ in range(2):  # a rerun finds no new file and counts nothing twice
+        stream = jobs.main(["stream", "--bronze", raw, "--out", f"{tmp_dir}/s", "--max-files", "1", "--merge-state"], spark)
+        for table in ("gold_final", "gold_duplicate_count"):
+            a, b = spark.read.parquet(batch[table]), spark.read.parquet(stream[table])
+            assert sorted(tuple(r) for r in b.select(a.columns).collect()) == sorted(tuple(r) for r in a.collect())
