@@ -2,5 +2,5 @@
 
 from goldenrec.plans import (catalog, catalog_cleaning, catalog_entities, catalog_profile,  # noqa: F401
                              catalog_quality, catalog_sources)
-from goldenrec.plans import catalog_linkage, catalog_streaming  # noqa: F401,E402  (reuse batch oracles)
+from goldenrec.plans import catalog_ingest, catalog_linkage, catalog_streaming  # noqa: F401,E402  (reuse batch oracles)
 from goldenrec.plans.registry import ORACLE, QUERIES  # noqa: F401

@@ -40,3 +40,15 @@ def csv_inventory(spark: SparkSession, path: str, expected: Sequence[str] = (),
         F.lit(None).cast("string").alias("folder"), "file_name", F.lit(0).cast("long").alias("rows"), F.lit(0).alias("columns"),
         F.lit(False).alias("present"))
     return found.unionByName(missing)
+
+
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, mode: str = "overwrite") -> str:
+    """Managed table of ``buckets`` files, hashed and sorted by ``key``.
+
+    Counts, joins and golden records per ``key`` over the table need no shuffle:
+    the scan already has each key's rows in one task. The rows are shuffled to
+    the buckets once, when written, so each bucket is one file. A key that holds
+    much of the table is one bucket; keep ``save_table`` for such tables.
+    """
+    df.repartition(buckets, key).write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    return name
