@@ -31,6 +31,9 @@ from goldenrec.operators.components import components
 from goldenrec.llm.text import id_and_text
 from goldenrec.session import materialize
 
+#: Shingles of a text whose bits are summed at once.
+BLOCK = 1 << 16
+
 WEIGHTS = np.array([bin(i).count("1") for i in range(1 << 16)], np.uint8)
 
 
@@ -43,11 +46,12 @@ def fingerprint(text: bytes, shingle: int, seed: int = 42) -> int:
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     begins = np.concatenate(([0], ends[:-1] + 1))
-    last = max(len(words) - shingle, 0)
-    digest = xxhash.xxh64_intdigest
-    hashes = [digest(joined[a:b], seed) for a, b in zip(begins[:last + 1].tolist(), ends[min(shingle, len(words)) - 1:].tolist())]
-    bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    over = bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)
+    begins, ends = begins[:max(len(words) - shingle, 0) + 1], ends[min(shingle, len(words)) - 1:]
+    digest, total = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
+    for k in range(0, len(begins), BLOCK):
+        hashes = [digest(joined[a:b], seed) for a, b in zip(begins[k:k + BLOCK].tolist(), ends[k:k + BLOCK].tolist())]
+        total += np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    over = total * 2 > len(begins)
     return int(np.packbits(over, bitorder="little").view("<u8")[0])
 
 
@@ -140,6 +144,10 @@ def _least_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 SMALL = 48
 PAIRS = 1 << 21
 
+#: Members that one member of a large anchor may meet on average for all to be
+#: compared at once.
+FEW = 32
+
 
 def _link_small(anchor: np.ndarray, fps: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
     """Links within equal anchors (sorted), members compared at every lag."""
@@ -160,22 +168,48 @@ def _link_small(anchor: np.ndarray, fps: np.ndarray, threshold: int) -> tuple[np
 
 def _link_large(fps: np.ndarray, threshold: int) -> np.ndarray:
     """Component label of each member of one large anchor. Members that share
-    the free bits but for a flip pattern are compared; a member that has been
-    reached is taken out of the comparisons, so dense families stay cheap."""
+    the free bits but for a flip pattern are compared: all at once where each
+    meets few others, else one family after another (``_link_dense``)."""
     free = (fps >> np.uint64(2 * LENGTH)).astype(np.int64)
     flips = np.array([sum(1 << b for b in bits) for w in range(threshold + 1) for bits in combinations(range(64 - 2 * LENGTH), w)], np.int64)
+    order = np.argsort(free, kind="stable")
+    keys, found_a, found_b, met = free[order], [], [], 0
+    for k in range(0, len(order), PAIRS // len(flips)):
+        some = order[k:k + PAIRS // len(flips)]
+        want = (free[some][:, None] ^ flips).reshape(-1)
+        begin, end = np.searchsorted(keys, want), np.searchsorted(keys, want, "right")
+        met += int((end - begin).sum())
+        if met > FEW * (k + len(some)) + PAIRS:
+            return _link_dense(fps, free, flips, threshold)
+        asked = np.flatnonzero(end > begin)
+        owner, at = _expand(begin[asked], end[asked] - begin[asked])
+        a, b = some[asked[owner] // len(flips)], order[at]
+        near = (a < b) & (distance(fps[a], fps[b]) <= threshold)
+        found_a.append(a[near])
+        found_b.append(b[near])
+    return _least_labels(len(fps), np.concatenate(found_a), np.concatenate(found_b))
+
+
+def _link_dense(fps: np.ndarray, free: np.ndarray, flips: np.ndarray, threshold: int) -> np.ndarray:
+    """The same for an anchor whose members meet many others. A member that has
+    been reached is taken out of the comparisons, so families stay cheap; the
+    table of members is made anew whenever half of it has gone."""
     label = np.full(len(fps), -1, np.int64)
-    rest = np.argsort(free, kind="stable")  # members not reached, by free bits
+    rest = np.argsort(free, kind="stable")  # by free bits; holds all members not reached
+    keys, left = free[rest], len(fps)
     for seed in range(len(fps)):
         if label[seed] >= 0:
             continue
         label[seed] = seed
+        left -= 1
         front = np.array([seed])
         while len(front):
-            rest = rest[label[rest] < 0]
-            if not len(rest):
+            if left * 2 < len(rest):
+                rest = rest[label[rest] < 0]
+                keys = free[rest]
+            if not left:
                 break
-            keys, reached = free[rest], []
+            reached = []
             step = max(1, PAIRS // len(rest) // 8)
             for k in range(0, len(front), step):
                 some = front[k:k + step]
@@ -185,10 +219,11 @@ def _link_large(fps: np.ndarray, threshold: int) -> np.ndarray:
                 for c in range(0, len(asked), 4096):
                     q = asked[c:c + 4096]
                     owner, at = _expand(begin[q], end[q] - begin[q])
-                    near = distance(fps[some[q[owner] // len(flips)]], fps[rest[at]]) <= threshold
-                    hit = rest[at[near]]
-                    hit = np.unique(hit[label[hit] < 0])
+                    new = label[rest[at]] < 0
+                    owner, at = owner[new], at[new]
+                    hit = np.unique(rest[at[distance(fps[some[q[owner] // len(flips)]], fps[rest[at]]) <= threshold]])
                     label[hit] = seed
+                    left -= len(hit)
                     reached.append(hit)
             front = np.concatenate(reached) if reached else front[:0]
     return label
@@ -227,22 +262,25 @@ def links(fps: DataFrame, threshold: int = 2) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(own[k:k + 20_000][index].view(np.int64))], ["anchor", "fp"])
 
     def compare(batches):
-        rest_a, rest_f = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # parts of the last anchor, joined once at its end
 
-        def found(a, f):
-            u, v = _edges(a, f, threshold)
+        def found(parts):
+            u, v = _edges(np.concatenate([a for a, _ in parts]), np.concatenate([f for _, f in parts]), threshold)
             return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
 
         for batch in batches:
-            a = np.concatenate((rest_a, batch.column(0).to_numpy()))
-            f = np.concatenate((rest_f, batch.column(1).to_numpy().view(np.uint64)))
+            a, f = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
             if not len(a):
                 continue
+            if held and held[-1][0][-1] == a[-1]:  # the whole batch goes on with it
+                held.append((a, f))
+                continue
             cut = int(np.searchsorted(a, a[-1]))  # the last anchor may go on in the next batch
-            yield found(a[:cut], f[:cut])
-            rest_a, rest_f = a[cut:], f[cut:]
-        if len(rest_a):
-            yield found(rest_a, rest_f)
+            if held or cut:
+                yield found([*held, (a[:cut], f[:cut])])
+            held = [(a[cut:], f[cut:])]
+        if held:
+            yield found(held)
 
     # Replication makes small partitions large: they are not coalesced before it.
     spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))

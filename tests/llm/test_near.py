@@ -1,4 +1,5 @@
 import random
+import time
 import re
 
 import numpy as np
@@ -83,6 +84,36 @@ def test_large_anchor_equals_all_pairs(family):
     assert S._link_large(dense, 2).tolist() == least_labels(len(dense), brute_pairs(dense))
 
 
+def test_dense_and_sparse_ways_agree(family, monkeypatch):
+    free = (family >> np.uint64(2 * S.LENGTH)).astype(np.int64)
+    flips = np.array([0, *(1 << k for k in range(18)), *((1 << a) | (1 << b) for a in range(18) for b in range(a))])
+    want = least_labels(len(family), brute_pairs(family))
+    assert S._link_dense(family, free, flips, 2).tolist() == want
+    monkeypatch.setattr(S, "FEW", 1 << 30)  # never dense
+    assert S._link_large(family, 2).tolist() == want
+
+
+def test_fifty_thousand_members_at_one_anchor():
+    """Unrelated members, chains and a dense family; links as planted."""
+    rng = np.random.default_rng(3)
+    base = np.unique(rng.integers(0, 2 ** 63, 50_000, dtype=np.uint64))
+    near = base[:5000] ^ (np.uint64(1) << rng.integers(0, 63, 5000, dtype=np.uint64))
+    far = near[:2500] ^ (np.uint64(1) << rng.integers(0, 63, 2500, dtype=np.uint64))
+    members = np.concatenate([base, near, far])
+    begun = time.perf_counter()
+    label = S._link_large(members, 2)
+    assert time.perf_counter() - begun < 60
+    assert (label[len(base):len(base) + 5000] == label[:5000]).all() and (label[len(base) + 5000:] == label[:2500]).all()
+    assert len(np.unique(label)) == len(base)  # random 63-bit values have no near pair
+
+
+def test_a_long_text_is_summed_in_blocks(monkeypatch):
+    text = " ".join(f"w{k % 977} x{k % 31}" for k in range(20_000)).encode()
+    whole = S.fingerprint(text, 3)
+    monkeypatch.setattr(S, "BLOCK", 1000)
+    assert S.fingerprint(text, 3) == whole
+
+
 def test_simhash_over_a_table(docs, empty, texts, llm_spark):
     fps = [slow_fingerprint(t) for t in texts]
     pairs = [(a, b) for a in range(len(fps)) for b in range(a) if bin(fps[a] ^ fps[b]).count("1") <= 2]
