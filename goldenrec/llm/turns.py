@@ -16,9 +16,9 @@ from goldenrec.session import materialize
 BATCH_ROWS = 4096
 
 
-def ordered(turns: DataFrame) -> DataFrame:
-    """``turns`` (conv_id, turn, role, h1 and more), written once, with ``seq``
-    ascending in the order conv_id, turn (NULL first), role, h1.
+def ordered(turns: DataFrame, ties: tuple[str, ...] = ("role", "h1")) -> DataFrame:
+    """``turns`` (conv_id, turn, ``ties`` and more), written once, with ``seq``
+    ascending in the order conv_id, turn (NULL first), ``ties``.
 
     Ranges cut wherever rows are many, so a conversation that holds much of the
     table, or a turn number or a row that it repeats, lies in many partitions:
@@ -26,7 +26,7 @@ def ordered(turns: DataFrame) -> DataFrame:
     number and the place in it, so ``seq >> k`` is a block of at most 2**k rows.
     """
     spark = turns.sparkSession
-    keys = [F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.col("role"), F.col("h1"), F.col("_place")]
+    keys = [F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), *map(F.col, ties), F.col("_place")]
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = turns.withColumn("_place", F.monotonically_increasing_id()).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     return materialize(placed.drop("_place").withColumn("seq", F.monotonically_increasing_id()), "turns")
