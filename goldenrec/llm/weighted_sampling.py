@@ -140,7 +140,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     kind = rows.schema["doc_id"].dataType.simpleString()
     # Only the row at either end of a task's range is returned with its text.
     schema = f"doc_id {kind}, {COLUMNS}, border string, task long, text string"
-    placed = rows.repartitionByRange(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    placed = rows.repartitionByRange(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id", F.xxhash64("text")) \
+        .sortWithinPartitions("doc_id", F.xxhash64("text"))
 
     def run(batches):
         task, first, ids, texts, size = TaskContext.get().partitionId(), True, [], [], 0
