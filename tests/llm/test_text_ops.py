@@ -11,6 +11,7 @@ from goldenrec.llm import chat, licenses
 from goldenrec.llm import importance as I
 from goldenrec.llm import weighted_sampling as W
 from goldenrec.llm.line_dedup import dedup_lines
+from goldenrec.llm.text import span_hashes
 
 
 def lower(s):
@@ -205,12 +206,23 @@ def test_snapshots_collapse(llm_spark):
     assert chat.format_chats(frame.limit(0)).count() == 0
 
 
+def test_many_turns_without_a_number_are_many_groups(llm_spark):
+    turns = [(1, None, "user", f"u{k}") for k in range(5000)] + [(2, 7, "user", "same")] * 3000 + [(2, 7, "user", f"v{k}") for k in range(60)] + [(3, 7, "user", "same")]
+    frame = llm_spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(4)
+    placed = chat.places(chat._turns(frame).select("conv_id", "turn", "h1", "h2").distinct(), 256)
+    assert sorted(r.pos for r in placed.filter("conv_id = 1").collect()) == list(range(1, 5001))
+    rows = chat.format_chats(frame, 256).collect()
+    assert sorted(r.part for r in rows if r.conv_id == 1) == list(range(20)) and max(r.part_turns for r in rows) == 256
+    said = "".join(r.rendered for r in sorted(rows, key=lambda r: r.part) if r.conv_id == 1)
+    assert sorted(said.split("<|im_start|>user\n")[1:]) == sorted(f"u{k}<|im_end|>\n" for k in range(5000))
+    assert sum(r.part_turns for r in rows if r.conv_id == 2) == 61
+
+
 # --- licences ---------------------------------------------------------------
 
 
-def slow_licenses(texts, rare=4, agree=2):
+def slow_licenses(texts):
     words = {k: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t or "")) for k, t in texts.items()}
-    df = Counter(w for own in words.values() for w in set(own))
     out = {}
     for k, own in words.items():
         places, base, labels, score = [], set(), set(), 0.0
@@ -222,16 +234,24 @@ def slow_licenses(texts, rare=4, agree=2):
         for t in licenses.TEMPLATES:
             notice, key = t.notice.split(), t.key.split()
             begin = next(i for i in range(len(notice)) if notice[i:i + len(key)] == key)
-            held = sorted({w for w in notice if w in own}, key=lambda w: (df[w], w))[:rare]
             for p in [i - begin for i in range(len(own)) if own[i:i + len(key)] == key]:
+                # the phrase stands in full, so all of its rarest words agree on the place
                 match = [0 <= p + i < len(own) and own[p + i] == w for i, w in enumerate(notice)]
-                if len({w for w, m in zip(notice, match) if m} & set(held)) >= min(agree, len(held)):
-                    labels.add(t.label)
-                    score = max(score, sum(match) / len(notice))
+                labels.add(t.label)
+                score = max(score, sum(match) / len(notice))
         out[k] = (len(own), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(base | labels)), score)
     return out
 
 
+def test_a_place_needs_its_whole_phrase_only(llm_spark):
+    """The plain version and the operator agree where other template words abound."""
+    own = {1: "subject to the terms of the V of any copy associated " * 20 + "Mozilla Public License 2.0.", 2: "Mozilla Public License",
+           3: "permission is hereby granted free of charge to use this font any associated copy documentation", 4: "mozilla public", 5: None,
+           6: "software files copy any person " * 3000 + "permission is hereby granted, free of charge", 7: "under the mit license under the mit license"}
+    frame = llm_spark.createDataFrame(list(own.items()), "doc_id long, text string").repartition(3)
+    assert {r[0]: tuple(r[1:7]) + (pytest.approx(r["score"]),) for r in licenses.scan_licenses(frame).collect()} == slow_licenses(own)
+
+
 def test_licenses_over_a_table(llm_spark, docs, empty, texts):
     own = {3 * k: t for k, t in enumerate(texts)}
     own |= {1000: "MIT License mit-license MIT\nLicense. This work is licensed under the GNU General Public License, version 3.", 1001: "éMIT License mitlicense general public",
@@ -277,6 +297,66 @@ def test_signature_does_not_depend_on_company(texts):
     assert np.array_equal(W.signatures(["A b b"]), W.signatures(["b, a; B"])) and not W.signatures([" ! "]).any()
 
 
+def plain_signature(text, slots, seed=42):
+    """A signature term by term, from the words' hashes and the method's text."""
+    words = Counter(re.findall(r"[0-9a-z\u0080-\U0010ffff]+", text.lower()))
+    if not words:
+        return [0] * slots
+    names = list(words)
+    spelled = [w.encode() for w in names]
+    buf = np.frombuffer(b" ".join(spelled), np.uint8)
+    end = np.cumsum([len(w) + 1 for w in spelled]) - 1
+    r, b, base = W._variates(span_hashes(buf, end - [len(w) for w in spelled], end), slots, seed)
+    out = []
+    for slot in range(slots):
+        least = None
+        for k, w in enumerate(names):
+            own_r, own_b = float(r[k, slot]), float(b[k, slot])
+            log_c = float(base[k, slot]) + own_r - own_r * own_b
+            t = math.floor(math.log(words[w]) / own_r + own_b)
+            value = log_c - own_r * (t - own_b) - own_r
+            if least is None or value < least[0]:
+                least = (value, w, t)
+        out.append(least)
+    return out
+
+
+def test_each_slot_takes_the_term_of_least_value():
+    """Two texts share a slot exactly where plain sampling takes the same (term, t)."""
+    rng = random.Random(12)
+    stock = [f"w{k}" for k in range(40)] + ["é", "12", "ñandú"]
+    texts = [" ".join(rng.choices(stock, k=rng.randint(1, 60))) for _ in range(12)]
+    found, plain = W.signatures(texts), [plain_signature(t, W.SLOTS) for t in texts]
+    same = total = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            for slot in range(W.SLOTS):
+                a, b = plain[i][slot], plain[j][slot]
+                equal = a[1:] == b[1:]
+                total += 1
+                same += (found[i, slot] == found[j, slot]) == equal
+    assert same >= 0.9995 * total  # 16 bits of hash may meet by chance
+
+
+def test_variates_follow_their_distributions():
+    """r and c are Gamma(2, 1), b is uniform, all independent of the slot."""
+    hashes = W.mix(np.arange(4000, dtype=np.uint64))
+    r, b, base = W._variates(hashes, 16, 42)
+    c = np.exp(base + r - r * b)
+    for x in (r, c):
+        assert abs(x.mean() - 2) < 0.03 and abs(x.var() - 2) < 0.1
+    assert abs(b.mean() - 0.5) < 0.01 and abs(b.var() - 1 / 12) < 0.003
+    assert abs(np.corrcoef(r.ravel(), b.ravel())[0, 1]) < 0.02 and abs(np.corrcoef(r.ravel(), c.ravel())[0, 1]) < 0.02
+
+
+def test_rows_of_one_id_lie_in_many_ranges(llm_spark):
+    rows = [(None if k % 2 else 5, f"text {k} " + "word " * (k % 7)) for k in range(400)]
+    frame = llm_spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    found = W.edited_fingerprints(frame).collect()
+    assert len(found) == 400 and Counter(r.doc_id for r in found) == {None: 200, 5: 200}
+    assert sorted(r.n_chars for r in found) == sorted(len(t) for _, t in rows)
+
+
 def test_fingerprints_over_a_table(docs, empty, texts, llm_spark, monkeypatch):
     own = [t or "" for t in texts]
     for gather in (1 << 20, 100):
