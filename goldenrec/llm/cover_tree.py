@@ -4,40 +4,49 @@ Vectors are normalised in double precision; cosine >= c means a distance of at
 most tau = sqrt(2 - 2c) on the unit sphere, where the triangle inequality
 holds. Equal vectors are one node with a weight.
 
-*Top of the tree.* Pivots, one for about ``leaf`` nodes, are the centres of its
-cells; a node belongs to its nearest pivot. The pair of a member of cell a and
-a node v of a later cell can only be near if v lies within the cell's covering
-radius plus tau of its pivot: only then is v sent to cell a as a visitor. Cells
-over ``leaf`` members, and visitors, are dealt out to several groups, so no
-group grows with the data.
-
-*Below.* The members of a part get nested levels of centres with halving radii,
-once. A group meets its members with its visitors (or with themselves) level by
-level: a pair of tree nodes goes on if their centres are within both covering
-radii plus tau, is taken as a whole if they are within tau minus both radii, and
-is otherwise split into its children; single vectors are compared exactly.
-Bounds have a margin for rounding, so every pair at the threshold is decided by
-its cosine in double precision.
-
-A group returns a row per linked vector (links counted, one edge to its group's
-component), never pairs.
+*Upper levels.* All vectors of a dimension are one cell. A cell of more than
+``leaf`` members is parted: a few of its members (at most about ``FAN``) become
+pivots, a member goes to its nearest pivot's child cell. A pair of a member of
+child a and a node v of a later child (or a visitor of the cell) can only be
+near if v lies within the child's covering radius plus tau of its pivot: only
+then is v a visitor of child a. If v is within tau minus the radius, it links
+with the whole child, and a cell whose radius is at most half of tau links with
+itself, without a look at its pairs. Cells are parted level by level until all
+are small. Pivots, radii and counts are tables; rows of a cell meet its pivots
+in shares of about ``leaf`` rows, so nothing here is collected or broadcast.
+
+*Below.* The members of a small cell get nested levels of centres with halving
+radii, once. A group meets members with a share of the cell's visitors (or with
+themselves) level by level: a pair of tree nodes goes on if their centres are
+within both covering radii plus tau, is taken as a whole if they are within tau
+minus both radii, and is otherwise split into its children; single vectors are
+compared exactly. Bounds have a margin for rounding, so every pair at the
+threshold is decided by its cosine in double precision.
+
+What comes out is a row per linked vector (links counted, one edge to a member
+of its component), never pairs.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldenrec.operators.components import components
-from goldenrec.llm.text import mix
 from goldenrec.session import materialize
 
 RADII = (0.8, 0.4, 0.2, 0.1)
 MARGIN = 1e-6
 BLOCK = 512
 PAIRS = 1 << 18
+#: Pivots of a cell, at most about so many.
+FAN = 64
+#: A cell of a lesser radius is not parted again, whatever its size.
+FLOOR = 1e-3
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -256,121 +265,62 @@ def _by_dim(batch: pa.RecordBatch | pa.Table):
         yield int(dim), at, unit(matrix(column.take(pa.array(at)), int(dim)))
 
 
-def _pivots(nodes: DataFrame, leaf: int) -> dict[int, tuple[int, np.ndarray]]:
-    """For each dimension its first cell number and its pivots: a hash sample of
-    about two in ``leaf`` nodes."""
-    sampled = F.pmod(F.xxhash64("node"), F.lit(max(2, leaf // 2))) == 0
-    least = [r[1] for r in nodes.groupBy(F.size("vec")).agg(F.min("node")).collect()]  # one for each dimension
-    found = nodes.filter(sampled | F.col("node").isin(least)).select("vec").toArrow()
-    out, upto = {}, 0
-    for dim, _, x in _by_dim(found):
-        out[dim] = (upto, x)
-        upto += len(x)
-    return out
+def _longs(table: pa.Table, *names: str) -> list[np.ndarray]:
+    return [table.column(c).to_numpy() for c in names]
 
 
-def _hash(node: np.ndarray) -> np.ndarray:
-    return (mix(node.astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
+def _nearest(table: pa.Table) -> pa.Table:
+    """Members of a share of a cell under the nearest of the cell's pivots."""
+    table = table.sort_by("node")
+    (_, _, x), = _by_dim(table)
+    pivot, node = _longs(table, "pivot", "node")
+    centre, own = np.flatnonzero(pivot), np.flatnonzero(~pivot)
+    sub, gap = np.zeros(len(own), np.int64), np.zeros(len(own))
+    for k in range(0, len(own), BLOCK):
+        dots = x[own[k:k + BLOCK]] @ x[centre].T
+        sub[k:k + BLOCK] = node[centre[dots.argmax(axis=1)]]
+        gap[k:k + BLOCK] = np.sqrt(np.maximum(2 - 2 * dots.max(axis=1), 0))
+    taken = table.take(pa.array(own)).select(["cell", "salt", "node", "vec", "copies"])
+    return taken.append_column("sub", pa.array(sub)).append_column("gap", pa.array(gap))
 
 
-def near_duplicates(rows: DataFrame, cosine: float = 0.9, leaf: int = 8192, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """(vec_id, n_links, component_id, kept) for each row of ``rows``.
-
-    Pairs with cosine >= ``cosine`` in double precision link; n_links counts the
-    other rows linked directly, copies included; component_id is the least id
-    reachable, itself included; kept is vec_id = component_id. Vectors that are
-    NULL, empty, zero, or hold NULL or non-finite components link with nothing.
-    Vectors of different dimensions link with nothing in common. Repeated rows
-    are rows of their own. A row with a NULL id links like any other; it is not
-    kept, and a component without ids has component_id NULL. Other columns are
-    not read, so names cannot clash. An empty table gives an empty result.
-    """
-    given = rows.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("vec"))
-    usable = given.filter(_usable(F.col("vec")))
-    nodes = materialize(usable.groupBy("vec").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies")).select(
-        F.monotonically_increasing_id().alias("node"), "*"), "cover_tree")
-    vec_type = nodes.schema["vec"].dataType.simpleString()
-    context, tau = rows.sparkSession.sparkContext, float(np.sqrt(2 - 2 * cosine))
-    pivots = context.broadcast(_pivots(nodes, leaf))  # about two in ``leaf`` vectors: grows with the table
-
-    def place(batches):
-        for batch in batches:
-            cell, gap = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
-            for dim, at, x in _by_dim(batch):
-                base, p = pivots.value[dim]
-                dots = x @ p.T
-                cell[at] = base + dots.argmax(axis=1)
-                gap[at] = np.sqrt(np.maximum(2 - 2 * dots.max(axis=1), 0))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(gap)], ["node", "vec", "copies", "cell", "gap"])
-
-    placed = materialize(nodes.select("node", "vec", "copies").mapInArrow(place, f"node long, vec {vec_type}, copies long, cell long, gap double"), "cover_tree")
-    stats = {r["cell"]: r for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("radius")).collect()}  # a row for each pivot
-    n_cells = sum(len(p) for _, p in pivots.value.values())
-    radius = np.array([stats[c]["radius"] if c in stats else -np.inf for c in range(n_cells)])
-    parts = np.array([-(-stats[c]["n"] // leaf) if c in stats else 0 for c in range(n_cells)], np.int64)
-
-    def levels(table: pa.Table) -> pa.Table:
-        node = table.column("node").to_numpy()
-        path = np.zeros((len(node), len(RADII)), np.int64)
-        for _, at, x in _by_dim(table):
-            path[at] = node[at[nested_levels(x)]]
-        lists = pa.FixedSizeListArray.from_arrays(pa.array(path.reshape(-1)), len(RADII)).cast(pa.list_(pa.int64()))
-        return table.append_column("path", lists)
-
-    split = placed.drop("gap").withColumn("part", F.pmod(F.xxhash64("node"), F.element_at(F.lit(parts.tolist() or [1]), (F.col("cell") + 1).cast("int"))))
-    tree_schema = f"node long, vec {vec_type}, copies long, cell long, part long, path array<long>"
-    trees = materialize(split.groupBy("cell", "part").applyInArrow(levels, tree_schema), "cover_tree")
-
-    def visits(batch):
-        """(row, cell) of each visit to an earlier cell."""
-        cell = batch.column(batch.schema.get_field_index("cell")).to_numpy()
+def _visits(tau: float):
+    """Which children a share of a cell's rows has to visit: members the earlier
+    ones within reach (none if all pairs of the cell link), visitors all."""
+    def visits(table: pa.Table) -> pa.Table:
+        (_, _, x), = _by_dim(table)
+        pivot, node, copies, sub, radius, weight, inner = _longs(table, "pivot", "node", "copies", "sub", "radius", "weight", "inner")
+        centre = np.flatnonzero(pivot)
+        own = np.flatnonzero(~pivot & ~(inner[centre].any() & (sub >= 0)))
         found = []
-        for dim, at, x in _by_dim(batch):
-            base, p = pivots.value[dim]
-            for k in range(0, len(at), BLOCK):
-                own = at[k:k + BLOCK]
-                far = np.sqrt(np.maximum(2 - 2 * (x[k:k + BLOCK] @ p.T), 0))
-                i, c = np.nonzero(far <= radius[base:base + len(p)] + tau + MARGIN)
-                c += base
-                earlier = c < cell[own[i]]
-                found.append((own[i[earlier]], c[earlier]))
-        return tuple(np.concatenate([f[k] for f in found] or [np.zeros(0, np.int64)]) for k in (0, 1))
-
-    def count(batches):
-        total = np.zeros(n_cells, np.int64)
-        for batch in batches:
-            total += np.bincount(visits(batch)[1], minlength=n_cells)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["cell", "n"])
-
-    visited = dict(trees.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect())
-    guests = np.array([-(-visited.get(c, 0) // (2 * leaf)) for c in range(n_cells)], np.int64)
-
-    def deal(batches):
-        """Rows of each group (cell, part, guest): the part's members, and the
-        later parts of the cell or one share of the cell's visitors."""
-        for batch in batches:
-            node, cell, part = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("node", "cell", "part"))
-            own, k = _expand(part, parts[cell] - part + guests[cell])  # own part and later ones, then the visitors' shares
-            member = (own, cell[own], part[own], k)
-            own, k = _expand(np.zeros(len(part), np.int64), part)
-            later = (own, cell[own], k, part[own])
-            row, at = visits(batch)
-            share = parts[at] + _hash(node[row]) % np.maximum(guests[at], 1)
-            own, k = _expand(np.zeros(len(at), np.int64), parts[at])
-            visitor = (row[own], at[own], k, share[own])
-            for kind, (index, c, p, g) in ((True, member), (False, later), (False, visitor)):
-                for k in range(0, len(index), 1 << 14):
-                    some = slice(k, k + (1 << 14))
-                    taken = batch.take(pa.array(index[some]))
-                    columns = [taken.column(taken.schema.get_field_index(x)) for x in ("node", "vec", "copies", "path")]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c[some]), pa.array(p[some]), pa.array(g[some]), pa.array(np.full(len(taken), kind)), *columns],
-                        ["cell", "part", "guest", "member", "node", "vec", "copies", "path"])
-
+        for k in range(0, len(own), BLOCK):
+            some = own[k:k + BLOCK]
+            far = np.sqrt(np.maximum(2 - 2 * (x[some] @ x[centre].T), 0))
+            i, c = np.nonzero(far <= radius[centre] + (tau + MARGIN))
+            whole = far[i, c] + radius[centre[c]] <= tau - MARGIN
+            due = (sub[some[i]] < 0) | (node[centre[c]] < sub[some[i]])
+            found.append((some[i[due]], centre[c[due]], whole[due]))
+        i, c = (np.concatenate([f[k] for f in found] or [np.zeros(0, np.int64)]) for k in (0, 1))
+        whole = np.concatenate([f[2] for f in found] or [np.zeros(0, bool)])
+        return pa.table({"cell": node[c], "node": node[i], "copies": copies[i], "weight": weight[c], "whole": whole})
+
+    return visits
+
+
+def _levels(table: pa.Table) -> pa.Table:
+    """The members of a part with their path of centres."""
+    node = table.column("node").to_numpy()
+    path = np.zeros((len(node), len(RADII)), np.int64)
+    for _, at, x in _by_dim(table):
+        path[at] = node[at[nested_levels(x)]]
+    lists = pa.FixedSizeListArray.from_arrays(pa.array(path.reshape(-1)), len(RADII)).cast(pa.list_(pa.int64()))
+    return table.append_column("path", lists)
+
+
+def _meet(cosine: float):
+    """Links between the members of a part and those it meets."""
     def meet(table: pa.Table) -> pa.Table:
-        member = table.column("member").to_numpy()
-        node, copies = table.column("node").to_numpy(), table.column("copies").to_numpy()
+        member, node, copies = _longs(table, "member", "node", "copies")
         path = table.column("path").combine_chunks().flatten().to_numpy().reshape(-1, len(RADII))
         (_, _, x), = _by_dim(table)
         own, other = np.flatnonzero(member), np.flatnonzero(~member)
@@ -385,8 +335,123 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.9, leaf: int = 8192, id_c
         hit = np.flatnonzero(links > 0)
         return pa.table({"node": ids[hit], "links": links[hit], "root": ids[label[hit]]})
 
-    dealt = trees.mapInArrow(deal, f"cell long, part long, guest long, member boolean, node long, vec {vec_type}, copies long, path array<long>")
-    linked = materialize(dealt.groupBy("cell", "part", "guest").applyInArrow(meet, "node long, links long, root long"), "cover_tree")
+    return meet
+
+
+def _in_shares(rows: DataFrame, keys: tuple[str, ...], run, schema: str) -> DataFrame:
+    # Dealt out by all keys: a join by cell before would else leave a cell's
+    # shares in one task.
+    return rows.repartition(*keys).groupBy(*keys).applyInArrow(run, schema)
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _part(members: DataFrame, visitors: DataFrame, nodes: DataFrame, opened: DataFrame, tau: float, leaf: int, level: int, vec_type: str):
+    """One level: the opened cells parted. Gives (members, visitors, cells) of
+    the children and the links (node, links, root) found between whole cells."""
+    def kept(frame: DataFrame) -> DataFrame:
+        return materialize(frame, "cover_tree")
+
+    salt = F.pmod(F.xxhash64("node"), F.col("salts")).alias("salt")
+    fan = F.least(F.lit(FAN), F.greatest(F.lit(2), F.ceil(F.col("n") * 2 / leaf)))
+    shared = opened.withColumn("salts", F.ceil((F.col("n") + F.col("v")) / leaf)).withColumn("every", F.greatest(F.lit(1), F.floor(F.col("n") / fan)))
+    own = members.join(shared, "cell")
+    # The old pivot and the member farthest from it are pivots too, so a level
+    # always parts its cells.
+    chosen = (F.pmod(F.xxhash64("node", F.lit(level)), F.col("every")) == 0) | (F.col("node") == F.col("cell")) | (F.col("node") == F.col("far"))
+    pivots = kept(own.filter(chosen).select("cell", "node", "vec", "salts", "inner"))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")
+    dealt = own.select("cell", salt, F.lit(False).alias("pivot"), "node", "vec", "copies").unionByName(
+        pivots.select("cell", each, F.lit(True).alias("pivot"), "node", "vec", F.lit(0).cast("long").alias("copies")))
+    placed = kept(_in_shares(dealt, ("cell", "salt"), _nearest, f"cell long, salt long, node long, vec {vec_type}, copies long, sub long, gap double"))
+
+    half = F.max("gap") <= (tau - MARGIN) / 2
+    children = placed.groupBy(F.col("sub").alias("child")).agg(
+        F.min("cell").alias("cell"), F.count(F.lit(1)).alias("n"), F.sum("copies").alias("weight"), F.max("gap").alias("radius"),
+        F.max_by("node", "gap").alias("far"), half.alias("tight"))
+    children = kept(children.join(opened.select("cell", F.col("inner").alias("counted")), "cell").select(
+        F.col("child").alias("cell"), "n", "weight", "radius", "far", (F.col("tight") | F.col("counted")).alias("inner"), (F.col("tight") & ~F.col("counted")).alias("now")))
+
+    outside = F.lit(-1).cast("long").alias("sub")
+    guests = visitors.join(shared, "cell").select("cell", salt, "node").join(nodes.select("node", "vec", "copies"), "node")
+    centres = pivots.join(children.select(F.col("cell").alias("node"), "radius", "weight"), "node")
+    fill = [F.lit(0.0).alias("radius"), F.lit(0).cast("long").alias("weight"), F.lit(False).alias("inner")]
+    dealt = placed.select("cell", "salt", F.lit(False).alias("pivot"), "node", "vec", "copies", "sub", *fill).unionByName(
+        guests.select("cell", "salt", F.lit(False).alias("pivot"), "node", "vec", "copies", outside, *fill)).unionByName(
+        centres.select("cell", each, F.lit(True).alias("pivot"), "node", "vec", F.lit(0).cast("long").alias("copies"), outside, "radius", "weight", "inner"))
+    visits = kept(_in_shares(dealt, ("cell", "salt"), _visits(tau), "cell long, node long, copies long, weight long, whole boolean"))
+
+    came = visits.filter(~F.col("whole")).groupBy("cell").agg(F.count(F.lit(1)).alias("v"))
+    cells = kept(children.drop("weight", "now").join(came, "cell", "left").fillna(0, ["v"]))
+    whole = visits.filter("whole")
+    # Written, so that both sides of the join are exchanges of their own and a
+    # large cell's partition can be split.
+    guested = kept(whole.groupBy("cell").agg(F.sum("copies").alias("links")))
+    inside = placed.select("node", "copies", F.col("sub").alias("cell"))
+    links = [whole.select("node", F.col("weight").alias("links"), F.col("cell").alias("root")),
+             inside.join(guested, "cell").select("node", "links", F.col("cell").alias("root")),
+             inside.join(children.filter("now"), "cell").select("node", (F.col("weight") - F.col("copies")).alias("links"), F.col("cell").alias("root"))]
+    return placed.select(F.col("sub").alias("cell"), "node", "vec", "copies"), visits.filter(~F.col("whole")).select("cell", "node"), cells, links
+
+
+def near_duplicates(rows: DataFrame, cosine: float = 0.9, leaf: int = 4096, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+    """(vec_id, n_links, component_id, kept) for each row of ``rows``.
+
+    Pairs with cosine >= ``cosine`` in double precision link; n_links counts the
+    other rows linked directly, copies included; component_id is the least id
+    reachable, itself included; kept is vec_id = component_id. Vectors that are
+    NULL, empty, zero, or hold NULL or non-finite components link with nothing.
+    Vectors of different dimensions link with nothing in common. Repeated rows
+    are rows of their own. A row with a NULL id links like any other; it is not
+    kept, and a component without ids has component_id NULL. Other columns are
+    not read, so names cannot clash. An empty table gives an empty result.
+    """
+    given = rows.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("vec"))
+    usable = given.filter(_usable(F.col("vec")))
+    nodes = materialize(usable.groupBy("vec").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies")).select(
+        F.monotonically_increasing_id().alias("node"), "*"), "cover_tree")
+    vec_type = nodes.schema["vec"].dataType.simpleString()
+    tau = float(np.sqrt(2 - 2 * cosine))
+    members = nodes.select((-F.size("vec")).cast("long").alias("cell"), "node", "vec", "copies")  # a cell for each dimension
+    visitors = members.select("cell", "node").limit(0)
+    cells = members.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("far")).select(
+        "*", F.lit(2.0).alias("radius"), F.lit(False).alias("inner"), F.lit(0).cast("long").alias("v"))
+    # A cell is parted unless it is small, a point, or links with itself and is not visited.
+    wide = (F.col("n") > leaf) & (F.col("radius") > FLOOR) & (~F.col("inner") | (F.col("v") > 0))
+    sizes = [F.ceil(F.col("n") / leaf).alias("parts"), F.ceil(F.col("v") / (2 * leaf)).alias("guests"), "inner"]
+    all_members, all_visitors, linked, level = [], [], [], 0
+    while True:
+        shut, opened = cells.filter(~wide).select("cell", *sizes), cells.filter(wide)
+        all_members.append(members.join(shut, "cell"))
+        all_visitors.append(visitors.join(shut.drop("inner"), "cell"))
+        if opened.isEmpty():
+            break
+        members, visitors, cells, links = _part(members, visitors, nodes, opened, tau, leaf, level, vec_type)
+        linked += links
+        level += 1
+
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).alias("part")
+    split = _union(all_members).select("cell", part, "parts", "guests", "inner", "node", "vec", "copies")
+    tree_schema = f"cell long, part long, parts long, guests long, inner boolean, node long, vec {vec_type}, copies long, path array<long>"
+    trees = materialize(_in_shares(split, ("cell", "part"), _levels, tree_schema), "cover_tree")
+
+    def runs(first, past):
+        """first to past - 1, a row for each."""
+        return F.explode(F.when(first < past, F.sequence(first, past - 1)))
+
+    # Groups (cell, part, guest): the part's members with themselves (guest =
+    # part), with a later part of the cell, or with a share of its visitors.
+    body, zero = ("node", "vec", "copies", "path"), F.lit(0).cast("long")
+    ends = F.col("parts") + F.col("guests")
+    dealt = _union([
+        trees.select("cell", "part", runs(F.when(F.col("inner"), F.col("parts")).otherwise(F.col("part")), ends).alias("guest"), F.lit(True).alias("member"), *body),
+        trees.filter(~F.col("inner")).select("cell", runs(zero, F.col("part")).alias("part"), F.col("part").alias("guest"), F.lit(False).alias("member"), *body),
+        _union(all_visitors).join(trees.select(*body), "node").select(
+            "cell", runs(zero, F.col("parts")).alias("part"), (F.col("parts") + F.pmod(F.xxhash64("node"), F.col("guests"))).alias("guest"), F.lit(False).alias("member"), *body)])
+    met = _in_shares(dealt, ("cell", "part", "guest"), _meet(cosine), "node long, links long, root long")
+    linked = materialize(_union([met, *linked]), "cover_tree")
     roots = components(linked.select(F.col("node").alias("u"), F.col("root").alias("v")))
 
     sums = linked.groupBy("node").agg(F.sum("links").alias("links"))
