@@ -169,6 +169,28 @@ def test_cover_tree_over_a_table(llm_spark, vectors):
     assert C.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_cells_parted_over_levels(llm_spark, monkeypatch):
+    """A dense family and a loose one far over ``leaf``, multiples of one vector with
+    one outlier, and stray vectors: many levels, whole cells, visitors of them."""
+    rng = np.random.default_rng(9)
+    centre = rng.normal(size=(2, 8))
+    line = np.outer(np.arange(1, 61), rng.normal(size=8))
+    x = np.concatenate([centre[:1] + rng.normal(size=(150, 8)) * 0.02, centre[1:] + rng.normal(size=(150, 8)) * 0.4, line, -line[:1], rng.normal(size=(80, 8))])
+    near, levels, part = slow_links(x), [], C._part
+    label = least_labels(len(x), [(a, b) for a, b in zip(*np.nonzero(near)) if a < b])
+
+    def counted(*given):
+        levels.append(given[6])
+        return part(*given)
+
+    monkeypatch.setattr(C, "_part", counted)
+    monkeypatch.setattr(C, "FAN", 4)
+    frame = llm_spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    rows = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in C.near_duplicates(frame, leaf=40).collect()}
+    assert rows == {k: (int(near[k].sum()) - 1, label[k]) for k in range(len(x))}
+    assert len(levels) > 2
+
+
 def test_threshold_is_exact(llm_spark):
     def at(cosine):
         return [cosine, float(np.sqrt(1 - cosine ** 2))]
