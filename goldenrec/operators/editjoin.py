@@ -41,42 +41,41 @@ def deletions(c: Column, most: int) -> Column:
     return forms
 
 
-def _segment(length: Column, i: int, k: int) -> tuple[Column, Column]:
+def _segment(length: Column, i: Column, k: int) -> tuple[Column, Column]:
     """(first sign, size) of segment i of a string cut into k + 1 even parts, the
     longer ones last."""
-    n = k + 1
-    base = F.floor(length / F.lit(n)).cast("int")
+    n = F.lit(k + 1)
+    base = F.floor(length / n).cast("int")
     longer = (length % n).cast("int")
-    start = F.lit(1) + base * (i - 1) + F.greatest(F.lit(0), longer - F.lit(n - i + 1))
+    start = F.lit(1) + base * (i - 1) + F.greatest(F.lit(0), longer - (n - i + 1))
     return start.cast("int"), (base + F.when(longer >= n - i + 1, 1).otherwise(0)).cast("int")
 
 
-def _parts(value: Column, length: Column, i: int, at: Column, size: Column) -> Column:
-    return F.struct(length.cast("int").alias("length"), F.lit(i).alias("i"), F.substring(value, at, size).alias("segment"),
-                    F.substring(value, F.lit(1), at - 1).alias("before"), F.substr(value, at + size).alias("after"))
+def _parts(rows: DataFrame) -> DataFrame:
+    """(value, length, i, segment, before, after) of rows (value, length, i, at, size)."""
+    v, at, size = F.col("value"), F.col("at"), F.col("size")
+    return rows.select("value", "length", "i", F.substring(v, at, size).alias("segment"),
+                       F.substring(v, F.lit(1), at - 1).alias("before"), F.substr(v, at + size).alias("after"))
 
 
 def segments(values: DataFrame, k: int) -> DataFrame:
     """(value, length, i, segment, before, after): the index, of strings longer
     than k."""
-    v, n = F.col("value"), F.length("value")
-    rows = F.array(*(_parts(v, n, i, *_segment(n, i, k)) for i in range(1, k + 2)))
-    return values.filter(n > k).select("value", F.inline(rows))
+    rows = values.filter(F.length("value") > k).select(
+        "value", F.length("value").alias("length"), F.explode(F.array(*(F.lit(i) for i in range(1, k + 2)))).alias("i"))
+    at, size = _segment(F.col("length"), F.col("i"), k)
+    return _parts(rows.select("*", at.alias("at"), size.alias("size")))
 
 
 def look_ups(values: DataFrame, k: int) -> DataFrame:
     """The substrings that a string looks up in the index, columns as there."""
-    v, n = F.col("value"), F.length("value")
-    found = []
-    for less in range(k + 1):
-        for i in range(1, k + 2):
-            for shift in range(-(i - 1), i):
-                if abs(less - shift) <= k + 1 - i:
-                    start, size = _segment(n - less, i, k)
-                    at = (start + shift).cast("int")
-                    fits = (n - less > k) & (at >= 1) & (at + size - 1 <= n)
-                    found.append(F.when(fits, _parts(v, n - less, i, at, size)))
-    return values.filter(n > k).select("value", F.inline(F.filter(F.array(*found), lambda x: x.isNotNull())))
+    places = [F.struct(F.lit(less).alias("less"), F.lit(i).alias("i"), F.lit(shift).alias("shift"))
+              for less in range(k + 1) for i in range(1, k + 2) for shift in range(-(i - 1), i) if abs(less - shift) <= k + 1 - i]
+    rows = values.filter(F.length("value") > k).select("value", F.length("value").alias("own"), F.explode(F.array(*places)).alias("p"))
+    rows = rows.select("value", "own", (F.col("own") - F.col("p.less")).alias("length"), F.col("p.i").alias("i"), F.col("p.shift").alias("shift"))
+    start, size = _segment(F.col("length"), F.col("i"), k)
+    rows = rows.select("value", "own", "length", "i", (start + F.col("shift")).alias("at"), size.alias("size"))
+    return _parts(rows.filter((F.col("length") > k) & (F.col("at") >= 1) & (F.col("at") + F.col("size") - 1 <= F.col("own"))))
 
 
 def _told_apart(rows: DataFrame, k: int) -> DataFrame:
@@ -100,12 +99,16 @@ def edges_within(values: DataFrame, k: int, crowded: int = CROWDED) -> DataFrame
         return left.select(F.col("value").alias("a"), *on).join(right.select(F.col("value").alias("b"), *on), on).select("a", "b")
 
     plain = met(index.join(full, key, "left_anti"), probes.join(full, key, "left_anti"), key)
-    split = met(*(_told_apart(side.join(full, key, "left_semi"), k) for side in (index, probes)), [*key, "before", "after"])
+    # Written first: Spark pushes the filter of an explode (forms not empty) below
+    # the semi join, where the forms of all rows would be made, not of these.
+    crowd = (materialize(side.join(full, key, "left_semi"), "editjoin") for side in (index, probes))
+    split = met(*(_told_apart(side, k) for side in crowd), [*key, "before", "after"])
     short = values.filter(F.length("value") <= 2 * k).select("value", F.explode(deletions(F.col("value"), k)).alias("form"))
     little = met(short.filter(F.length("value") <= k), short.filter(F.length("value") > k), ["form"])
+    # Verified where they meet, so that only links are shuffled for the distinct.
     both = plain.unionByName(split).unionByName(little).filter(F.col("a") != F.col("b"))
-    pairs = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return pairs.withColumn("distance", F.levenshtein("a", "b", k)).filter(F.col("distance") >= 0)
+    linked = both.select("a", "b", F.levenshtein("a", "b", k).alias("distance")).filter(F.col("distance") >= 0)
+    return linked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance").distinct()
 
 
 def clusters_within(df: DataFrame, col: str, k: int, crowded: int = CROWDED) -> DataFrame:
