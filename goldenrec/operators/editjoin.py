@@ -1,11 +1,18 @@
 """Near-equal strings within an edit distance k (G9), exactly.
 
-If two strings are within k edits and the shorter is cut into k + 1 segments,
-some segment stands in the longer one unchanged. More than that: some segment i
-(from 1) stands there with at most i - 1 edits before it and k + 1 - i after it.
-So the segments of every string are an index on (length, i, segment), and a
-string looks up, for each length from its own down to k less, only the few
-substrings whose place fits those bounds. Candidates are verified.
+If two strings are within k edits and the longer has m signs, they have a common
+form of m - k signs: the longer loses k signs, the shorter the rest. So strings
+are joined on the hashes of such forms, only for lengths that the table holds,
+and candidates are verified. A string makes a number of rows that depends on its
+length alone, so the join grows with the table, whatever its strings share.
+
+Long strings have too many forms. If two strings are within k edits and the
+shorter is cut into k + 1 segments, some segment stands in the longer one
+unchanged. More than that: some segment i (from 1) stands there with at most
+i - 1 edits before it and k + 1 - i after it. So the segments of every long
+string are an index on (length, i, segment), and a string looks up, for each
+length from its own down to k less, only the few substrings whose place fits
+those bounds. Candidates are verified.
 
 A segment that very many strings share ("customer#") would bring them all
 together. Its strings are told apart by the rest: within i - 1 edits, what
@@ -14,11 +21,13 @@ and the same holds after it, so crowded segments are joined on such deletion
 forms as well. Nothing is capped and no link is lost.
 
 Strings of at most k signs are all within k of each other; they are linked to
-the least of them. With longer ones they are joined on deletion forms.
+the least of them.
 """
 
 from __future__ import annotations
 
+from math import comb
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,17 +37,50 @@ from goldenrec.session import materialize
 #: Strings that a segment may bring together before it counts as crowded.
 CROWDED = 64
 
+#: Deletion forms of a string up to which it is joined on them.
+FORMS = 400
+
+#: Rows that one task makes, sorts and joins.
+TASK_ROWS = 1_500_000
+
+
+def _less(v: Column, e: int) -> Column:
+    """The forms of a string after exactly ``e`` deletions, repeats included."""
+    def rest(done: Column, at: Column, left: int) -> Column:
+        places = F.when(at + (left - 1) <= F.length(v), F.sequence(at, F.length(v) - (left - 1))).otherwise(F.array().cast("array<int>"))
+        if left == 1:
+            return F.transform(places, lambda p: F.concat(done, F.substring(v, at, p - at), F.substr(v, p + 1)))
+        return F.flatten(F.transform(places, lambda p: rest(F.concat(done, F.substring(v, at, p - at)), p + 1, left - 1)))
+
+    return rest(F.lit(""), F.lit(1), e) if e else F.array(v)
+
 
 def deletions(c: Column, most: int) -> Column:
     """All distinct forms of a string after up to ``most`` deletions of a sign."""
-    def shorter(v: Column) -> Column:
-        one_less = F.transform(F.sequence(F.lit(1), F.length(v)), lambda p: F.concat(F.substring(v, F.lit(1), p - 1), F.substr(v, p + 1)))
-        return F.when(F.length(v) > 0, one_less).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(*(_less(c, e) for e in range(most + 1))))
+
 
-    forms = F.array(c)
-    for _ in range(most):
-        forms = F.array_distinct(F.concat(forms, F.flatten(F.transform(forms, shorter))))
-    return forms
+def _lost(length: int, lengths: set[int], k: int) -> list[int]:
+    """Numbers of signs that strings of ``length`` lose to meet those of
+    ``lengths``; an empty form is none."""
+    return sorted({min(k, k - other + length) for other in lengths if abs(other - length) <= k and max(other, length) > k})
+
+
+def meet_on_forms(values: DataFrame, k: int, counts: dict[int, int]) -> DataFrame:
+    """(a, b), distinct, of the ids of ``values`` (id, value) that have a common
+    form; ``counts``: their rows by length. Forms are hashed to 48 bits."""
+    lost = {length: _lost(length, set(counts), k) for length in counts}
+    made = sum(n * sum(comb(length, e) for e in lost[length]) for length, n in counts.items())
+    # Both sides are one exchange. The merge join is asked for since Spark takes
+    # the forms of a small table to be as small, and would broadcast them.
+    tasks = max(int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-made // TASK_ROWS))
+    of = [[length for length in counts if e in lost[length]] for e in range(k + 1)]
+    found = F.concat(*(F.when(F.length("value").isin(of[e]), _less(F.col("value"), e)).otherwise(F.array().cast("array<string>"))
+                       for e in range(k + 1) if of[e])) if any(of) else F.array().cast("array<string>")
+    hashes = F.array_distinct(F.transform(found, lambda form: F.xxhash64(form).bitwiseAND(F.lit((1 << 48) - 1))))
+    rows = values.repartition(tasks, "id").select("id", F.explode(hashes).alias("form")).repartition(tasks, "form")
+    left, right = rows.withColumnRenamed("id", "a"), rows.withColumnRenamed("id", "b")
+    return left.hint("merge").join(right, "form").filter("a < b").select("a", "b").distinct()
 
 
 def _segment(length: Column, i: Column, k: int) -> tuple[Column, Column]:
@@ -87,28 +129,44 @@ def _told_apart(rows: DataFrame, k: int) -> DataFrame:
         .select("value", "length", "i", "segment", "before", F.explode("_after").alias("after"))
 
 
-def edges_within(values: DataFrame, k: int, crowded: int = CROWDED) -> DataFrame:
-    """(a, b, distance), a < b, of distinct ``values`` (value) at most k edits
-    apart, but for pairs in which both have at most k signs."""
+def _among_long(values: DataFrame, k: int, crowded: int) -> DataFrame:
+    """(a, b) of ``values`` (value) longer than k, any order, that a segment
+    brings together; with repeats."""
     key = ["length", "i", "segment"]
     index = materialize(segments(values, k), "editjoin")
     probes = materialize(look_ups(values, k), "editjoin")
     full = materialize(index.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowded).select(*key), "editjoin")
 
     def met(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-        return left.select(F.col("value").alias("a"), *on).join(right.select(F.col("value").alias("b"), *on), on).select("a", "b")
+        # A merge join: a small file of rows may be many rows once forms are made.
+        return left.select(F.col("value").alias("a"), *on).hint("merge").join(right.select(F.col("value").alias("b"), *on), on).select("a", "b")
 
     plain = met(index.join(full, key, "left_anti"), probes.join(full, key, "left_anti"), key)
     # Written first: Spark pushes the filter of an explode (forms not empty) below
     # the semi join, where the forms of all rows would be made, not of these.
     crowd = (materialize(side.join(full, key, "left_semi"), "editjoin") for side in (index, probes))
-    split = met(*(_told_apart(side, k) for side in crowd), [*key, "before", "after"])
-    short = values.filter(F.length("value") <= 2 * k).select("value", F.explode(deletions(F.col("value"), k)).alias("form"))
-    little = met(short.filter(F.length("value") <= k), short.filter(F.length("value") > k), ["form"])
-    # Verified where they meet, so that only links are shuffled for the distinct.
-    both = plain.unionByName(split).unionByName(little).filter(F.col("a") != F.col("b"))
-    linked = both.select("a", "b", F.levenshtein("a", "b", k).alias("distance")).filter(F.col("distance") >= 0)
-    return linked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance").distinct()
+    return plain.unionByName(met(*(_told_apart(side, k) for side in crowd), [*key, "before", "after"]))
+
+
+def edges_within(values: DataFrame, k: int, crowded: int = CROWDED, forms: int = FORMS) -> DataFrame:
+    """(a, b, distance), a < b, of distinct ``values`` (value) at most k edits
+    apart, but for pairs in which both have at most k signs. Strings of at most
+    ``forms`` forms, and all of at most 2 k signs, meet on forms."""
+    numbered = materialize(values.select("value", F.monotonically_increasing_id().alias("id")), "editjoin")
+    counts = dict(numbered.groupBy(F.length("value")).count().collect())  # a row for each length
+    short = max([2 * k, *(n for n in counts if sum(comb(n, e) for e in range(k + 1)) <= forms)])
+    near = {n: rows for n, rows in counts.items() if n <= short + k}  # the shortest of the long ones may be near short ones
+    pairs = materialize(meet_on_forms(numbered.filter(F.length("value") <= short + k), k, near), "editjoin")
+    linked = pairs.join(numbered.select(F.col("id").alias("a"), F.col("value").alias("va")), "a").join(
+        numbered.select(F.col("id").alias("b"), F.col("value").alias("vb")), "b").select(F.col("va").alias("a"), F.col("vb").alias("b")) \
+        .filter(F.greatest(F.length("a"), F.length("b")) > k)
+    some_long = any(n > short for n in counts)
+    if some_long:
+        linked = linked.unionByName(_among_long(numbered.filter(F.length("value") > short).select("value"), k, crowded))
+    # Verified before the distinct, so that only links are shuffled for it.
+    linked = linked.filter(F.col("a") != F.col("b")).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.levenshtein("a", "b", k).alias("distance")).filter(F.col("distance") >= 0)
+    return linked.distinct() if some_long else linked
 
 
 def clusters_within(df: DataFrame, col: str, k: int, crowded: int = CROWDED) -> DataFrame:

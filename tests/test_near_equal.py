@@ -75,6 +75,49 @@ def test_crowded_segments_meet_in_small_groups(spark):
     assert probes.count() < 30 * 3000
 
 
+@pytest.mark.parametrize("k, forms", [(1, 8), (2, 0), (2, 60), (3, 100)])
+def test_short_and_long_strings_meet(spark, k, forms):
+    """Strings on both sides of the length up to which forms are made, and the
+    segments alone, against all pairs."""
+    rng = random.Random(k + forms)
+    values = sorted(set(feed(rng, "ab0", 50, 14) + feed(rng, "01", 40, 5, "customer#")))
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    got = sorted(tuple(r) for r in E.edges_within(df, k, crowded=5, forms=forms).collect())
+    assert got == sorted((a, b, distance(a, b)) for a in values for b in values
+                         if a < b and abs(len(a) - len(b)) <= k < max(len(a), len(b)) and distance(a, b) <= k)
+
+
+@pytest.mark.parametrize("forms", [0, 400])
+def test_forms_are_never_broadcast(spark, monkeypatch, forms):
+    """A small file of strings is many rows of forms, which a broadcast would
+    bring to the driver."""
+    plans = []
+
+    def kept(df, *parts):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialize(df, *parts)
+
+    materialize = E.materialize
+    monkeypatch.setattr(E, "materialize", kept)
+    values = spark.createDataFrame([(f"customer#{k * 37 % 10000:04d}",) for k in range(300)], "value string")
+    plans.append(E.edges_within(values, 2, forms=forms)._jdf.queryExecution().executedPlan().toString())
+    broadcast = [part for plan in plans for part in plan.split("BroadcastExchange")[1:]]
+    assert any("Generate explode" in plan for plan in plans) and not any("Generate explode" in part.split("Join")[0] for part in broadcast)
+
+
+def test_forms_are_made_once_and_few(spark):
+    """Forms are one exchange for both sides, cut by the rows that are made, and
+    the rows grow with the strings, not with what they share."""
+    rows = spark.createDataFrame([(k, f"{k * 7919 % 100000:05d}" + "a" * (k % 2)) for k in range(400)], "id long, value string")
+    counts = dict(rows.groupBy(F.length("value")).count().collect())
+    found = E.meet_on_forms(rows, 2, counts)
+    assert found.filter("a >= b").count() == 0 and found.groupBy("a", "b").count().filter("count > 1").count() == 0
+    plan = found._jdf.queryExecution()
+    found.collect()
+    assert "ReusedExchange" in plan.executedPlan().toString() and "BroadcastHashJoin" not in plan.executedPlan().toString()
+    assert E._lost(12, {11, 12}, 3) == [3] and E._lost(11, {11, 12}, 3) == [2, 3] and E._lost(1, {1, 2}, 3) == []
+
+
 def jaccard(a, b):
     return len(a & b) / len(a | b)
 
