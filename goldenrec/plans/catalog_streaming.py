@@ -56,9 +56,12 @@ def q_stream_duplicate_count(spark, sf_dir):
 def q_stream_confidence_scored(spark, sf_dir):
     """ST4: streaming counts joined with a static snapshot of the records."""
     silver = _silver_table(spark, sf_dir)
-    schema = spark.read.parquet(silver).schema
-    counts = jobs.count_stream(spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(silver))
-    scored = jobs.scored_stream(counts, spark.read.parquet(silver))
+    users = spark.read.parquet(silver)
+    # Every micro-batch rewrites the whole joined table, so their number must not
+    # follow that of the files, which grows with the feed.
+    files = -(-len(users.inputFiles()) // BATCHES)
+    counts = jobs.count_stream(jobs.bronze_stream(spark, silver, users.schema, max_files_per_trigger=max(1, files)))
+    scored = jobs.scored_stream(counts, users)
     out = shared_dir(spark, "stream", "scored")
     jobs.run_complete(scored, out, shared_dir(spark, "stream", "ckpt"))
     return spark.read.parquet(out)

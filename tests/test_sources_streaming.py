@@ -197,6 +197,29 @@ def test_stream_counts_and_quality_listener(spark, tmp_dir):
     assert totals.get("failed_valid_age") == 91 + persons(spark, SF0001).filter("age = '0'").count()
 
 
+def test_whole_table_rewrites_do_not_follow_the_files(spark, monkeypatch):
+    """The joined table is rewritten by every micro-batch: a few, however many
+    files the feed has."""
+    from goldenrec.plans import catalog_streaming as cs
+
+    written, overwrite = [], jobs._overwrite
+
+    def counted(out):
+        write = overwrite(out)
+        return lambda batch, batch_id: (written.append(batch_id), write(batch, batch_id))[1]
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(jobs, "_overwrite", counted)
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        found = cs.q_stream_confidence_scored(spark, SF0001)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert 1 < len(written) <= cs.BATCHES
+    want = golden.score(ip.silver_identified(persons(spark, SF0001)))
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.select(found.columns).collect()))
+
+
 def test_run_identity_job_writes_tables(spark, tmp_dir):
     paths = ip.run_identity_job(spark, persons(spark, SF0001), f"{tmp_dir}/job")
     for p in paths.values():
