@@ -14,7 +14,9 @@ BASE_CONF: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Of compressed rows. A task that joins and sorts narrow rows into wide ones
+    # (golden_by_key) holds some 20 times as much.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -164,3 +164,18 @@ def test_hot_key_split_join_is_exact(spark):
         assert sorted(repr(tuple(r)) for r in base.collect()) == sorted(repr(tuple(r)) for r in split.collect())
         plan = split._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
+def test_a_task_after_a_shuffle_gets_few_rows(spark):
+    """Joined rows that are sorted for golden_by_key take some 20 times their
+    shuffled size: the size to which partitions are put together bounds a task."""
+    from goldenrec.session import apply_base_conf
+
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    try:
+        apply_base_conf(spark)
+        size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsMb(spark.conf.get(name))
+        assert 20 * size < 1000
+    finally:
+        spark.conf.set(name, before)
