@@ -118,6 +118,20 @@ def test_forms_are_made_once_and_few(spark):
     assert E._lost(12, {11, 12}, 3) == [3] and E._lost(11, {11, 12}, 3) == [2, 3] and E._lost(1, {1, 2}, 3) == []
 
 
+def test_few_rows_a_string(spark, monkeypatch):
+    """A reference of 12 signs makes 66 forms within two edits where a shared
+    segment made 471 rows; no segment is indexed."""
+    monkeypatch.setattr(E, "segments", None)
+    monkeypatch.setattr(E, "look_ups", None)
+    rng, made, meet = random.Random(3), [], E.meet_on_forms
+    monkeypatch.setattr(E, "meet_on_forms", lambda values, k, counts: made.append((k, counts)) or meet(values, k, counts))
+    base = ["".join(rng.choice("0123456789abcdef") for _ in range(12)) for _ in range(100)]
+    values = spark.createDataFrame([(v,) for v in base + [v[:5] + v[6:] for v in base[::2]]], "value string")
+    assert E.clusters_within(values, "value", 2, crowded=1).filter("n_links > 0").count() == 100
+    (k, counts), = made
+    assert counts == {12: 100, 11: 50} and E._lost(12, set(counts), k) == [2] and E._lost(11, set(counts), k) == [1, 2]
+
+
 def jaccard(a, b):
     return len(a & b) / len(a | b)
 
