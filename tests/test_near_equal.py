@@ -132,6 +132,20 @@ def test_few_rows_a_string(spark, monkeypatch):
     assert counts == {12: 100, 11: 50} and E._lost(12, set(counts), k) == [2] and E._lost(11, set(counts), k) == [1, 2]
 
 
+def test_golden_reference_of_near_values(spark, monkeypatch):
+    """One golden reference a cluster, over forms alone, as over all pairs."""
+    from goldenrec.plans import catalog_linkage as c
+    from shared_fixtures import SF0001
+
+    monkeypatch.setattr(E, "segments", None)
+    values = [r.value for r in c.references(spark, SF0001).collect()]
+    distinct = sorted(set(values))
+    found = clusters(distinct, [(a, b) for a in distinct for b in distinct if a < b and abs(len(a) - len(b)) <= 2 and distance(a, b) <= 2])
+    got = {r.unique_identifier: (r.repetition, r.value) for r in c.q_golden_near_references(spark, SF0001).collect()}
+    want = {root: [v for v in distinct if found[v] == root] for root in found.values()}
+    assert got == {root: (sum(values.count(v) for v in vs), min(vs, key=lambda v: (-values.count(v), v))) for root, vs in want.items()}
+
+
 def jaccard(a, b):
     return len(a & b) / len(a | b)
 
