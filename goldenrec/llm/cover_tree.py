@@ -4,20 +4,23 @@ Vectors are normalised in double precision; cosine >= c means a distance of at
 most tau = sqrt(2 - 2c) on the unit sphere, where the triangle inequality
 holds. Equal vectors are one node with a weight.
 
-*Upper levels.* All vectors of a dimension are one cell. A cell of more than
-``leaf`` members is parted: a few of its members (at most about ``FAN``) become
-pivots, a member goes to its nearest pivot's child cell. A pair of a member of
-child a and a node v of a later child (or a visitor of the cell) can only be
-near if v lies within the child's covering radius plus tau of its pivot: only
-then is v a visitor of child a. If v is within tau minus the radius, it links
-with the whole child, and a cell whose radius is at most half of tau links with
+*Upper levels.* All vectors of a dimension are one cell. A cell that is not
+small is parted: a few of its members (at most about ``FAN``) become pivots, a
+member goes to its nearest pivot's child cell, whose covering radius is that of
+its farthest member. A cell whose radius is at most half of tau links with
 itself, without a look at its pairs. Cells are parted level by level until all
 are small. Pivots, radii and counts are tables; rows of a cell meet its pivots
 in shares of about ``leaf`` rows, so nothing here is collected or broadcast.
 
-*Below.* The members of a small cell get nested levels of centres with halving
-radii, once. A group meets members with a share of the cell's visitors (or with
-themselves) level by level: a pair of tree nodes goes on if their centres are
+*Below.* The members of a small cell (or of a part of a large one that is a point or
+links with itself) get nested levels of centres with halving radii, once, and
+are written as one row, a block. Blocks meet in pairs, those of two cells only if
+the cells' centres are within both covering radii plus tau (and not at all if they
+are within tau minus both radii, as the cells link as a whole). That is a cross
+product of the written blocks, which reads them again and sends nothing through
+an exchange: what is written and shuffled grows with the vectors, not with the
+pairs of cells. Two blocks meet level by level, beginning with the tree nodes in
+reach of the other's cell: a pair of tree nodes goes on if their centres are
 within both covering radii plus tau, is taken as a whole if they are within tau
 minus both radii, and is otherwise split into its children; single vectors are
 compared exactly. Bounds have a margin for rounding, so every pair at the
@@ -47,6 +50,14 @@ PAIRS = 1 << 18
 FAN = 64
 #: A cell of a lesser radius is not parted again, whatever its size.
 FLOOR = 1e-3
+#: A cell of more than ``leaf`` members is still small if it has at most one of so
+#: many shares of its dimension's vectors and its vectors are at most so many bytes
+#: in double precision, as a task holds two blocks.
+SHARES = 16
+HELD = 1 << 24
+BLOCK_DDL = "cell long, part long, inner boolean, radius double, dim long, weight long, centre array<double>, path binary, vecs binary, nodes binary, copies binary"
+BLOCK_SCHEMA = pa.schema([("cell", pa.int64()), ("part", pa.int64()), ("inner", pa.bool_()), ("radius", pa.float64()), ("dim", pa.int64()), ("weight", pa.int64()),
+                          ("centre", pa.list_(pa.float64())), *((c, pa.binary()) for c in ("path", "vecs", "nodes", "copies"))])
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -147,21 +158,31 @@ class Dual:
         self.step_a, self.step_b = np.zeros(len(a.x) + 1, np.int64), np.zeros(len(b.x) + 1, np.int64)
         self.edges: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def run(self) -> "Dual":
+    def run(self, of_a: np.ndarray | None = None, of_b: np.ndarray | None = None) -> "Dual":
+        """``of_a``, ``of_b``: the top nodes that can have a link, all if None.
+        They meet in single precision, with room for its rounding; what is found
+        is decided in ``_level``."""
         a, b = self.a, self.b
-        for k in range(0, len(a.begins[0]), BLOCK):
-            i = np.arange(k, min(k + BLOCK, len(a.begins[0])))
-            for m in range(0, len(b.begins[0]), 8 * BLOCK):
-                j = np.arange(m, min(m + 8 * BLOCK, len(b.begins[0])))
-                if self.same and j[-1] < i[0]:
+        of_a, of_b = (np.arange(len(t.begins[0])) if of is None else of for t, of in ((a, of_a), (b, of_b)))
+        # By radius, so that most blocks have one bound for all of their pairs.
+        of_a, of_b = (of[np.argsort(t.radius[0][of], kind="stable")] for t, of in ((a, of_a), (b, of_b)))
+        (top_a, radius_a), (top_b, radius_b) = ((t.x[t.begins[0][of]].astype(np.float32), t.radius[0][of]) for t, of in ((a, of_a), (b, of_b)))
+        room = self.tau + MARGIN
+        slack = (a.x.shape[1] + 4) * 2.0 ** -23
+        for k in range(0, len(of_a), BLOCK):
+            for m in range(k // (2 * BLOCK) * 2 * BLOCK if self.same else 0, len(of_b), 2 * BLOCK):
+                dots = top_a[k:k + BLOCK] @ top_b[m:m + 2 * BLOCK].T
+                reach = radius_a[k:k + BLOCK][-1] + radius_b[m:m + 2 * BLOCK][-1] + room
+                p, q = np.nonzero(dots >= 1 - reach * reach / 2 - slack)
+                if not len(p):
                     continue
-                dots = a.x[a.begins[0][i]] @ b.x[b.begins[0][j]].T
-                reach = a.radius[0][i][:, None] + b.radius[0][j] + (self.tau + MARGIN)
-                p, q = np.nonzero(dots >= 1 - reach * reach / 2)
+                reach = radius_a[k + p] + radius_b[m + q] + room
+                fine = dots[p, q] >= 1 - reach * reach / 2 - slack
                 if self.same:
-                    p, q = p[i[p] <= j[q]], q[i[p] <= j[q]]
-                if len(p):
-                    self._level(0, i[p], j[q])
+                    fine &= k + p <= m + q
+                i, j = of_a[k + p[fine]], of_b[m + q[fine]]
+                if len(i):
+                    self._level(0, *((np.minimum(i, j), np.maximum(i, j)) if self.same else (i, j)))
         return self
 
     def _level(self, level: int, i: np.ndarray, j: np.ndarray) -> None:
@@ -254,6 +275,11 @@ def _usable(v) -> "F.Column":
     return F.coalesce(v.isNotNull() & (F.size(v) > 0) & fine & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
+def _key(v) -> "F.Column":
+    """A hash that equal vectors share."""
+    return F.xxhash64(v)
+
+
 def _by_dim(batch: pa.RecordBatch | pa.Table):
     """(dimension, row indices, unit vectors) of a batch with a column vec."""
     column = batch.column(batch.schema.get_field_index("vec"))
@@ -284,116 +310,147 @@ def _nearest(table: pa.Table) -> pa.Table:
     return taken.append_column("sub", pa.array(sub)).append_column("gap", pa.array(gap))
 
 
-def _visits(tau: float):
-    """Which children a share of a cell's rows has to visit: members the earlier
-    ones within reach (none if all pairs of the cell link), visitors all."""
-    def visits(table: pa.Table) -> pa.Table:
-        (_, _, x), = _by_dim(table)
-        pivot, node, copies, sub, radius, weight, inner = _longs(table, "pivot", "node", "copies", "sub", "radius", "weight", "inner")
-        centre = np.flatnonzero(pivot)
-        own = np.flatnonzero(~pivot & ~(inner[centre].any() & (sub >= 0)))
-        found = []
-        for k in range(0, len(own), BLOCK):
-            some = own[k:k + BLOCK]
-            far = np.sqrt(np.maximum(2 - 2 * (x[some] @ x[centre].T), 0))
-            i, c = np.nonzero(far <= radius[centre] + (tau + MARGIN))
-            whole = far[i, c] + radius[centre[c]] <= tau - MARGIN
-            due = (sub[some[i]] < 0) | (node[centre[c]] < sub[some[i]])
-            found.append((some[i[due]], centre[c[due]], whole[due]))
-        i, c = (np.concatenate([f[k] for f in found] or [np.zeros(0, np.int64)]) for k in (0, 1))
-        whole = np.concatenate([f[2] for f in found] or [np.zeros(0, bool)])
-        return pa.table({"cell": node[c], "node": node[i], "copies": copies[i], "weight": weight[c], "whole": whole})
-
-    return visits
-
-
-def _levels(table: pa.Table) -> pa.Table:
-    """The members of a part with their path of centres."""
-    node = table.column("node").to_numpy()
-    path = np.zeros((len(node), len(RADII)), np.int64)
-    for _, at, x in _by_dim(table):
-        path[at] = node[at[nested_levels(x)]]
-    lists = pa.FixedSizeListArray.from_arrays(pa.array(path.reshape(-1)), len(RADII)).cast(pa.list_(pa.int64()))
-    return table.append_column("path", lists)
-
-
-def _meet(cosine: float):
-    """Links between the members of a part and those it meets."""
-    def meet(table: pa.Table) -> pa.Table:
-        member, node, copies = _longs(table, "member", "node", "copies")
-        path = table.column("path").combine_chunks().flatten().to_numpy().reshape(-1, len(RADII))
-        (_, _, x), = _by_dim(table)
-        own, other = np.flatnonzero(member), np.flatnonzero(~member)
-        itself = table.column("part")[0].as_py() == table.column("guest")[0].as_py()
-        if not len(own) or not (itself or len(other)):
-            return pa.table({k: pa.array([], pa.int64()) for k in ("node", "links", "root")})
-        a = Tree(x[own], path[own])
-        b = a if itself else Tree(x[other], path[other])
-        found = Dual(a, b, copies[own], copies[own] if itself else copies[other], cosine).run()
-        links, label = found.result()
-        ids = node[own[a.order]] if itself else np.concatenate((node[own[a.order]], node[other[b.order]]))
-        hit = np.flatnonzero(links > 0)
-        return pa.table({"node": ids[hit], "links": links[hit], "root": ids[label[hit]]})
+def _levels(kind: str):
+    """The members of a part, sorted by their path of centres, as one row."""
+    def levels(table: pa.Table) -> pa.Table:
+        (dim, _, x), = _by_dim(table)
+        pivot, node, copies = _longs(table, "pivot", "node", "copies")
+        own = np.flatnonzero(~pivot)
+        if not len(own):
+            return BLOCK_SCHEMA.empty_table()
+        path = nested_levels(x[own]).astype(np.int32)
+        order = np.lexsort(path.T[::-1])
+        own, path = own[order], path[order]
+        row = table.select(["cell", "part", "inner", "radius"]).slice(0, 1).to_pylist()[0]
+        vecs = matrix(table.column("vec").combine_chunks(), dim)[own].astype(kind)
+        row |= {"dim": dim, "weight": int(copies[own].sum()), "centre": x[pivot].reshape(-1), "path": path.tobytes(), "vecs": vecs.tobytes()}
+        row |= {"nodes": node[own].tobytes(), "copies": copies[own].tobytes()}
+        return pa.Table.from_pylist([row], schema=BLOCK_SCHEMA)
+
+    return levels
+
+
+class _Block:
+    """One side of row ``k`` of a batch of pairs of blocks."""
+
+    def __init__(self, batch: pa.RecordBatch, side: str, k: int, kind: str):
+        def at(name):
+            return batch.column(batch.schema.get_field_index(f"{side}_{name}"))[k]
+
+        def of(name, dtype):
+            return np.frombuffer(at(name).as_buffer(), dtype)
+
+        self.cell, self.part, self.radius = (at(c).as_py() for c in ("cell", "part", "radius"))
+        self.centre, self.copies = np.array(at("centre").as_py()), of("copies", np.int64)
+        x = unit(of("vecs", kind).astype(np.float64).reshape(len(self.copies), -1))
+        self.tree = Tree(x, of("path", np.int32).reshape(-1, len(RADII)))
+        self.node = of("nodes", np.int64)[self.tree.order]
+
+    def reached(self, other: "_Block", tau: float) -> np.ndarray:
+        """The tree's top nodes that can hold a member near one of ``other``'s cell."""
+        reach = self.tree.radius[0] + (other.radius + tau + MARGIN)
+        return np.flatnonzero(self.tree.x[self.tree.begins[0]] @ other.centre >= 1 - reach * reach / 2)
+
+
+def _meet(cosine: float, kind: str):
+    """Links of pairs of blocks."""
+    tau = float(np.sqrt(2 - 2 * cosine))
+
+    def meet(batches):
+        a = None
+        for batch in batches:
+            cells, parts = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("a_cell", "a_part"))
+            for k in range(batch.num_rows):
+                if a is None or (a.cell, a.part) != (cells[k], parts[k]):
+                    a = _Block(batch, "a", k, kind)
+                b = _Block(batch, "b", k, kind)
+                if a.cell != b.cell:
+                    found = Dual(a.tree, b.tree, a.copies, b.copies, cosine).run(a.reached(b, tau), b.reached(a, tau))
+                else:
+                    found = Dual(a.tree, a.tree if a.part == b.part else b.tree, a.copies, b.copies, cosine).run()
+                links, label = found.result()
+                ids = a.node if found.same else np.concatenate((a.node, b.node))
+                hit = np.flatnonzero(links > 0)
+                yield pa.RecordBatch.from_pydict({"node": ids[hit], "links": links[hit], "root": ids[label[hit]]})
 
     return meet
 
 
-def _in_shares(rows: DataFrame, keys: tuple[str, ...], run, schema: str) -> DataFrame:
+def _in_shares(rows: DataFrame, keys: tuple[str, ...], run, schema: str, *parts: int) -> DataFrame:
     # Dealt out by all keys: a join by cell before would else leave a cell's
     # shares in one task.
-    return rows.repartition(*keys).groupBy(*keys).applyInArrow(run, schema)
+    return rows.repartition(*parts, *keys).groupBy(*keys).applyInArrow(run, schema)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _part(members: DataFrame, visitors: DataFrame, nodes: DataFrame, opened: DataFrame, tau: float, leaf: int, level: int, vec_type: str):
-    """One level: the opened cells parted. Gives (members, visitors, cells) of
-    the children and the links (node, links, root) found between whole cells."""
+def _part(members: DataFrame, opened: DataFrame, tau: float, leaf: int, fan: int, vec_type: str, level: int):
+    """One level: the opened cells parted. Gives (members, cells, centres) of the
+    children and the links (node, links, root) within those that link with
+    themselves."""
     def kept(frame: DataFrame) -> DataFrame:
         return materialize(frame, "cover_tree")
 
     salt = F.pmod(F.xxhash64("node"), F.col("salts")).alias("salt")
-    fan = F.least(F.lit(FAN), F.greatest(F.lit(2), F.ceil(F.col("n") * 2 / leaf)))
-    shared = opened.withColumn("salts", F.ceil((F.col("n") + F.col("v")) / leaf)).withColumn("every", F.greatest(F.lit(1), F.floor(F.col("n") / fan)))
+    most = F.least(F.lit(fan), F.greatest(F.lit(2), F.ceil(F.col("n") * 2 / F.col("small"))))
+    shared = opened.withColumn("salts", F.ceil(F.col("n") / leaf)).withColumn("every", F.greatest(F.lit(1), F.floor(F.col("n") / most)))
     own = members.join(shared, "cell")
     # The old pivot and the member farthest from it are pivots too, so a level
     # always parts its cells.
     chosen = (F.pmod(F.xxhash64("node", F.lit(level)), F.col("every")) == 0) | (F.col("node") == F.col("cell")) | (F.col("node") == F.col("far"))
-    pivots = kept(own.filter(chosen).select("cell", "node", "vec", "salts", "inner"))
+    pivots = kept(own.filter(chosen).select("cell", "node", "vec", "salts"))
     each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")
     dealt = own.select("cell", salt, F.lit(False).alias("pivot"), "node", "vec", "copies").unionByName(
         pivots.select("cell", each, F.lit(True).alias("pivot"), "node", "vec", F.lit(0).cast("long").alias("copies")))
     placed = kept(_in_shares(dealt, ("cell", "salt"), _nearest, f"cell long, salt long, node long, vec {vec_type}, copies long, sub long, gap double"))
 
-    half = F.max("gap") <= (tau - MARGIN) / 2
     children = placed.groupBy(F.col("sub").alias("child")).agg(
         F.min("cell").alias("cell"), F.count(F.lit(1)).alias("n"), F.sum("copies").alias("weight"), F.max("gap").alias("radius"),
-        F.max_by("node", "gap").alias("far"), half.alias("tight"))
-    children = kept(children.join(opened.select("cell", F.col("inner").alias("counted")), "cell").select(
-        F.col("child").alias("cell"), "n", "weight", "radius", "far", (F.col("tight") | F.col("counted")).alias("inner"), (F.col("tight") & ~F.col("counted")).alias("now")))
-
-    outside = F.lit(-1).cast("long").alias("sub")
-    guests = visitors.join(shared, "cell").select("cell", salt, "node").join(nodes.select("node", "vec", "copies"), "node")
-    centres = pivots.join(children.select(F.col("cell").alias("node"), "radius", "weight"), "node")
-    fill = [F.lit(0.0).alias("radius"), F.lit(0).cast("long").alias("weight"), F.lit(False).alias("inner")]
-    dealt = placed.select("cell", "salt", F.lit(False).alias("pivot"), "node", "vec", "copies", "sub", *fill).unionByName(
-        guests.select("cell", "salt", F.lit(False).alias("pivot"), "node", "vec", "copies", outside, *fill)).unionByName(
-        centres.select("cell", each, F.lit(True).alias("pivot"), "node", "vec", F.lit(0).cast("long").alias("copies"), outside, "radius", "weight", "inner"))
-    visits = kept(_in_shares(dealt, ("cell", "salt"), _visits(tau), "cell long, node long, copies long, weight long, whole boolean"))
-
-    came = visits.filter(~F.col("whole")).groupBy("cell").agg(F.count(F.lit(1)).alias("v"))
-    cells = kept(children.drop("weight", "now").join(came, "cell", "left").fillna(0, ["v"]))
-    whole = visits.filter("whole")
-    # Written, so that both sides of the join are exchanges of their own and a
-    # large cell's partition can be split.
-    guested = kept(whole.groupBy("cell").agg(F.sum("copies").alias("links")))
-    inside = placed.select("node", "copies", F.col("sub").alias("cell"))
-    links = [whole.select("node", F.col("weight").alias("links"), F.col("cell").alias("root")),
-             inside.join(guested, "cell").select("node", "links", F.col("cell").alias("root")),
-             inside.join(children.filter("now"), "cell").select("node", (F.col("weight") - F.col("copies")).alias("links"), F.col("cell").alias("root"))]
-    return placed.select(F.col("sub").alias("cell"), "node", "vec", "copies"), visits.filter(~F.col("whole")).select("cell", "node"), cells, links
+        F.max_by("node", "gap").alias("far"), (F.max("gap") <= (tau - MARGIN) / 2).alias("inner"))
+    cells = kept(children.join(opened.select("cell", "small"), "cell").withColumn("cell", F.col("child")).drop("child"))
+    members = placed.select(F.col("sub").alias("cell"), "node", "vec", "copies")
+    links = members.join(cells.filter("inner").select("cell", "weight"), "cell").select(
+        "node", (F.col("weight") - F.col("copies")).alias("links"), F.col("cell").alias("root"))
+    return members, cells, pivots.select(F.col("node").alias("cell"), "node", "vec"), links
+
+
+def _side(rows: DataFrame, name: str) -> tuple[DataFrame, dict]:
+    return rows.select(*[F.col(c).alias(f"{name}_{c}") for c in rows.columns]), {c: F.col(f"{name}_{c}") for c in rows.columns}
+
+
+def _apart(a: dict, b: dict, tau: float):
+    """(whether two cells can have links, whether all of their pairs link)."""
+    dot = F.aggregate(F.zip_with(a["centre"], b["centre"], lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    reach = a["radius"] + b["radius"] + (tau + MARGIN)
+    room = F.lit(tau - MARGIN) - (a["radius"] + b["radius"])
+    two = (a["cell"] != b["cell"]) & (a["dim"] - b["dim"] == 0)
+    return two & (dot >= 1 - reach * reach / 2), two & (room >= 0) & (dot >= 1 - room * room / 2)
+
+
+def _pairs(blocks: DataFrame, tau: float) -> DataFrame:
+    """Pairs of blocks (columns a_*, b_*) whose members have to meet, each once.
+    No conjunct of the condition is an equation of the two sides, which would
+    make it a join that sends each block once for every pair."""
+    blocks = blocks.withColumn("bit", F.xxhash64("cell", "part").bitwiseAND(1))
+    (left, a), (right, b) = _side(blocks, "a"), _side(blocks, "b")
+    one = a["cell"] == b["cell"]
+    # Which of two blocks comes first is as good as drawn, so that every block
+    # is first in about as many pairs.
+    turn = ((a["cell"] < b["cell"]) | (one & (a["part"] < b["part"]))) == (a["bit"] == b["bit"])
+    near, whole = _apart(a, b, tau)
+    return left.join(right, (one & ~a["inner"] & ((a["part"] == b["part"]) | turn)) | (near & ~whole & turn)).drop("a_bit", "b_bit")
+
+
+def _whole_cells(blocks: DataFrame, members: DataFrame, tau: float) -> list[DataFrame]:
+    """Links (node, links, root) of cells all of whose pairs link."""
+    cells = materialize(blocks.groupBy("cell").agg(*(F.first(c).alias(c) for c in ("dim", "radius", "centre")), F.sum("weight").alias("weight")), "cover_tree")
+    (left, a), (right, b) = _side(cells, "a"), _side(cells, "b")
+    met = materialize(left.join(right, _apart(a, b, tau)[1]).select("a_cell", "b_cell", "b_weight"), "cover_tree")
+    sums = met.groupBy(F.col("a_cell").alias("cell")).agg(F.sum("b_weight").alias("links"))
+    return [met.select(F.col("a_cell").alias("node"), F.lit(0).cast("long").alias("links"), F.col("b_cell").alias("root")),
+            members.select("cell", "node").join(sums, "cell").select("node", "links", F.col("cell").alias("root"))]
 
 
 def near_duplicates(rows: DataFrame, cosine: float = 0.9, leaf: int = 4096, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -409,56 +466,51 @@ def near_duplicates(rows: DataFrame, cosine: float = 0.9, leaf: int = 4096, id_c
     not read, so names cannot clash. An empty table gives an empty result.
     """
     given = rows.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("vec"))
-    usable = given.filter(_usable(F.col("vec")))
+    usable = given.filter(_usable(F.col("vec"))).withColumn("key", _key(F.col("vec")))
     nodes = materialize(usable.groupBy("vec").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies")).select(
-        F.monotonically_increasing_id().alias("node"), "*"), "cover_tree")
+        F.monotonically_increasing_id().alias("node"), _key(F.col("vec")).alias("key"), "*"), "cover_tree")
     vec_type = nodes.schema["vec"].dataType.simpleString()
     tau = float(np.sqrt(2 - 2 * cosine))
     members = nodes.select((-F.size("vec")).cast("long").alias("cell"), "node", "vec", "copies")  # a cell for each dimension
-    visitors = members.select("cell", "node").limit(0)
-    cells = members.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("far")).select(
-        "*", F.lit(2.0).alias("radius"), F.lit(False).alias("inner"), F.lit(0).cast("long").alias("v"))
-    # A cell is parted unless it is small, a point, or links with itself and is not visited.
-    wide = (F.col("n") > leaf) & (F.col("radius") > FLOOR) & (~F.col("inner") | (F.col("v") > 0))
-    sizes = [F.ceil(F.col("n") / leaf).alias("parts"), F.ceil(F.col("v") / (2 * leaf)).alias("guests"), "inner"]
-    all_members, all_visitors, linked, level = [], [], [], 0
+    centres = members.limit(0).select("cell", "node", "vec")
+    held = F.least(F.floor(F.lit(HELD / 8) / -F.col("cell")), F.floor(F.col("n") / SHARES))
+    cells = materialize(members.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("far")).select(
+        "*", F.greatest(F.lit(leaf), held).alias("small"), F.lit(2.0).alias("radius"), F.lit(False).alias("inner")), "cover_tree")
+    # A cell is parted unless it is small, a point, or links with itself.
+    wide = (F.col("n") > F.col("small")) & (F.col("radius") > FLOOR) & ~F.col("inner")
+    all_members, all_centres, all_shut, linked, level = [], [], [], [], 0
     while True:
-        shut, opened = cells.filter(~wide).select("cell", *sizes), cells.filter(wide)
+        shut, opened = cells.filter(~wide).select("cell", F.ceil(F.col("n") / F.col("small")).alias("parts"), "inner", "radius"), cells.filter(wide)
         all_members.append(members.join(shut, "cell"))
-        all_visitors.append(visitors.join(shut.drop("inner"), "cell"))
+        all_centres.append(centres.join(shut, "cell"))
+        all_shut.append(shut.select("parts"))
         if opened.isEmpty():
             break
-        members, visitors, cells, links = _part(members, visitors, nodes, opened, tau, leaf, level, vec_type)
-        linked += links
+        members, cells, centres, links = _part(members, opened, tau, leaf, FAN, vec_type, level)
+        linked.append(links)
         level += 1
 
     part = F.pmod(F.xxhash64("node"), F.col("parts")).alias("part")
-    split = _union(all_members).select("cell", part, "parts", "guests", "inner", "node", "vec", "copies")
-    tree_schema = f"cell long, part long, parts long, guests long, inner boolean, node long, vec {vec_type}, copies long, path array<long>"
-    trees = materialize(_in_shares(split, ("cell", "part"), _levels, tree_schema), "cover_tree")
-
-    def runs(first, past):
-        """first to past - 1, a row for each."""
-        return F.explode(F.when(first < past, F.sequence(first, past - 1)))
-
-    # Groups (cell, part, guest): the part's members with themselves (guest =
-    # part), with a later part of the cell, or with a share of its visitors.
-    body, zero = ("node", "vec", "copies", "path"), F.lit(0).cast("long")
-    ends = F.col("parts") + F.col("guests")
-    dealt = _union([
-        trees.select("cell", "part", runs(F.when(F.col("inner"), F.col("parts")).otherwise(F.col("part")), ends).alias("guest"), F.lit(True).alias("member"), *body),
-        trees.filter(~F.col("inner")).select("cell", runs(zero, F.col("part")).alias("part"), F.col("part").alias("guest"), F.lit(False).alias("member"), *body),
-        _union(all_visitors).join(trees.select(*body), "node").select(
-            "cell", runs(zero, F.col("parts")).alias("part"), (F.col("parts") + F.pmod(F.xxhash64("node"), F.col("guests"))).alias("guest"), F.lit(False).alias("member"), *body)])
-    met = _in_shares(dealt, ("cell", "part", "guest"), _meet(cosine), "node long, links long, root long")
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    split = _union(all_members).select("cell", part, "inner", "radius", F.lit(False).alias("pivot"), "node", "vec", "copies").unionByName(
+        _union(all_centres).select("cell", each, "inner", "radius", F.lit(True).alias("pivot"), "node", "vec", F.lit(0).cast("long").alias("copies")))
+    kind = "float32" if vec_type == "array<float>" else "float64"
+    # As many files as blocks: a file's rows are in memory together.
+    n_blocks = _union(all_shut).agg(F.sum("parts")).first()[0] or 1
+    blocks = materialize(_in_shares(split, ("cell", "part"), _levels(kind), BLOCK_DDL, n_blocks), "cover_tree")
+    met = _pairs(blocks, tau).mapInArrow(_meet(cosine, kind), "node long, links long, root long")
+    if level:  # else a dimension is one cell
+        linked += _whole_cells(blocks, _union(all_members), tau)
     linked = materialize(_union([met, *linked]), "cover_tree")
     roots = components(linked.select(F.col("node").alias("u"), F.col("root").alias("v")))
 
     sums = linked.groupBy("node").agg(F.sum("links").alias("links"))
-    joined = materialize(nodes.select("node", "first", "copies").join(sums, "node", "left").join(roots, "node", "left").select(
-        "node", F.coalesce("root", "node").alias("root"), "first", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "cover_tree")
+    joined = materialize(nodes.select("node", "key", "first", "copies").join(sums, "node", "left").join(roots, "node", "left").select(
+        "node", "key", F.coalesce("root", "node").alias("root"), "first", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "cover_tree")
     least = joined.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = nodes.select("node", "vec").join(joined.join(least, "root").select("node", "n_links", "component_id"), "node").drop("node")
-    out = usable.join(named, "vec").select("vec_id", "n_links", "component_id").unionByName(
+    named, by = joined.join(least, "root"), "key"
+    if not joined.groupBy("key").count().filter("count > 1").isEmpty():  # vectors that share a hash: by themselves, then
+        named, by = nodes.select("node", "vec").join(named.select("node", "n_links", "component_id"), "node"), "vec"
+    out = usable.select("vec_id", by).join(named.select(by, "n_links", "component_id"), by).select("vec_id", "n_links", "component_id").unionByName(
         given.filter(~_usable(F.col("vec"))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

@@ -204,3 +204,67 @@ def test_null_ids(llm_spark):
     frame = llm_spark.createDataFrame([(None, [1.0, 0.0]), (4, [1.0, 0.01]), (None, [0.0, 1.0])], "vec_id long, embedding array<double>")
     assert sorted(((r["vec_id"] or 0), r["n_links"], r["component_id"] or 0, r["kept"]) for r in C.near_duplicates(frame).collect()) == [
         (0, 0, 0, False), (0, 1, 4, False), (4, 1, 4, True)]
+
+
+def test_rows_dealt_grow_with_the_vectors_not_with_the_cells(llm_spark, monkeypatch):
+    """Vectors without structure: every cell is in reach of every other."""
+    x = np.random.default_rng(4).normal(size=(1200, 48)).astype(np.float32)
+    x[600:640] = x[:40] + 0.01
+    near, dealt, plans, shares, kept, pairs = slow_links(x), [], [], C._in_shares, C.materialize, C._pairs
+    label = least_labels(len(x), [(a, b) for a, b in zip(*np.nonzero(near)) if a < b])
+
+    def counted_shares(rows, *given):
+        dealt.append(rows.count())
+        return shares(rows, *given)
+
+    def counted_tables(rows, *given):
+        table = kept(rows, *given)
+        dealt.append(table.count())
+        return table
+
+    def explained(*given):
+        met = pairs(*given)
+        plans.append(met._jdf.queryExecution().executedPlan().toString())
+        return met
+
+    monkeypatch.setattr(C, "_in_shares", counted_shares)
+    monkeypatch.setattr(C, "materialize", counted_tables)
+    monkeypatch.setattr(C, "_pairs", explained)
+    frame = llm_spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(3)
+    rows = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in C.near_duplicates(frame, leaf=60).collect()}
+    assert rows == {k: (int(near[k].sum()) - 1, label[k]) for k in range(len(x))}
+    assert sum(dealt) < 15 * len(x)
+    assert "hashpartitioning" not in plans[0]
+
+
+def test_cells_that_link_as_a_whole(llm_spark, monkeypatch):
+    """Two tight families near each other, a third beside the second only, all in
+    many cells and parts; strays; another dimension."""
+    rng = np.random.default_rng(6)
+    at = np.array([0.0, 0.3, 0.65])
+    centre = np.stack([np.cos(at), np.sin(at), *np.zeros((4, 3))], axis=1)
+    x = np.concatenate([np.repeat(centre, 90, axis=0) + rng.normal(size=(270, 6)) * 0.003, rng.normal(size=(80, 6))])
+    near, whole, cells = slow_links(x), [], C._whole_cells
+    label = least_labels(len(x), [(a, b) for a, b in zip(*np.nonzero(near)) if a < b])
+
+    def counted(*given):
+        links = cells(*given)
+        whole.append(links[0].count())
+        return links
+
+    monkeypatch.setattr(C, "_whole_cells", counted)
+    monkeypatch.setattr(C, "FAN", 8)
+    flat = [(1000 + k, [1.0, 0.001 * k]) for k in range(3)]
+    frame = llm_spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)] + flat, "vec_id long, embedding array<double>").repartition(3)
+    rows = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in C.near_duplicates(frame, leaf=30).collect()}
+    assert rows == {k: (int(near[k].sum()) - 1, label[k]) for k in range(len(x))} | {k: (2, 1000) for k, _ in flat}
+    assert whole[0] > 0
+
+
+def test_vectors_that_share_a_hash(llm_spark, monkeypatch):
+    given = [(1, [1.0, 0.0]), (2, [1.0, -0.0]), (3, [0.0, 1.0]), (4, [3.0, 0.0]), (5, [-1.0, 0.0])]
+    frame = llm_spark.createDataFrame(given, "vec_id long, embedding array<float>")
+    want = {1: (2, 1), 2: (2, 1), 3: (0, 3), 4: (2, 1), 5: (0, 5)}
+    for key in (C._key, lambda v: C.F.lit(7).cast("long")):
+        monkeypatch.setattr(C, "_key", key)
+        assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in C.near_duplicates(frame).collect()} == want
